@@ -13,12 +13,13 @@ from sackcast.params import Params
 
 def stamp_columns(asof, tz: str = "America/Lima") -> dict:
     """The five period columns of a run dated ``asof`` (a date, or a DATE column
-    in a backfill). ``loaded_at`` is midnight of that date in ``tz`` as a UTC instant."""
+    in a backfill). ``loaded_at`` is midnight of that date in ``tz`` (an instant,
+    independent of the session time zone)."""
     if isinstance(asof, (dt.date, str)):
         d = F.lit(str(asof)[:10]).cast("date")
     else:
         d = asof.cast("date")
-    loaded = F.to_utc_timestamp(d.cast("timestamp"), tz)
+    loaded = F.make_timestamp(F.year(d), F.month(d), F.dayofmonth(d), F.lit(0), F.lit(0), F.lit(0), F.lit(tz))
     return {
         "run_date": F.date_format(d, "dd-MM-yyyy"),
         "period": F.date_format(d, "yyyyMM").cast("int"),
@@ -28,6 +29,12 @@ def stamp_columns(asof, tz: str = "America/Lima") -> dict:
     }
 
 
+def utc_wall_clock(d, tz: str = "America/Lima"):
+    """Midnight of date ``d`` in ``tz`` as a UTC wall-clock TIMESTAMP_NTZ (for display
+    and engine-neutral comparison; independent of the session time zone)."""
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), d.cast("timestamp_ntz"))
+
+
 def add_period_stamp(df: DataFrame, asof, tz: str = "America/Lima") -> DataFrame:
     """P8."""
     return df.withColumns(stamp_columns(asof, tz))
