@@ -87,14 +87,18 @@ def assemble(pred: DataFrame, p: Params, model_type: str, known: DataFrame,
 
 
 def not_eligible_forecast(not_eligible: DataFrame, p: Params, keys=S.PRODUCT_KEY, qty: str = S.QTY,
-                          by: tuple[str, ...] = ()) -> DataFrame:
+                          by: tuple[str, ...] = (), top_source: DataFrame | None = None) -> DataFrame:
     """T12 + T7 + T8 fused: one aggregation per series of the non-eligible rows gives
     its recent-sales flag and its last ``sales_window`` values; series with recent
     sales get the recursive moving average, the others zeros. Each path starts after
     the max month of its own rows (per run), as the separate paths do; those two
     maxima come from a table of at most two rows per run. Output: ``keys, month,
-    q05..q95, model_type, has_sales``."""
-    m = with_group_values(not_eligible, not_eligible, {"_top": F.max(S.MONTH)}, by)
+    q05..q95, model_type, has_sales``.
+
+    ``top_source``: a frame with the same max month as ``not_eligible`` that is
+    cheaper to scan (the gap-filled panel: every series reaches its max month)."""
+    src = not_eligible if top_source is None else top_source
+    m = with_group_values(not_eligible, src, {"_top": F.max(S.MONTH)}, by)
     lo = F.add_months(F.col("_top"), -(p.sales_window - 1))
     per = m.groupBy(*by, *keys).agg(
         F.max(S.MONTH).alias("_smax"),

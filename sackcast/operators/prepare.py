@@ -53,7 +53,8 @@ def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_col
     """
     m = with_group_values(monthly, monthly, {"_hi": F.max(S.MONTH)}, by)
     vals = [F.col(c) for c in qty_cols]
-    per_key = m.groupBy(*by, *keys, "_hi").agg(
+    per_key = m.groupBy(*by, *keys).agg(
+        F.max("_hi").alias("_hi"),
         F.collect_list(F.struct(F.col(S.MONTH).alias("m"), *[v.alias(c) for v, c in zip(vals, qty_cols)])).alias("_rows"))
     lo = F.add_months(F.col("_hi"), -(months - 1))
     window = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.add_months(lo, k))

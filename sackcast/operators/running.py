@@ -1,5 +1,5 @@
 """Running sum inside a group that may be huge (one warehouse can hold a third of
-all products), computed without sending any group to a single task."""
+all products), computed without sending a huge group to a single task."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from sackcast.session import ensure_checkpoint_dir
 
+# Rows one window task may sort for a single group; larger groups are sliced.
+MAX_GROUP_ROWS = 2_000_000
+
 
 def _slices(df: DataFrame, slices: int | None) -> int:
     if slices:
@@ -15,20 +18,25 @@ def _slices(df: DataFrame, slices: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_cols: list[str],
-                     out_col: str, slices: int | None = None) -> DataFrame:
-    """``out_col`` = sum of ``value_col`` over the rows of the same group ordered by
-    value descending, then ``tie_cols`` ascending, up to and including the row (ROWS frame).
+def _order(value_col: str, tie_cols: list[str]):
+    return [F.col(value_col).desc(), *[F.col(c).asc() for c in tie_cols]]
 
-    Distributed prefix sum: range-partition on (group, -value, ties) so that a hot
-    group spreads over many contiguous slices; the slice id is fixed by a reliable
-    checkpoint (survives executor loss, and both branches below read the same
-    slices); each slice computes its local running sum; a table of slice totals
-    (at most groups + slices rows) gives each slice its offset.
-    """
+
+def _window_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col) -> DataFrame:
+    w = (Window.partitionBy(*group_cols).orderBy(*_order(value_col, tie_cols))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumn(out_col, F.sum(value_col).over(w))
+
+
+def _sliced_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col, slices) -> DataFrame:
+    """Distributed prefix sum: range-partition on (group, -value, ties) so a hot
+    group spreads over contiguous slices; the slice id is fixed by a reliable
+    checkpoint (survives executor loss; both branches below read the same
+    slices); each slice computes its local running sum; the slice totals (at most
+    groups + slices rows) give each slice its offset."""
     ensure_checkpoint_dir(df.sparkSession)
-    order = [F.col(value_col).desc(), *[F.col(c).asc() for c in tie_cols]]
-    ranged = (df.repartitionByRange(_slices(df, slices), *[F.col(g) for g in group_cols], *order)
+    order = _order(value_col, tie_cols)
+    ranged = (df.repartitionByRange(slices, *[F.col(g) for g in group_cols], *order)
                 .withColumn("_slice", F.spark_partition_id())
                 .checkpoint(eager=True))
     w_local = (Window.partitionBy(*group_cols, "_slice").orderBy(*order)
@@ -42,3 +50,36 @@ def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_c
     return (local.join(offsets, [*group_cols, "_slice"])
                  .withColumn(out_col, F.col("_local") + F.col("_offset"))
                  .drop("_local", "_offset", "_slice"))
+
+
+def hot_groups(df: DataFrame, group_cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
+    """Groups with more than ``max_group_rows`` rows (one small aggregation job),
+    or None when there is none. There are at most rows / max_group_rows of them,
+    so the marker table is bounded and safe to broadcast."""
+    g = list(group_cols)
+    hot = (df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > max_group_rows).select(*g, F.lit(True).alias("_hot")))
+    return None if hot.isEmpty() else hot
+
+
+def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_cols: list[str],
+                     out_col: str, max_group_rows: int = MAX_GROUP_ROWS, slices: int | None = None,
+                     hot: DataFrame | None | bool = False) -> DataFrame:
+    """``out_col`` = sum of ``value_col`` over the rows of the same group ordered by
+    value descending, then ``tie_cols`` ascending, up to and including the row (ROWS frame).
+
+    Groups of at most ``max_group_rows`` rows use an ordinary window; hotter
+    groups take the sliced prefix sum. ``hot``: the result of ``hot_groups`` if
+    the caller has it (None = no hot group), else it is computed here. Without
+    hot groups the result stays lazy.
+    """
+    g = list(group_cols)
+    if hot is False:
+        hot = hot_groups(df, g, max_group_rows)
+    if hot is None:
+        return _window_sum(df, g, value_col, tie_cols, out_col)
+    marked = df.join(F.broadcast(hot), g, "left")
+    cold = _window_sum(marked.where(F.col("_hot").isNull()).drop("_hot"), g, value_col, tie_cols, out_col)
+    warm = _sliced_sum(marked.where(F.col("_hot").isNotNull()).drop("_hot"), g, value_col, tie_cols, out_col,
+                       _slices(df, slices))
+    return cold.unionByName(warm)

@@ -127,18 +127,18 @@ def backtest(panel: DataFrame, cutoffs: list, horizon: int = 18, quantiles=(0.05
 
 
 def eligible_forecast(eligible: DataFrame, p, params: DataFrame | None = None, keys=S.PRODUCT_KEY,
-                      qty: str = S.QTY, by: tuple[str, ...] = ()) -> DataFrame:
+                      qty: str = S.QTY, by: tuple[str, ...] = (), top_source: DataFrame | None = None) -> DataFrame:
     """T9 + T11 + A11 fused for the eligible rows: one window (12-month residual)
     and one aggregation per series on the same partitioning give the parameters
     (unless ``params`` are given, e.g. a stored version), the month map, the last
     values and the recent-sales flag. A series without any residual falls back to
     the recursive moving average from its last month. Output: ``keys, month,
-    q05..q95, model_type, has_sales``."""
+    q05..q95, model_type, has_sales``. ``top_source`` as in ``not_eligible_forecast``."""
     from sackcast.functions import with_group_values
     from sackcast.operators.forecast import _ma_steps
 
     part = [*by, *keys]
-    m = with_group_values(eligible, eligible, {"_top": F.max(S.MONTH)}, by)
+    m = with_group_values(eligible, eligible if top_source is None else top_source, {"_top": F.max(S.MONTH)}, by)
     lo = F.add_months(F.col("_top"), -(p.sales_window - 1))
     w = Window.partitionBy(*part).orderBy(month_index(S.MONTH)).rangeBetween(-12, -12)
     r = m.withColumn("_r", F.col(qty) - F.first(qty).over(w))

@@ -3,12 +3,12 @@ variation, G3 FSN by rotation, G4 all three over the last N months."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.functions import with_group_values
-from sackcast.operators.running import running_sum_desc
+from sackcast.operators.running import MAX_GROUP_ROWS, hot_groups, running_sum_desc
 from sackcast.params import Params
 
 
@@ -36,37 +36,58 @@ def fsn_expr(rot: Column, breaks=(2, 6)) -> Column:
     return F.when(rot >= b, "F").when(rot >= a, "S").otherwise("N")
 
 
-def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, out_col: str = "share") -> DataFrame:
+def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, out_col: str = "share",
+                     max_group_rows: int = MAX_GROUP_ROWS, hot: DataFrame | None | bool = False) -> DataFrame:
     """W1 + A10: share of the group's total reached by each row, rows ordered by
     value descending with the ids as tie-break; adds ``_total`` too.
-    The share is NULL when the group total is <= 0 (no division by zero)."""
+    The share is NULL when the group total is <= 0 (no division by zero).
+
+    Usual case (no group above ``max_group_rows``): one exchange on the group
+    key, one sort, total and running sum in one Window node. With hot groups:
+    totals by partial aggregation and the sliced running sum (see ``running``)."""
     g = list(group_cols)
-    totals = metrics.groupBy(*g).agg(F.sum(value_col).alias("_total"))
-    cum = running_sum_desc(metrics, g, value_col, list(id_cols), "_cum")
-    out = cum.join(totals, g)
+    if hot is False:
+        hot = hot_groups(metrics, g, max_group_rows)
+    if hot is None:
+        w = Window.partitionBy(*g)
+        ordered = (w.orderBy(F.col(value_col).desc(), *[F.col(c).asc() for c in id_cols])
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        x = metrics.withColumns({"_total": F.sum(value_col).over(w), "_cum": F.sum(value_col).over(ordered)})
+    else:
+        totals = metrics.groupBy(*g).agg(F.sum(value_col).alias("_total"))
+        cum = running_sum_desc(metrics, g, value_col, list(id_cols), "_cum", max_group_rows, hot=hot)
+        x = cum.join(totals, g)
     share = F.when(F.col("_total") > 0, F.col("_cum") / F.col("_total"))
-    return out.withColumn(out_col, share).drop("_cum")
+    return x.withColumn(out_col, share).drop("_cum")
 
 
 def abc_classes(metrics: DataFrame, value_col: str, out_col: str, group_cols, id_cols,
-                breaks=(0.80, 0.95)) -> DataFrame:
+                breaks=(0.80, 0.95), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """G1: per group, total <= 0 -> all C; else share <= a -> A, <= b -> B, else C.
     Then the B repair (W2): a group with A and C but no B turns its first row
-    beyond ``a`` (in value order) into B."""
+    beyond ``a`` (in value order) into B. The per-group facts of the repair are
+    window aggregates on the same partitioning (no join) unless a group is hot,
+    where they are a partial aggregation joined back."""
     a, b = breaks
     g = list(group_cols)
     ids = list(id_cols)
-    x = cumulative_share(metrics, value_col, g, ids, "_share")
+    hot = hot_groups(metrics, g, max_group_rows)
+    x = cumulative_share(metrics, value_col, g, ids, "_share", max_group_rows, hot=hot)
     cls = (F.when(F.col("_total") <= 0, "C").when(F.col("_share") <= a, "A")
             .when(F.col("_share") <= b, "B").otherwise("C"))
     x = x.withColumn("_cls", cls)
     rank_key = F.struct((-F.col(value_col)).alias("v"), *[F.col(c) for c in ids])
-    stats = x.groupBy(*g).agg(
-        F.max((F.col("_cls") == "A").cast("int")).alias("_has_a"),
-        F.max((F.col("_cls") == "B").cast("int")).alias("_has_b"),
-        F.max((F.col("_cls") == "C").cast("int")).alias("_has_c"),
-        F.min(F.when(F.col("_share") > a, rank_key)).alias("_first_beyond"))
-    y = x.join(stats, g)
+    facts = {
+        "_has_a": F.max((F.col("_cls") == "A").cast("int")),
+        "_has_b": F.max((F.col("_cls") == "B").cast("int")),
+        "_has_c": F.max((F.col("_cls") == "C").cast("int")),
+        "_first_beyond": F.min(F.when(F.col("_share") > a, rank_key)),
+    }
+    if hot is None:
+        w = Window.partitionBy(*g)
+        y = x.withColumns({k: e.over(w) for k, e in facts.items()})
+    else:
+        y = x.join(x.groupBy(*g).agg(*[e.alias(k) for k, e in facts.items()]), g)
     repair = ((F.col("_total") > 0) & (F.col("_has_b") == 0) & (F.col("_has_a") == 1)
               & (F.col("_has_c") == 1) & (rank_key == F.col("_first_beyond")))
     return (y.withColumn(out_col, F.when(repair, "B").otherwise(F.col("_cls")))
@@ -87,12 +108,13 @@ def segment_metrics(panel: DataFrame, window: int, names: dict[str, str], keys=S
 
 
 def segment(panel: DataFrame, p: Params, keys=S.PRODUCT_KEY, warehouse_keys=S.WAREHOUSE_KEY,
-            qty: str = S.QTY, by: tuple[str, ...] = ()) -> DataFrame:
+            qty: str = S.QTY, by: tuple[str, ...] = (), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Product key + value, cv, rotation, abc, xyz, fsn (one row per key)."""
     names = S.segment_names(p.segment_window, p.segment_prefix, qty)
     metrics = segment_metrics(panel, p.segment_window, names, keys, qty, by)
     id_cols = [k for k in keys if k not in warehouse_keys]
-    abc = abc_classes(metrics, names["value"], names["abc"], [*by, *warehouse_keys], id_cols, p.abc_breaks)
+    abc = abc_classes(metrics, names["value"], names["abc"], [*by, *warehouse_keys], id_cols, p.abc_breaks,
+                      max_group_rows)
     return abc.select(
         *by, *keys, names["value"], names["cv"], names["rotation"], names["abc"],
         xyz_expr(F.col(names["cv"]), p.xyz_breaks).alias(names["xyz"]),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,13 @@ class RunFrames:
 
 
 def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...] = ()) -> RunFrames:
-    """G6 + G4 + G5 on a prepared panel."""
+    """G6 + G4 + G5 on a prepared panel.
+
+    The panel feeds the known split, the segments, the eligibility join and the
+    per-run max months, so it is persisted once (memory, spilling to disk; lost
+    blocks are recomputed from lineage). It is one row per key and month, far
+    smaller than the demand rows it summarises."""
+    panel = panel.persist(StorageLevel.MEMORY_AND_DISK)
     ka, unk, ki = known_split(panel, known, S.PRODUCT_KEY, by)
     seg = segment(panel, p, by=by)
     el, nel = eligible_split(panel, p, seg, by=by)
@@ -51,8 +58,12 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
     sales -> moving average, without -> zero (not eligible, active); one union.
     The three inputs are disjoint, so each series gets exactly ``horizon`` rows."""
     k = [*by, *S.PRODUCT_KEY]
-    model = eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by).withColumn("is_eligible", F.lit(True))
-    simple = not_eligible_forecast(fr.not_eligible, p, S.PRODUCT_KEY, by=by).withColumn("is_eligible", F.lit(False))
+    # the panel is gap-filled up to its max month for every series, so each
+    # subset's max month is the panel's: read it from the cached panel
+    model = (eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel)
+             .withColumn("is_eligible", F.lit(True)))
+    simple = (not_eligible_forecast(fr.not_eligible, p, S.PRODUCT_KEY, by=by, top_source=fr.panel)
+              .withColumn("is_eligible", F.lit(False)))
     rows = model.unionByName(simple)
     kk = known_keys(fr.known_active, fr.known_inactive, S.SERIES_KEY, by)
     rows = (rows.join(kk, [*by, *S.SERIES_KEY], "left")
