@@ -3,9 +3,9 @@
 from sackcast.functions.dates import first_of_month, month_index, months_seq, prev_month_start, yyyymm
 from sackcast.functions.numeric import half_even, clamp_round_long
 from sackcast.functions.predicates import all_in, in_lists_mask
-from sackcast.functions.grouped import with_group_values
+from sackcast.functions.grouped import with_group_values, with_last_month
 
 __all__ = [
     "first_of_month", "month_index", "months_seq", "prev_month_start", "yyyymm",
-    "half_even", "clamp_round_long", "all_in", "in_lists_mask", "with_group_values",
+    "half_even", "clamp_round_long", "all_in", "in_lists_mask", "with_group_values", "with_last_month",
 ]

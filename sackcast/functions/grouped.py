@@ -18,3 +18,13 @@ def with_group_values(df: DataFrame, source: DataFrame, aggs: dict[str, Column],
         return df.withColumns({name: source.agg(expr).scalar() for name, expr in aggs.items()})
     g = source.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()])
     return df.join(F.broadcast(g), list(by), "inner")
+
+
+def with_last_month(df: DataFrame, source: DataFrame, name: str, by: tuple[str, ...] = (),
+                    carried: str = "_last_month") -> DataFrame:
+    """Add the run's max month as ``name``: copied from the ``carried`` column when
+    the frame has it (set by the zero-fill, equal to the max month of any
+    gap-filled subset), else aggregated from ``source``."""
+    if carried in df.columns:
+        return df.withColumn(name, F.col(carried))
+    return with_group_values(df, source, {name: F.max("month")}, by)

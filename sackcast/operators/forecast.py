@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
-from sackcast.functions import with_group_values
+from sackcast.functions import with_group_values, with_last_month
 from sackcast.params import Params
 
 
@@ -60,11 +60,15 @@ def zero_forecast(df: DataFrame, horizon: int = 18, keys=S.SERIES_KEY, by: tuple
     return _explode_steps(ids, F.array_repeat(F.lit(0).cast("long"), horizon), keys, by)
 
 
-def known_keys(known_active: DataFrame, known_inactive: DataFrame, keys=S.SERIES_KEY,
-               by: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct series keys present in the known list (active or inactive)."""
+def known_keys(known: DataFrame, keys=S.SERIES_KEY, by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct series keys flagged ``is_known``.
+
+    The reference unions the keys of known-active rows (panel rows in the list)
+    and known-inactive rows (list rows not in the panel); that union is exactly
+    the list's own keys, so no join with the panel is needed."""
     k = [*by, *keys]
-    return known_active.select(*k).union(known_inactive.select(*k)).distinct().withColumn("is_known", F.lit(True))
+    return known.select(*[F.col(c).cast("string").alias(c) if c in keys else F.col(c) for c in k]) \
+        .distinct().withColumn("is_known", F.lit(True))
 
 
 def assemble(pred: DataFrame, p: Params, model_type: str, known: DataFrame,
@@ -87,7 +91,8 @@ def assemble(pred: DataFrame, p: Params, model_type: str, known: DataFrame,
 
 
 def not_eligible_forecast(not_eligible: DataFrame, p: Params, keys=S.PRODUCT_KEY, qty: str = S.QTY,
-                          by: tuple[str, ...] = (), top_source: DataFrame | None = None) -> DataFrame:
+                          by: tuple[str, ...] = (), top_source: DataFrame | None = None,
+                          series_flags: DataFrame | None = None) -> DataFrame:
     """T12 + T7 + T8 fused: one aggregation per series of the non-eligible rows gives
     its recent-sales flag and its last ``sales_window`` values; series with recent
     sales get the recursive moving average, the others zeros. Each path starts after
@@ -96,9 +101,11 @@ def not_eligible_forecast(not_eligible: DataFrame, p: Params, keys=S.PRODUCT_KEY
     q05..q95, model_type, has_sales``.
 
     ``top_source``: a frame with the same max month as ``not_eligible`` that is
-    cheaper to scan (the gap-filled panel: every series reaches its max month)."""
+    cheaper to scan (the gap-filled panel: every series reaches its max month).
+    ``series_flags``: per-series boolean columns (keyed like ``keys``) joined to the
+    series table before the 18-fold explode, missing -> false."""
     src = not_eligible if top_source is None else top_source
-    m = with_group_values(not_eligible, src, {"_top": F.max(S.MONTH)}, by)
+    m = with_last_month(not_eligible, src, "_top", by)
     lo = F.add_months(F.col("_top"), -(p.sales_window - 1))
     per = m.groupBy(*by, *keys).agg(
         F.max(S.MONTH).alias("_smax"),
@@ -106,13 +113,25 @@ def not_eligible_forecast(not_eligible: DataFrame, p: Params, keys=S.PRODUCT_KEY
         F.array_sort(F.collect_list(F.struct(F.col(S.MONTH).alias("m"), F.col(qty).alias("v")))).alias("_rows"))
     starts = per.groupBy(*by, "has_sales").agg(F.max("_smax").alias("_hi"))
     x = per.join(F.broadcast(starts), [*by, "has_sales"])
+    x, flag_cols = join_series_flags(x, series_flags, [*by, *keys])
     vals = F.transform(F.col("_rows"), lambda r: r["v"])
     w = F.slice(vals, F.greatest(F.lit(1), F.size(vals) - (p.sales_window - 1)), p.sales_window)
     steps = F.when(F.col("has_sales"), _ma_steps(w, p.horizon)).otherwise(
         F.array_repeat(F.lit(0).cast("long"), p.horizon))
-    y = x.select(*by, *keys, "_hi", "has_sales", F.posexplode(steps).alias("_pos", "_v"))
+    y = x.select(*by, *keys, "_hi", "has_sales", *flag_cols, F.posexplode(steps).alias("_pos", "_v"))
     return y.select(
         *by, *keys, F.add_months(F.col("_hi"), F.col("_pos") + 1).alias(S.MONTH),
         *[F.col("_v").alias(c) for c in S.Q_COLS],
         F.when(F.col("has_sales"), p.label_moving_average).otherwise(p.label_zero).alias("model_type"),
-        "has_sales")
+        "has_sales", *flag_cols)
+
+
+def join_series_flags(per: DataFrame, flags: DataFrame | None, part: list[str]):
+    """Left join per-series boolean flags (NULL -> false) on the key columns the
+    flag table has (e.g. the 4-column series key); returns (frame, flag names)."""
+    if flags is None:
+        return per, []
+    on = [c for c in part if c in flags.columns]
+    names = [c for c in flags.columns if c not in on]
+    x = per.join(flags, on, "left").withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in names})
+    return x, names

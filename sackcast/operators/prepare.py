@@ -3,6 +3,7 @@ T1 zero-fill of missing months, T2 the composition of all of them."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +41,11 @@ def monthly_sum(df: DataFrame, keys=S.PRODUCT_KEY, qty_cols=(S.QTY,), by: tuple[
               .agg(*[F.sum(c).alias(c) for c in qty_cols]))
 
 
+LAST_MONTH = "_last_month"
+
+
 def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_cols=(S.QTY,),
-                    by: tuple[str, ...] = ()) -> DataFrame:
+                    by: tuple[str, ...] = (), keep_last: bool = False) -> DataFrame:
     """Every key gets a row for each of the last ``months`` months up to the
     data's max month (per run), missing ones with quantity 0. Rows older than the
     window are kept as they are.
@@ -50,7 +54,15 @@ def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_col
     number of calendar months in the input, however many raw rows the key had),
     adds the missing months and explodes back. The output stays hash-partitioned
     by the key, which later per-series aggregations and windows reuse.
+
+    The input is read twice (the run's max month, then the fill), so it is
+    persisted: the demand behind it is scanned once. It is one row per key and
+    month, far smaller than the demand rows.
+
+    ``keep_last`` keeps the run's max month as column ``_last_month`` on every row,
+    so later operators need not aggregate the panel again to find it.
     """
+    monthly = monthly.persist(StorageLevel.MEMORY_AND_DISK)
     m = with_group_values(monthly, monthly, {"_hi": F.max(S.MONTH)}, by)
     vals = [F.col(c) for c in qty_cols]
     per_key = m.groupBy(*by, *keys).agg(
@@ -62,18 +74,20 @@ def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_col
     missing = F.transform(
         F.filter(window, lambda d: ~F.array_contains(have, d)),
         lambda d: F.struct(d.alias("m"), *[F.lit(0.0).alias(c) for c in qty_cols]))
-    full = per_key.select(*by, *keys, F.explode(F.concat(F.col("_rows"), missing)).alias("_r"))
-    return full.select(*by, *keys, F.col("_r.m").alias(S.MONTH), *[F.col(f"_r.{c}").alias(c) for c in qty_cols])
+    full = per_key.select(*by, *keys, "_hi", F.explode(F.concat(F.col("_rows"), missing)).alias("_r"))
+    extra = [F.col("_hi").alias(LAST_MONTH)] if keep_last else []
+    return full.select(*by, *keys, F.col("_r.m").alias(S.MONTH), *[F.col(f"_r.{c}").alias(c) for c in qty_cols],
+                       *extra)
 
 
 def prepare_demand(df: DataFrame, filters: dict[str, tuple] | None = None, keys=S.PRODUCT_KEY,
                    qty_cols=(S.QTY,), group_by_month: bool = True, complete: bool = True,
-                   months: int = 36, by: tuple[str, ...] = ()) -> DataFrame:
+                   months: int = 36, by: tuple[str, ...] = (), keep_last: bool = False) -> DataFrame:
     """P1 -> P2 -> P3 -> A1 -> T1, each stage optional as in the reference."""
     out = apply_filters(clean_quantity(periodise(df), qty_cols), filters or {})
     if not group_by_month:
         return out
     out = monthly_sum(out, keys, qty_cols, by)
     if complete:
-        out = complete_months(out, months, keys, qty_cols, by)
+        out = complete_months(out, months, keys, qty_cols, by, keep_last)
     return out

@@ -127,18 +127,20 @@ def backtest(panel: DataFrame, cutoffs: list, horizon: int = 18, quantiles=(0.05
 
 
 def eligible_forecast(eligible: DataFrame, p, params: DataFrame | None = None, keys=S.PRODUCT_KEY,
-                      qty: str = S.QTY, by: tuple[str, ...] = (), top_source: DataFrame | None = None) -> DataFrame:
+                      qty: str = S.QTY, by: tuple[str, ...] = (), top_source: DataFrame | None = None,
+                      series_flags: DataFrame | None = None) -> DataFrame:
     """T9 + T11 + A11 fused for the eligible rows: one window (12-month residual)
     and one aggregation per series on the same partitioning give the parameters
     (unless ``params`` are given, e.g. a stored version), the month map, the last
     values and the recent-sales flag. A series without any residual falls back to
     the recursive moving average from its last month. Output: ``keys, month,
-    q05..q95, model_type, has_sales``. ``top_source`` as in ``not_eligible_forecast``."""
-    from sackcast.functions import with_group_values
-    from sackcast.operators.forecast import _ma_steps
+    q05..q95, model_type, has_sales``. ``top_source`` and ``series_flags`` as in
+    ``not_eligible_forecast``."""
+    from sackcast.functions import with_last_month
+    from sackcast.operators.forecast import _ma_steps, join_series_flags
 
     part = [*by, *keys]
-    m = with_group_values(eligible, eligible if top_source is None else top_source, {"_top": F.max(S.MONTH)}, by)
+    m = with_last_month(eligible, eligible if top_source is None else top_source, "_top", by)
     lo = F.add_months(F.col("_top"), -(p.sales_window - 1))
     w = Window.partitionBy(*part).orderBy(month_index(S.MONTH)).rangeBetween(-12, -12)
     r = m.withColumn("_r", F.col(qty) - F.first(qty).over(w))
@@ -155,11 +157,12 @@ def eligible_forecast(eligible: DataFrame, p, params: DataFrame | None = None, k
         per = per.select("*", *[F.col("_pq")[i].alias(c) for i, c in enumerate(PARAM_COLS)]).drop("_pq")
     else:
         per = per.join(params.select(*part, "n_residuals", *PARAM_COLS), part, "left")
+    per, flag_cols = join_series_flags(per, series_flags, part)
     has_model = F.coalesce(F.col("n_residuals") > 0, F.lit(False))
     hist = F.map_from_entries(F.transform(F.col("_rows"), lambda e: F.struct(e["m"], e["v"])))
     vals = F.transform(F.col("_rows"), lambda e: e["v"])
     win = F.slice(vals, F.greatest(F.lit(1), F.size(vals) - (p.sales_window - 1)), p.sales_window)
-    x = per.select(*part, "_last", "has_sales", *PARAM_COLS, has_model.alias("_model"),
+    x = per.select(*part, "_last", "has_sales", *flag_cols, *PARAM_COLS, has_model.alias("_model"),
                    hist.alias("_hist"), F.when(~has_model, _ma_steps(win, p.horizon)).alias("_ma"),
                    F.explode(F.sequence(F.lit(1), F.lit(p.horizon))).alias("_h"))
     back = (F.floor((F.col("_h") - 1) / 12) + 1) * 12
@@ -169,4 +172,4 @@ def eligible_forecast(eligible: DataFrame, p, params: DataFrame | None = None, k
           for pc, qc in zip(PARAM_COLS, S.Q_COLS)]
     return x.select(*part, F.add_months(F.col("_last"), F.col("_h")).alias(S.MONTH), *qs,
                     F.when(F.col("_model"), p.label_model).otherwise(p.label_moving_average).alias("model_type"),
-                    "has_sales")
+                    "has_sales", *flag_cols)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
-from sackcast.functions import with_group_values
+from sackcast.functions import with_last_month
 from sackcast.operators.running import MAX_GROUP_ROWS, hot_groups, running_sum_desc
 from sackcast.params import Params
 
@@ -98,7 +98,7 @@ def segment_metrics(panel: DataFrame, window: int, names: dict[str, str], keys=S
                     qty: str = S.QTY, by: tuple[str, ...] = ()) -> DataFrame:
     """W7 + A7/A8/A9: value, cv and rotation per key over the last ``window``
     months up to the data's max month (per run)."""
-    m = with_group_values(panel, panel, {"_hi": F.max(S.MONTH)}, by)
+    m = with_last_month(panel, panel, "_hi", by)
     win = m.where((F.col(S.MONTH) >= F.add_months(F.col("_hi"), -(window - 1)))
                   & (F.col(S.MONTH) <= F.col("_hi")))
     return (win.groupBy(*by, *keys)

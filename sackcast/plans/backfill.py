@@ -39,7 +39,7 @@ def _runs(asofs, history: int):
     return out
 
 
-def backfill_panel(demand: DataFrame, asofs, p: Params) -> DataFrame:
+def backfill_panel(demand: DataFrame, asofs, p: Params, keep_last: bool = False) -> DataFrame:
     """S1 + T2 for every as-of date: ``asof, keys, month, qty``."""
     runs = _runs(asofs, p.history_months)
     lo = min(r[1] for r in runs)
@@ -51,7 +51,7 @@ def backfill_panel(demand: DataFrame, asofs, p: Params) -> DataFrame:
     tagged = monthly.select(
         "*", F.explode(F.filter(arr, lambda r: (F.col(S.MONTH) >= r["lo"]) & (F.col(S.MONTH) < r["hi"]))).alias("_run"))
     tagged = tagged.select(F.col("_run.asof").alias("asof"), *S.PRODUCT_KEY, S.MONTH, S.QTY)
-    return complete_months(tagged, p.history_months, by=BY)
+    return complete_months(tagged, p.history_months, by=BY, keep_last=keep_last)
 
 
 def known_per_run(known: DataFrame, asofs) -> DataFrame:
@@ -61,7 +61,7 @@ def known_per_run(known: DataFrame, asofs) -> DataFrame:
 
 
 def backfill_frames(demand: DataFrame, known: DataFrame, asofs, p: Params) -> RunFrames:
-    return split_run(backfill_panel(demand, asofs, p), known_per_run(known, asofs), p, by=BY)
+    return split_run(backfill_panel(demand, asofs, p, keep_last=True), known_per_run(known, asofs), p, by=BY)
 
 
 def backfill_forecast(demand: DataFrame, known: DataFrame, asofs, p: Params) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sackcast import schemas as S
 from sackcast.operators.forecast import known_keys, not_eligible_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
-from sackcast.operators.prepare import prepare_demand
+from sackcast.operators.prepare import LAST_MONTH, prepare_demand
 from sackcast.operators.seasonal import eligible_forecast
 from sackcast.operators.segment import segment
 from sackcast.operators.skus import eligible_split, known_split
@@ -22,10 +22,11 @@ from sackcast.sources import tables
 from sackcast.sources.demand import actuals_scan, demand_scan
 
 
-def prepared_panel(demand: DataFrame, asof, p: Params) -> DataFrame:
-    """S1 + T2: the gap-free monthly panel of the run."""
+def prepared_panel(demand: DataFrame, asof, p: Params, keep_last: bool = False) -> DataFrame:
+    """S1 + T2: the gap-free monthly panel of the run (``keep_last``: with the
+    internal ``_last_month`` column used by the later steps)."""
     return prepare_demand(demand_scan(demand, asof, p), p.filters(), S.PRODUCT_KEY, (S.QTY,),
-                          True, True, p.history_months)
+                          True, True, p.history_months, keep_last=keep_last)
 
 
 @dataclass
@@ -37,6 +38,7 @@ class RunFrames:
     known_active: DataFrame
     unknown: DataFrame
     known_inactive: DataFrame
+    known: DataFrame
 
 
 def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...] = ()) -> RunFrames:
@@ -47,10 +49,10 @@ def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...]
     blocks are recomputed from lineage). It is one row per key and month, far
     smaller than the demand rows it summarises."""
     panel = panel.persist(StorageLevel.MEMORY_AND_DISK)
-    ka, unk, ki = known_split(panel, known, S.PRODUCT_KEY, by)
+    ka, unk, ki = known_split(panel.drop(LAST_MONTH), known, S.PRODUCT_KEY, by)
     seg = segment(panel, p, by=by)
     el, nel = eligible_split(panel, p, seg, by=by)
-    return RunFrames(panel, seg, el, nel, ka, unk, ki)
+    return RunFrames(panel, seg, el, nel, ka, unk, ki, known)
 
 
 def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -58,16 +60,16 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
     sales -> moving average, without -> zero (not eligible, active); one union.
     The three inputs are disjoint, so each series gets exactly ``horizon`` rows."""
     k = [*by, *S.PRODUCT_KEY]
+    # is_known matches on the 4-column series key (N10); joined per series,
+    # before the rows are multiplied by the horizon
+    kk = known_keys(fr.known, S.SERIES_KEY, by)
     # the panel is gap-filled up to its max month for every series, so each
     # subset's max month is the panel's: read it from the cached panel
-    model = (eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel)
-             .withColumn("is_eligible", F.lit(True)))
-    simple = (not_eligible_forecast(fr.not_eligible, p, S.PRODUCT_KEY, by=by, top_source=fr.panel)
-              .withColumn("is_eligible", F.lit(False)))
+    model = (eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel,
+                               series_flags=kk).withColumn("is_eligible", F.lit(True)))
+    simple = (not_eligible_forecast(fr.not_eligible, p, S.PRODUCT_KEY, by=by, top_source=fr.panel,
+                                    series_flags=kk).withColumn("is_eligible", F.lit(False)))
     rows = model.unionByName(simple)
-    kk = known_keys(fr.known_active, fr.known_inactive, S.SERIES_KEY, by)
-    rows = (rows.join(kk, [*by, *S.SERIES_KEY], "left")
-                .withColumn("is_known", F.coalesce("is_known", F.lit(False))))
     return rows.select(*k, F.col(S.MONTH).alias(S.DATE), *S.Q_COLS, "model_type", "has_sales",
                        "is_eligible", "is_known", F.lit(True).alias("is_active"))
 
@@ -75,7 +77,7 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
 def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
                    params: DataFrame | None = None) -> DataFrame:
     """The month's forecast in the output layout (21 columns), lazily."""
-    fr = split_run(prepared_panel(demand, asof, p), known, p)
+    fr = split_run(prepared_panel(demand, asof, p, keep_last=True), known, p)
     return S.conform(add_period_stamp(forecast_rows(fr, p, params), asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from sackcast import schemas as S
 from sackcast.operators.features import CALENDAR_COLS, calendar_features, future_frame, lag_features, static_features
-from sackcast.operators.forecast import known_keys, moving_average_forecast, zero_forecast
+from sackcast.operators.forecast import moving_average_forecast, zero_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
-from sackcast.operators.prepare import clean_quantity, complete_months, monthly_sum, apply_filters, periodise, prepare_demand
+from sackcast.operators.prepare import LAST_MONTH, clean_quantity, complete_months, monthly_sum, apply_filters, periodise, prepare_demand
 from sackcast.operators.seasonal import backtest, fit_seasonal_quantiles, seasonal_forecast, PARAM_COLS
 from sackcast.operators.segment import segment_metrics, cumulative_share
 from sackcast.operators.skus import recent_sales_flag, recent_sales_split
@@ -42,7 +42,7 @@ def _demand(spark, sf):
 
 def _frames(spark, sf, asof=ASOF, p: Params = P) -> RunFrames:
     d = _demand(spark, sf)
-    return split_run(prepared_panel(d, asof, p), known_from_demand(d), p)
+    return split_run(prepared_panel(d, asof, p, keep_last=True), known_from_demand(d), p)
 
 
 def _r6(c):
@@ -131,11 +131,11 @@ def q_segment_skus(spark, sf):
 
 
 def q_eligible_skus(spark, sf):
-    return _frames(spark, sf).eligible
+    return _frames(spark, sf).eligible.drop(LAST_MONTH)
 
 
 def q_ineligible_skus(spark, sf):
-    return _frames(spark, sf).not_eligible
+    return _frames(spark, sf).not_eligible.drop(LAST_MONTH)
 
 
 def q_recent_sales_split(spark, sf):
@@ -200,11 +200,6 @@ def q_seasonal_forecast(spark, sf):
     return seasonal_forecast(el, fit_seasonal_quantiles(el, P.quantiles, KEYS), P.horizon, KEYS)
 
 
-def _forecast_display(df: DataFrame, asof_col=None) -> DataFrame:
-    """Forecast rows with the stamp instants shown as UTC wall clock (TIMESTAMP_NTZ)."""
-    return df
-
-
 def _stamped(rows: DataFrame, asof) -> DataFrame:
     d = F.lit(asof).cast("date")
     st = stamp_columns(asof, P.stamp_time_zone)
