@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.operators.prepare import apply_filters, clean_quantity, complete_months, monthly_sum, periodise
+from sackcast.operators.monitor import monitor_errors
 from sackcast.operators.stamp import stamp_columns
 from sackcast.params import Params
 from sackcast.plans.monthly import RunFrames, forecast_rows, split_run
@@ -70,3 +71,48 @@ def backfill_forecast(demand: DataFrame, known: DataFrame, asofs, p: Params) ->
     rows = forecast_rows(fr, p, by=BY)
     rows = rows.withColumns(stamp_columns(F.col("asof"), p.stamp_time_zone))
     return S.conform(rows, S.FORECAST_SCHEMA, leading=BY)
+
+
+def backfill_actuals(demand: DataFrame, asofs, p: Params) -> DataFrame:
+    """S13 + T2 for every as-of date m: months [m - horizon, m - 1], zero-filled over
+    the history window, as in a single run; ``asof`` leads. One scan, one A1."""
+    runs = [(asof_months(a)["asof"], _month_start(asof_months(a)["month"], -p.horizon), asof_months(a)["month"])
+            for a in asofs]
+    lo = min(r[1] for r in runs)
+    hi = max(r[2] for r in runs)
+    scan = demand.where((F.col(S.DATE) >= F.lit(lo)) & (F.col(S.DATE) < F.lit(hi))
+                        & (F.col(S.CLASS) == p.product_class))
+    monthly = monthly_sum(apply_filters(clean_quantity(periodise(scan)), p.filters()))
+    arr = F.array(*[F.struct(F.lit(a).alias("asof"), F.lit(l).alias("lo"), F.lit(h).alias("hi")) for a, l, h in runs])
+    tagged = monthly.select(
+        "*", F.explode(F.filter(arr, lambda r: (F.col(S.MONTH) >= r["lo"]) & (F.col(S.MONTH) < r["hi"]))).alias("_run"))
+    tagged = tagged.select(F.col("_run.asof").alias("asof"), *S.PRODUCT_KEY, S.MONTH, S.QTY)
+    return complete_months(tagged, p.history_months, by=BY)
+
+
+def monitorable_per_date(forecasts: DataFrame, asofs, p: Params) -> DataFrame:
+    """S12 for every monitoring date m at once: the stored forecast rows (one class)
+    of the period whose last month is the month before m, tagged ``asof`` = m.
+    (The reference ignores months older than prev - 24 while looking for that
+    period; that cannot change which period's last month equals prev.)
+    The period and date tables have at most one row per period / date."""
+    fc = forecasts.where(F.col(S.CLASS) == p.product_class)
+    mm = F.trunc(F.to_date(F.col(S.DATE)), "MM")
+    last = fc.groupBy("period").agg(F.max(mm).alias("_last"))
+    dates = F.array(*[F.struct(F.lit(asof_months(a)["asof"]).alias("asof"),
+                               F.lit(asof_months(a)["prev"]).alias("_last")) for a in asofs])
+    wanted = last.sparkSession.range(1).select(F.explode(dates).alias("_d")).select("_d.asof", "_d._last")
+    chosen = (wanted.join(F.broadcast(last), "_last")
+                    .groupBy("asof").agg(F.max("period").alias("period")))
+    return fc.join(F.broadcast(chosen), "period")
+
+
+def backfill_monitoring(forecasts: DataFrame, demand: DataFrame, asofs, p: Params) -> DataFrame:
+    """T15 for every date: errors of the forecast that has just completed, against
+    that date's actuals; ``asof`` + the 27 monitoring columns, stamped per date.
+    ``forecasts``: stored forecast rows (any run dates, FORECAST_SCHEMA columns)."""
+    fc = monitorable_per_date(forecasts.drop("asof") if "asof" in forecasts.columns else forecasts, asofs, p)
+    act = backfill_actuals(demand, asofs, p)
+    out = monitor_errors(fc.drop(*S.STAMP_COLS), act, by=BY)
+    out = out.withColumns(stamp_columns(F.col("asof"), p.stamp_time_zone))
+    return S.conform(out, S.MONITOR_SCHEMA, leading=BY)

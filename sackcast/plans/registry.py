@@ -21,7 +21,7 @@ from sackcast.operators.skus import recent_sales_flag, recent_sales_split
 from sackcast.operators.stamp import stamp_columns, utc_wall_clock
 from sackcast.params import DEFAULT, Params
 from sackcast.plans import oracle as O
-from sackcast.plans.backfill import backfill_frames
+from sackcast.plans.backfill import backfill_forecast, backfill_frames, backfill_monitoring
 from sackcast.plans.monthly import RunFrames, forecast_rows, monitoring_month, prepared_panel, split_run
 from sackcast.sources.demand import actuals_scan, demand_scan
 from sackcast.sources.fixtures import demand_from_tables, known_from_demand
@@ -257,6 +257,26 @@ def q_backfill_segments(spark, sf):
     return fr.segments
 
 
+def _show_stamp(df: DataFrame, asof_col: str = "asof") -> DataFrame:
+    wall = utc_wall_clock(F.col(asof_col), P.stamp_time_zone)
+    return df.withColumns({"loaded_at": wall, "deleted_at": wall})
+
+
+def _backfill_fc(spark, sf):
+    d = _demand(spark, sf)
+    return backfill_forecast(d, known_from_demand(d), [ASOF_EARLY, ASOF], P)
+
+
+def q_backfill_forecast(spark, sf):
+    return _show_stamp(_backfill_fc(spark, sf))
+
+
+def q_backfill_monitoring(spark, sf):
+    d = _demand(spark, sf)
+    mon = backfill_monitoring(_backfill_fc(spark, sf), d, [ASOF_EARLY, ASOF], P)
+    return _show_stamp(mon)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demand_scan": q_demand_scan,
     "periodise": q_periodise,
@@ -291,6 +311,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monitor_errors": q_monitor_errors,
     "backtest_mae": q_backtest_mae,
     "backfill_segments": q_backfill_segments,
+    "backfill_forecast": q_backfill_forecast,
+    "backfill_monitoring": q_backfill_monitoring,
 }
 
 
@@ -442,6 +464,22 @@ select f.cutoff, cast(datediff('month', f.cutoff, f.month) as bigint) as step, c
        round_even(avg(abs(a.qty - f.q50)), 6) + 0.0 as mae
 from fc f join r_elig a on {O._on('f', 'a')} and a.month = f.month
 group by f.cutoff, step""",
+        "backfill_forecast": W(_run("e_", ASOF_EARLY, True), _run("r_", ASOF, True)) + f"""
+select date '{ASOF_EARLY}' as asof, {fc_cols} from e_forecast
+union all
+select date '{ASOF}' as asof, {fc_cols} from r_forecast""",
+        "backfill_monitoring": W(_run("e_", ASOF_EARLY, True), _run("r_", ASOF, True), stored, mon) + f"""
+select date '{ASOF}' as asof, f.product_class, f.company, f.warehouse, f.material, f.unit, f.date, a.qty,
+       f.q05, f.q25, f.q50, f.q75, f.q95,
+       f.q05 - a.qty as err05, f.q25 - a.qty as err25, f.q50 - a.qty as err50,
+       f.q75 - a.qty as err75, f.q95 - a.qty as err95,
+       f.model_type, f.has_sales, f.is_eligible, f.is_known, f.is_active,
+       '15-08-2001' as run_date, cast(200108 as int) as period,
+       timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
+       timestamp '2001-08-15 05:00:00' as deleted_at
+from picked f left join c_panel a
+  on {O._on('f', 'a')} and a.month = f.date
+where (select count(*) from c_panel) > 0""",
         "backfill_segments": W(_run("e_", ASOF_EARLY), _run("r_", ASOF)) + f"""
 select date '{ASOF_EARLY}' as asof, {K}, {seg_cols} from e_seg
 union all
