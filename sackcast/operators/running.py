@@ -52,19 +52,42 @@ def _sliced_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col, slices)
                  .drop("_local", "_offset", "_slice"))
 
 
-def hot_groups(df: DataFrame, group_cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame | None:
-    """Groups with more than ``max_group_rows`` rows (one small aggregation job),
-    or None when there is none. There are at most rows / max_group_rows of them,
-    so the marker table is bounded and safe to broadcast."""
+# Per-group tables (one row per group) are broadcast explicitly up to this many groups.
+MAX_BROADCAST_GROUPS = 1_000_000
+
+
+class HotGroups:
+    """Result of the group check: the hot group keys (marker column ``_hot``) and
+    the number of groups, for bounded broadcasts of per-group tables."""
+
+    def __init__(self, hot: DataFrame, n_groups: int):
+        self.hot = hot
+        self.n_groups = n_groups
+
+    def per_group(self, df: DataFrame) -> DataFrame:
+        """A one-row-per-group table, broadcast when the group count is proven small;
+        otherwise left to AQE (sort-merge join with skew splitting)."""
+        return F.broadcast(df) if self.n_groups <= MAX_BROADCAST_GROUPS else df
+
+
+def hot_groups(df: DataFrame, group_cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> HotGroups | None:
+    """Count rows per group (one small aggregation job). None when no group has
+    more than ``max_group_rows`` rows; else the hot keys (at most
+    rows / max_group_rows of them, so their marker table is bounded) and the
+    number of groups."""
     g = list(group_cols)
-    hot = (df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > max_group_rows).select(*g, F.lit(True).alias("_hot")))
-    return None if hot.isEmpty() else hot
+    counts = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    r = counts.agg(F.count(F.lit(1)).alias("groups"),
+                   F.count(F.when(F.col("_n") > max_group_rows, 1)).alias("hot")).first()
+    if not r or r["hot"] == 0:
+        return None
+    hot = counts.where(F.col("_n") > max_group_rows).select(*g, F.lit(True).alias("_hot"))
+    return HotGroups(hot, int(r["groups"]))
 
 
 def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_cols: list[str],
                      out_col: str, max_group_rows: int = MAX_GROUP_ROWS, slices: int | None = None,
-                     hot: DataFrame | None | bool = False) -> DataFrame:
+                     hot: HotGroups | None | bool = False) -> DataFrame:
     """``out_col`` = sum of ``value_col`` over the rows of the same group ordered by
     value descending, then ``tie_cols`` ascending, up to and including the row (ROWS frame).
 
@@ -78,7 +101,7 @@ def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_c
         hot = hot_groups(df, g, max_group_rows)
     if hot is None:
         return _window_sum(df, g, value_col, tie_cols, out_col)
-    marked = df.join(F.broadcast(hot), g, "left")
+    marked = df.join(F.broadcast(hot.hot), g, "left")
     cold = _window_sum(marked.where(F.col("_hot").isNull()).drop("_hot"), g, value_col, tie_cols, out_col)
     warm = _sliced_sum(marked.where(F.col("_hot").isNotNull()).drop("_hot"), g, value_col, tie_cols, out_col,
                        _slices(df, slices))

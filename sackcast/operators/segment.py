@@ -37,7 +37,7 @@ def fsn_expr(rot: Column, breaks=(2, 6)) -> Column:
 
 
 def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, out_col: str = "share",
-                     max_group_rows: int = MAX_GROUP_ROWS, hot: DataFrame | None | bool = False) -> DataFrame:
+                     max_group_rows: int = MAX_GROUP_ROWS, hot=False) -> DataFrame:
     """W1 + A10: share of the group's total reached by each row, rows ordered by
     value descending with the ids as tie-break; adds ``_total`` too.
     The share is NULL when the group total is <= 0 (no division by zero).
@@ -56,7 +56,7 @@ def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, ou
     else:
         totals = metrics.groupBy(*g).agg(F.sum(value_col).alias("_total"))
         cum = running_sum_desc(metrics, g, value_col, list(id_cols), "_cum", max_group_rows, hot=hot)
-        x = cum.join(totals, g)
+        x = cum.join(hot.per_group(totals), g)
     share = F.when(F.col("_total") > 0, F.col("_cum") / F.col("_total"))
     return x.withColumn(out_col, share).drop("_cum")
 
@@ -87,7 +87,7 @@ def abc_classes(metrics: DataFrame, value_col: str, out_col: str, group_cols, id
         w = Window.partitionBy(*g)
         y = x.withColumns({k: e.over(w) for k, e in facts.items()})
     else:
-        y = x.join(x.groupBy(*g).agg(*[e.alias(k) for k, e in facts.items()]), g)
+        y = x.join(hot.per_group(x.groupBy(*g).agg(*[e.alias(k) for k, e in facts.items()])), g)
     repair = ((F.col("_total") > 0) & (F.col("_has_b") == 0) & (F.col("_has_a") == 1)
               & (F.col("_has_c") == 1) & (rank_key == F.col("_first_beyond")))
     return (y.withColumn(out_col, F.when(repair, "B").otherwise(F.col("_cls")))

@@ -77,3 +77,19 @@ def test_run_month_guards_and_monitoring(spark, tmp_path):
     assert not r3["forecast_written"] and not r3["monitoring_written"]
     mon = spark.read.parquet(mpath)
     assert mon.count() > 0 and mon.select("period").distinct().first()[0] == 200108
+
+
+def test_backfill_monitoring_equals_single_run(spark):
+    from sackcast.plans.backfill import backfill_monitoring
+    from sackcast.plans.monthly import monitoring_month
+
+    d = demand_from_tables(spark, SF001)
+    kn = known_from_demand(d)
+    dates = ["2000-02-15", ASOF]
+    stored = forecast_month(d, kn, dates[0], P).unionByName(forecast_month(d, kn, ASOF, P))
+    one = monitoring_month(stored, d, ASOF, P)
+    bf = backfill_monitoring(backfill_forecast(d, kn, dates, P), d, dates, P)
+    assert bf.select("asof").distinct().count() == 1          # nothing to monitor at the early date
+    bf = bf.drop("asof")
+    assert one.count() == bf.count() > 0
+    assert one.exceptAll(bf).count() == 0 and bf.exceptAll(one).count() == 0
