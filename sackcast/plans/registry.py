@@ -15,10 +15,10 @@ from sackcast.operators.features import CALENDAR_COLS, calendar_features, future
 from sackcast.operators.forecast import moving_average_forecast, zero_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
 from sackcast.operators.prepare import LAST_MONTH, clean_quantity, complete_months, monthly_sum, apply_filters, periodise, prepare_demand
-from sackcast.operators.seasonal import backtest, fit_seasonal_quantiles, seasonal_forecast, PARAM_COLS
+from sackcast.operators.seasonal import PARAM_COLS, backtest, fit_seasonal_quantiles, forecast_with, seasonal_forecast
 from sackcast.operators.segment import segment_metrics, cumulative_share
 from sackcast.operators.skus import recent_sales_flag, recent_sales_split
-from sackcast.operators.stamp import stamp_columns, utc_wall_clock
+from sackcast.operators.stamp import stamp_columns, to_forecast_layout, utc_wall_clock
 from sackcast.params import DEFAULT, Params
 from sackcast.plans import oracle as O
 from sackcast.plans.backfill import backfill_forecast, backfill_frames, backfill_monitoring
@@ -257,6 +257,33 @@ def q_backfill_segments(spark, sf):
     return fr.segments
 
 
+def _last12_mean_model(pdf):
+    """Example user model for the hook: mean of the last 12 months, 18 months ahead,
+    clamped at 0 and rounded half-even. Runs once per series (pandas)."""
+    import numpy as np
+    import pandas as pd
+
+    pdf = pdf.sort_values("month")
+    last = pd.Timestamp(pdf["month"].iloc[-1])
+    level = max(0.0, float(np.round(pdf["qty"].tail(12).mean())))
+    months = [(last + pd.DateOffset(months=h)).date() for h in range(1, P.horizon + 1)]
+    out = pd.DataFrame({c: pdf[c].iloc[0] for c in KEYS}, index=range(len(months)))
+    out["month"] = months
+    out["q50"] = int(level)
+    return out
+
+
+def q_custom_model_hook(spark, sf):
+    el = _frames(spark, sf).eligible.select(*KEYS, S.MONTH, S.QTY)
+    schema = ", ".join(f"{c} string" for c in KEYS) + ", month date, q50 bigint"
+    return forecast_with(el, _last12_mean_model, schema, KEYS)
+
+
+def q_forecast_template(spark, sf):
+    scan = apply_filters(demand_scan(_demand(spark, sf), ASOF, P), P.filters())
+    return _show_stamp(to_forecast_layout(scan, ASOF, P).withColumn("asof", F.lit(ASOF).cast("date"))).drop("asof")
+
+
 def _show_stamp(df: DataFrame, asof_col: str = "asof") -> DataFrame:
     wall = utc_wall_clock(F.col(asof_col), P.stamp_time_zone)
     return df.withColumns({"loaded_at": wall, "deleted_at": wall})
@@ -313,6 +340,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_segments": q_backfill_segments,
     "backfill_forecast": q_backfill_forecast,
     "backfill_monitoring": q_backfill_monitoring,
+    "custom_model_hook": q_custom_model_hook,
+    "forecast_template": q_forecast_template,
 }
 
 
@@ -480,6 +509,22 @@ select date '{ASOF}' as asof, f.product_class, f.company, f.warehouse, f.materia
 from picked f left join c_panel a
   on {O._on('f', 'a')} and a.month = f.date
 where (select count(*) from c_panel) > 0""",
+        "custom_model_hook": W(_run()) + f"""
+select s.product_class, s.company, s.warehouse, s.material, s.unit,
+       cast(s.last + to_months(h.h) as date) as month,
+       cast(greatest(0.0, round_even(s.level, 0)) as bigint) as q50
+from (select {K}, max(month) as last,
+             list_avg(list_slice(list(qty order by month), greatest(1, count(*) - 11), count(*))) as level
+      from r_elig group by {K}) s
+cross join (select unnest(generate_series(1, {P.horizon})) as h) h""",
+        "forecast_template": W(O.panel_ctes("r_", ASOF, P)) + f"""
+select {K}, date, cast(0 as bigint) as q05, cast(0 as bigint) as q25, cast(0 as bigint) as q50,
+       cast(0 as bigint) as q75, cast(0 as bigint) as q95, '' as model_type,
+       false as has_sales, false as is_eligible, false as is_known, false as is_active,
+       '15-08-2001' as run_date, cast(200108 as int) as period,
+       timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
+       timestamp '2001-08-15 05:00:00' as deleted_at
+from r_scan where company in ({O._in(P.companies)})""",
         "backfill_segments": W(_run("e_", ASOF_EARLY), _run("r_", ASOF)) + f"""
 select date '{ASOF_EARLY}' as asof, {K}, {seg_cols} from e_seg
 union all
