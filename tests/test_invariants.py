@@ -93,3 +93,14 @@ def test_backfill_monitoring_equals_single_run(spark):
     bf = bf.drop("asof")
     assert one.count() == bf.count() > 0
     assert one.exceptAll(bf).count() == 0 and bf.exceptAll(one).count() == 0
+
+
+def test_hot_warehouse_path_equals_window_path(spark, frames):
+    """Force every warehouse through the sliced prefix sum on real data."""
+    from sackcast.operators.segment import segment
+
+    panel = frames.panel.drop("_last_month")
+    normal = segment(panel, P)
+    sliced = segment(panel, P, max_group_rows=3)
+    assert normal.count() == sliced.count() == 990
+    assert normal.exceptAll(sliced).count() == 0 and sliced.exceptAll(normal).count() == 0
