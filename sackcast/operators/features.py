@@ -84,3 +84,19 @@ def future_frame(df: DataFrame, horizon: int, keys=S.SERIES_KEY, by: tuple[str,
     fut = fut.withColumn(S.MONTH, F.add_months(F.col("_last"), F.col("step")))
     return (fut.withColumns(calendar_columns(F.col(S.MONTH), F.col("_origin")))
                .drop("_origin", "_last"))
+
+
+def model_input(panel: DataFrame, segment_cols: list[str], n: int = 18, keys=S.SERIES_KEY,
+                qty: str = S.QTY, by: tuple[str, ...] = ()) -> DataFrame:
+    """P11 + T3 + T4 + T5: the frame a per-series model is fed, one row per series
+    and month: display ``item_id``, ``timestamp`` (month), ``target`` (quantity),
+    the 33 lag/mean features, the 12 calendar covariates (counters from the
+    history's min month) and the static segment columns. Features, covariates and
+    statics share the series partitioning of the panel."""
+    from sackcast.functions import item_id
+
+    x = lag_features(panel.select(*by, *keys, S.MONTH, qty, *segment_cols), n, keys, qty, by=by)
+    x = calendar_features(x, by)
+    feats = [f"{qty}_LAG{k}" for k in range(1, n)] + [f"{qty}_MEAN{k}" for k in range(2, n)]
+    return x.select(*by, *keys, item_id(keys).alias("item_id"), F.col(S.MONTH).alias("timestamp"),
+                    F.col(qty).alias("target"), *feats, *CALENDAR_COLS, *segment_cols)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sackcast import schemas as S
-from sackcast.operators.features import CALENDAR_COLS, calendar_features, future_frame, lag_features, static_features
+from sackcast.operators.features import (CALENDAR_COLS, calendar_features, future_frame, lag_features,
+                                         model_input, static_features)
 from sackcast.operators.forecast import moving_average_forecast, zero_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
 from sackcast.operators.prepare import LAST_MONTH, clean_quantity, complete_months, monthly_sum, apply_filters, periodise, prepare_demand
@@ -172,6 +173,16 @@ def q_future_frame(spark, sf):
     return x.select(*KEYS, S.MONTH, F.col("step").cast("long").alias("step"), *_cal_out(x))
 
 
+def q_model_input(spark, sf):
+    seg_cols = [NAMES["abc"], NAMES["xyz"], NAMES["fsn"]]
+    x = model_input(_frames(spark, sf).eligible, seg_cols, P.horizon, list(S.SERIES_KEY))
+    ints = ("month_num", "quarter", "half", "t_linear", "t_quadratic")
+    cal = [F.col(c).cast("long").alias(c) if c in ints else _r6(F.col(c)).alias(c) for c in CALENDAR_COLS]
+    lags = [f"qty_LAG{k}" for k in range(1, P.horizon)]
+    means = [_r6(F.col(f"qty_MEAN{k}")).alias(f"qty_MEAN{k}") for k in range(2, P.horizon)]
+    return x.select(*S.SERIES_KEY, "item_id", "timestamp", "target", *lags, *means, *cal, *seg_cols)
+
+
 def q_static_features(spark, sf):
     cols = [NAMES["abc"], NAMES["xyz"], NAMES["fsn"]]
     return static_features(_frames(spark, sf).eligible, cols, KEYS)
@@ -327,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_features": q_calendar_features,
     "future_frame": q_future_frame,
     "static_features": q_static_features,
+    "model_input": q_model_input,
     "moving_average_forecast": q_moving_average_forecast,
     "zero_forecast": q_zero_forecast,
     "seasonal_params": q_seasonal_params,
@@ -386,6 +398,29 @@ def _calendar_sql(ts: str, origin: str) -> str:
     ])
 
 
+def _model_input_sql() -> str:
+    sk = O.SKEYS
+    lags, means_in, means_out = [], [], []
+    for k in range(1, P.horizon):
+        lag = f"lag(qty, {k}) over (partition by {sk} order by month)"
+        lags.append(f"coalesce({lag}, first_value(qty) over (partition by {sk} order by month)) as qty_LAG{k}")
+    for w in range(2, P.horizon):
+        frame = f"over (partition by {sk} order by month rows between {w} preceding and 1 preceding)"
+        means_in.append(f"case when count(qty) {frame} >= {w} then avg(qty) {frame} end as m{w}")
+        whole = f"over (partition by {sk} order by month rows between unbounded preceding and unbounded following)"
+        means_out.append(f"round_even(coalesce(m{w}, first_value(m{w} ignore nulls) {whole}), 6) + 0.0 as qty_MEAN{w}")
+    lag_names = ", ".join(f"qty_LAG{k}" for k in range(1, P.horizon))
+    return f"""
+select {sk}, concat_ws('_', {sk}) as item_id, month as timestamp, qty as target, {lag_names},
+  {", ".join(means_out)},
+  {_calendar_sql('month', 'o.origin')},
+  abc_qty_30m, xyz_qty_30m, fsn_qty_30m
+from (select {sk}, month, qty, abc_qty_30m, xyz_qty_30m, fsn_qty_30m,
+        {", ".join(lags)},
+        {", ".join(means_in)}
+      from r_elig) x, (select min(month) as origin from r_elig) o"""
+
+
 def _run(tag="r_", asof=ASOF, forecast=False) -> str:
     return ",".join(O.run_ctes(tag, asof, P, forecast))
 
@@ -447,6 +482,7 @@ from (select {K}, cast(last + to_months(s.step) as date) as month, cast(s.step a
            (select min(month) as origin from r_elig) o,
            (select unnest(generate_series(1, {P.horizon})) as step) s)""",
         "static_features": W(_run()) + f"select distinct {K}, abc_qty_30m, xyz_qty_30m, fsn_qty_30m from r_elig",
+        "model_input": W(_run()) + _model_input_sql(),
         "moving_average_forecast": W(_run(forecast=True)) + f"select {K}, date as month, {qcols} from r_ma_fc where not is_eligible",
         "zero_forecast": W(_run(forecast=True)) + f"select {K}, date as month, {qcols} from r_zero_fc",
         "seasonal_params": W(_run(forecast=True)) + f"""

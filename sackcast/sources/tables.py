@@ -22,6 +22,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """S5 for catalog tables: a missing table (or database) gives False; any other
+    error is raised."""
+    try:
+        return spark.catalog.tableExists(name)
+    except AnalysisException as e:
+        if "NOT_FOUND" in str(e):
+            return False
+        raise
+
+
 def has_rows(spark: SparkSession, path: str, where=None) -> bool:
     """S6/S10 guard: the location exists and the (filtered) read has a row.
     ``isEmpty`` stops at the first row; a ``period`` filter prunes partitions."""

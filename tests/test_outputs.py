@@ -68,3 +68,15 @@ def test_write_once_is_idempotent(spark, tmp_path):
     assert back.count() == 2 and back.columns == S.FORECAST_SCHEMA.names
     assert tables.read_month(spark, path, 202401, "CEMENT", S.FORECAST_SCHEMA).count() == 2
     assert tables.has_rows(spark, path, tables.month_guard(202402, "CEMENT")) is False
+
+
+def test_item_id_helpers_and_table_check(spark):
+    from sackcast.functions import item_id, split_item_id
+
+    df = spark.createDataFrame([("6012", "C001", "Brand#1", "BLS")], "company string, warehouse string, material string, unit string")
+    r = df.select(item_id(["company", "warehouse", "material", "unit"]).alias("id")).first()
+    assert r.id == "6012_C001_Brand#1_BLS"
+    back = df.select(item_id(["company", "warehouse"]).alias("id")).select(
+        *[c.alias(n) for n, c in split_item_id("id", ["company", "warehouse"]).items()]).first()
+    assert (back.company, back.warehouse) == ("6012", "C001")
+    assert tables.table_exists(spark, "no_such_table_here") is False
