@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.operators.prepare import apply_filters, clean_quantity, complete_months, monthly_sum, periodise
-from sackcast.operators.monitor import monitor_errors
+from sackcast.operators.monitor import min_period, monitor_errors
 from sackcast.operators.stamp import stamp_columns
 from sackcast.params import Params
 from sackcast.plans.monthly import RunFrames, forecast_rows, split_run
@@ -96,7 +96,8 @@ def monitorable_per_date(forecasts: DataFrame, asofs, p: Params) -> DataFrame:
     (The reference ignores months older than prev - 24 while looking for that
     period; that cannot change which period's last month equals prev.)
     The period and date tables have at most one row per period / date."""
-    fc = forecasts.where(F.col(S.CLASS) == p.product_class)
+    low = min(min_period(asof_months(a)["prev"], p.horizon) for a in asofs)
+    fc = forecasts.where((F.col(S.CLASS) == p.product_class) & (F.col("period") >= low))
     mm = F.trunc(F.to_date(F.col(S.DATE)), "MM")
     last = fc.groupBy("period").agg(F.max(mm).alias("_last"))
     dates = F.array(*[F.struct(F.lit(asof_months(a)["asof"]).alias("asof"),

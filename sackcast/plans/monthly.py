@@ -83,7 +83,7 @@ def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
 
 def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Params) -> DataFrame:
     """S12 + S13 + T2 + T15 + P8: errors of the forecast that has just completed."""
-    fc = monitorable_forecast(stored_forecast, asof, p.product_class)
+    fc = monitorable_forecast(stored_forecast, asof, p.product_class, horizon=p.horizon)
     act = prepare_demand(actuals_scan(demand, asof, p), p.filters(), S.PRODUCT_KEY, (S.QTY,),
                          True, True, p.history_months)
     out = monitor_errors(fc, act)

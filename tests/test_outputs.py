@@ -80,3 +80,23 @@ def test_item_id_helpers_and_table_check(spark):
         *[c.alias(n) for n, c in split_item_id("id", ["company", "warehouse"]).items()]).first()
     assert (back.company, back.warehouse) == ("6012", "C001")
     assert tables.table_exists(spark, "no_such_table_here") is False
+
+
+def test_monitoring_prunes_old_partitions(spark, tmp_path):
+    from sackcast.operators.monitor import min_period
+
+    assert min_period(dt.date(2001, 7, 1)) == 200002
+    path = str(tmp_path / "fc")
+    k = key()
+    old = S.conform(_fc(spark, k, ["2022-01"], 202101), S.FORECAST_SCHEMA)
+    good = S.conform(_fc(spark, k, [f"2024-{m:02d}" for m in range(1, 13)], 202401), S.FORECAST_SCHEMA)
+    tables.write_once(old, path, 202101, "CEMENT", S.FORECAST_SCHEMA)
+    tables.write_once(good, path, 202401, "CEMENT", S.FORECAST_SCHEMA)
+    stored = tables.read_output(spark, path, S.FORECAST_SCHEMA)
+    got = monitorable_forecast(stored, "2025-01-20", "CEMENT")
+    assert {r.period for r in got.collect()} == {202401}
+    import io, contextlib
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    assert "PartitionFilters: [isnotnull(period" in buf.getvalue() and "period#" in buf.getvalue()
