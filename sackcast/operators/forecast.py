@@ -24,18 +24,18 @@ def _last_values(df: DataFrame, k: int, keys, qty: str, by) -> DataFrame:
 
 
 def _ma_steps(window: Column, horizon: int) -> Column:
-    """T7 recursion as a fold over ``horizon`` steps: p = max(0, round_half_even(mean(w))),
-    the oldest value leaves the window and p enters it."""
-    init = F.struct(window.alias("w"), F.array().cast("array<bigint>").alias("o"))
+    """T7 recursion as a fold over ``horizon`` steps on a growing array: each step
+    appends p = max(0, round_half_even(mean of the last n values)), n = the initial
+    window size; that equals dropping the oldest value and pushing p. Returns the
+    ``horizon`` projections as bigint."""
+    n = F.size(window)
 
     def step(acc, _):
-        w = acc["w"]
-        mean = F.aggregate(w, F.lit(0.0), lambda s, x: s + x) / F.size(w)
-        p = F.greatest(F.lit(0.0), F.bround(mean, 0))
-        return F.struct(F.concat(F.slice(w, 2, F.size(w)), F.array(p)).alias("w"),
-                        F.concat(acc["o"], F.array(p.cast("long"))).alias("o"))
+        mean = F.aggregate(F.slice(acc, -n, n), F.lit(0.0), lambda s, x: s + x) / n
+        return F.concat(acc, F.array(F.greatest(F.lit(0.0), F.bround(mean, 0))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step, lambda acc: acc["o"])
+    full = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), window, step)
+    return F.transform(F.slice(full, -horizon, horizon), lambda v: v.cast("long"))
 
 
 def _explode_steps(df: DataFrame, arr: Column, keys, by) -> DataFrame:

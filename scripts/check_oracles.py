@@ -44,6 +44,9 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = local_session()
+    import os
+    if os.environ.get("SPARK_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SPARK_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
