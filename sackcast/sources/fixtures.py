@@ -12,9 +12,23 @@ from sackcast import schemas as S
 
 TABLES = ("lineitem", "part", "supplier", "nation")
 
+# Declared read schemas (the columns the mapping uses, with the files' types):
+# no schema-inference job per read, and the ship date is read as a wall-clock
+# TIMESTAMP_NTZ, so its DATE does not depend on the session time zone.
+READ_SCHEMAS = {
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_brand string, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+}
+
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    out = {}
+    for n in names:
+        reader = spark.read.schema(READ_SCHEMAS[n]) if n in READ_SCHEMAS else spark.read
+        out[n] = reader.parquet(f"{sf_dir}/{n}.parquet")
+    return out
 
 
 def demand_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
