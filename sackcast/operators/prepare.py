@@ -67,13 +67,12 @@ def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_col
     vals = [F.col(c) for c in qty_cols]
     per_key = m.groupBy(*by, *keys).agg(
         F.max("_hi").alias("_hi"),
-        F.collect_list(F.struct(F.col(S.MONTH).alias("m"), *[v.alias(c) for v, c in zip(vals, qty_cols)])).alias("_rows"))
+        F.collect_list(F.struct(F.col(S.MONTH).alias("m"), *[v.alias(c) for v, c in zip(vals, qty_cols)])).alias("_rows"),
+        F.collect_list(S.MONTH).alias("_have"))
     lo = F.add_months(F.col("_hi"), -(months - 1))
-    window = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.add_months(lo, k))
-    have = F.transform(F.col("_rows"), lambda r: r["m"])
-    missing = F.transform(
-        F.filter(window, lambda d: ~F.array_contains(have, d)),
-        lambda d: F.struct(d.alias("m"), *[F.lit(0.0).alias(c) for c in qty_cols]))
+    window = F.sequence(lo, F.col("_hi"), F.expr("INTERVAL 1 MONTH"))
+    missing = F.transform(F.array_except(window, F.col("_have")),
+                          lambda d: F.struct(d.alias("m"), *[F.lit(0.0).alias(c) for c in qty_cols]))
     full = per_key.select(*by, *keys, "_hi", F.explode(F.concat(F.col("_rows"), missing)).alias("_r"))
     extra = [F.col("_hi").alias(LAST_MONTH)] if keep_last else []
     return full.select(*by, *keys, F.col("_r.m").alias(S.MONTH), *[F.col(f"_r.{c}").alias(c) for c in qty_cols],
