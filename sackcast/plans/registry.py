@@ -8,14 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sackcast import schemas as S
 from sackcast.operators.features import (CALENDAR_COLS, calendar_features, future_frame, lag_features,
                                          model_input, static_features)
 from sackcast.operators.forecast import moving_average_forecast, zero_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
-from sackcast.operators.prepare import LAST_MONTH, clean_quantity, complete_months, monthly_sum, apply_filters, periodise, prepare_demand
+from sackcast.operators.prepare import (LAST_MONTH, apply_filters, clean_quantity, complete_months, monthly_sum,
+                                        periodise, prepare_demand)
 from sackcast.operators.seasonal import PARAM_COLS, backtest, fit_seasonal_quantiles, forecast_with, seasonal_forecast
 from sackcast.operators.segment import segment_metrics, cumulative_share
 from sackcast.operators.skus import recent_sales_flag, recent_sales_split
@@ -23,7 +23,7 @@ from sackcast.operators.stamp import stamp_columns, to_forecast_layout, utc_wall
 from sackcast.params import DEFAULT, Params
 from sackcast.plans import oracle as O
 from sackcast.plans.backfill import backfill_forecast, backfill_frames, backfill_monitoring
-from sackcast.plans.monthly import RunFrames, forecast_rows, monitoring_month, prepared_panel, split_run
+from sackcast.plans.monthly import RunFrames, forecast_rows, prepared_panel, split_run
 from sackcast.sources.demand import actuals_scan, demand_scan
 from sackcast.sources.fixtures import demand_from_tables, known_from_demand
 
@@ -292,11 +292,12 @@ def q_custom_model_hook(spark, sf):
 
 def q_forecast_template(spark, sf):
     scan = apply_filters(demand_scan(_demand(spark, sf), ASOF, P), P.filters())
-    return _show_stamp(to_forecast_layout(scan, ASOF, P).withColumn("asof", F.lit(ASOF).cast("date"))).drop("asof")
+    return _show_stamp(to_forecast_layout(scan, ASOF, P), F.lit(ASOF).cast("date"))
 
 
-def _show_stamp(df: DataFrame, asof_col: str = "asof") -> DataFrame:
-    wall = utc_wall_clock(F.col(asof_col), P.stamp_time_zone)
+def _show_stamp(df: DataFrame, asof="asof") -> DataFrame:
+    """Stamp instants shown as UTC wall clock (TIMESTAMP_NTZ) for engine-neutral comparison."""
+    wall = utc_wall_clock(F.col(asof) if isinstance(asof, str) else asof, P.stamp_time_zone)
     return df.withColumns({"loaded_at": wall, "deleted_at": wall})
 
 

@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The reference job has no streaming input, watermark, state or trigger: it runs
+once a month as a batch container job. A monthly run is ``plans.monthly.run_month``
+(guarded, idempotent per period), so a scheduler can call it; nothing streaming
+is invented here.
+"""
