@@ -13,7 +13,7 @@ from sackcast import schemas as S
 from sackcast.operators.forecast import known_keys, not_eligible_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
 from sackcast.operators.prepare import LAST_MONTH, prepare_demand
-from sackcast.operators.seasonal import eligible_forecast
+from sackcast.operators.seasonal import eligible_forecast, fit_or_load
 from sackcast.operators.segment import segment
 from sackcast.operators.skus import eligible_split, known_split
 from sackcast.operators.stamp import add_period_stamp
@@ -75,9 +75,16 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
 
 
 def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
-                   params: DataFrame | None = None) -> DataFrame:
-    """The month's forecast in the output layout (21 columns), lazily."""
+                   params: DataFrame | None = None, model_path: str | None = None) -> DataFrame:
+    """The month's forecast in the output layout (21 columns), lazily.
+
+    ``model_path``: versioned parameter table (T10). The month's version is loaded
+    if stored, else fitted on the eligible series, appended and loaded (that write
+    is the only eager step)."""
     fr = split_run(prepared_panel(demand, asof, p, keep_last=True), known, p)
+    if params is None and model_path is not None:
+        train = fr.eligible.select(*S.PRODUCT_KEY, S.MONTH, S.QTY)
+        params = fit_or_load(demand.sparkSession, train, model_path, asof, p.quantiles, S.PRODUCT_KEY)
     return S.conform(add_period_stamp(forecast_rows(fr, p, params), asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
 
 
@@ -91,14 +98,14 @@ def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Par
 
 
 def run_month(demand: DataFrame, known: DataFrame, asof, p: Params, forecast_path: str,
-              monitor_path: str) -> dict:
+              monitor_path: str, model_path: str | None = None) -> dict:
     """Run-once guards, append the month's forecast, then the monitoring.
     A month already stored is read back instead of recomputed (S10, S11)."""
     spark = demand.sparkSession
     period = int(str(asof)[:7].replace("-", ""))
     wrote_fc = wrote_mon = False
     if not tables.has_rows(spark, forecast_path, tables.month_guard(period, p.product_class)):
-        fc = forecast_month(demand, known, asof, p)
+        fc = forecast_month(demand, known, asof, p, model_path=model_path)
         wrote_fc = tables.write_once(fc, forecast_path, period, p.product_class, S.FORECAST_SCHEMA)
     if not tables.has_rows(spark, monitor_path, tables.month_guard(period, p.product_class)):
         stored = tables.read_output(spark, forecast_path, S.FORECAST_SCHEMA)

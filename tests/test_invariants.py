@@ -104,3 +104,18 @@ def test_hot_warehouse_path_equals_window_path(spark, frames):
     sliced = segment(panel, P, max_group_rows=3)
     assert normal.count() == sliced.count() == 990
     assert normal.exceptAll(sliced).count() == 0 and sliced.exceptAll(normal).count() == 0
+
+
+def test_versioned_model_in_monthly_run(spark, tmp_path):
+    d = demand_from_tables(spark, SF001)
+    kn = known_from_demand(d)
+    mpath = str(tmp_path / "model")
+    with_model = forecast_month(d, kn, ASOF, P, model_path=mpath)
+    plain = forecast_month(d, kn, ASOF, P)
+    cols = [c for c in plain.columns if c not in ("loaded_at", "deleted_at")]
+    assert with_model.select(cols).exceptAll(plain.select(cols)).count() == 0
+    stored = spark.read.parquet(mpath)
+    assert stored.select("model_version").distinct().first()[0] == "v200108"
+    n = stored.count()
+    forecast_month(d, kn, ASOF, P, model_path=mpath).count()     # second run loads, writes nothing
+    assert spark.read.parquet(mpath).count() == n
