@@ -17,12 +17,14 @@ def read_demand(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def load_known(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Known-SKU list (S3): the five key columns as strings, extra columns ignored.
+    """Known-SKU list (S3): the five key columns as strings, picked by header name
+    (any order, extra columns ignored).
 
-    CSV is read with an all-string schema, so codes keep their leading zeros.
+    CSV is read without type inference, so every column is a string and codes
+    keep their leading zeros.
     """
     if fmt == "csv":
-        df = spark.read.option("header", True).schema(S.KNOWN_SCHEMA).csv(path)
+        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
     return df.select(*[F.col(c).cast("string").alias(c) for c in S.PRODUCT_KEY])

@@ -100,3 +100,13 @@ def test_monitoring_prunes_old_partitions(spark, tmp_path):
     with contextlib.redirect_stdout(buf):
         got.explain()
     assert "PartitionFilters: [isnotnull(period" in buf.getvalue() and "period#" in buf.getvalue()
+
+
+def test_load_known_by_header(spark, tmp_path):
+    from sackcast.sources import load_known
+
+    f = tmp_path / "known.csv"
+    f.write_text("note,unit,material,warehouse,company,product_class\n"
+                 "x,BLS,0007,C001,6012,CEMENT\n")
+    r = load_known(spark, str(f)).first()
+    assert tuple(r) == ("CEMENT", "6012", "C001", "0007", "BLS")
