@@ -19,6 +19,7 @@ from sackcast.operators.monitor import min_period, monitor_errors
 from sackcast.operators.stamp import stamp_columns
 from sackcast.params import Params
 from sackcast.plans.monthly import RunFrames, forecast_rows, split_run
+from sackcast.sources import tables
 from sackcast.sources.demand import _month_start, asof_months
 
 BY = ("asof",)
@@ -117,3 +118,29 @@ def backfill_monitoring(forecasts: DataFrame, demand: DataFrame, asofs, p: Param
     out = monitor_errors(fc.drop(*S.STAMP_COLS), act, by=BY)
     out = out.withColumns(stamp_columns(F.col("asof"), p.stamp_time_zone))
     return S.conform(out, S.MONITOR_SCHEMA, leading=BY)
+
+
+def _new_periods_only(df: DataFrame, path: str, p: Params) -> DataFrame:
+    """Rows whose (period, class) is not stored yet (lazy anti join on a table of
+    at most one row per stored period)."""
+    spark = df.sparkSession
+    if not tables.path_exists(spark, path):
+        return df
+    stored = (spark.read.parquet(path).where(F.col(S.CLASS) == p.product_class)
+                   .select("period").distinct())
+    return df.join(F.broadcast(stored), "period", "left_anti")
+
+
+def run_backfill(demand: DataFrame, known: DataFrame, asofs, p: Params, forecast_path: str,
+                 monitor_path: str) -> None:
+    """T16 with sinks: every date's forecast is appended to the period-partitioned
+    forecast table unless its period is stored already (run-once, as S10), then
+    every date's monitoring is computed from the stored forecasts and appended the
+    same way. Two write jobs in total, however many dates."""
+    fc = backfill_forecast(demand, known, asofs, p).drop(*BY)
+    (S.conform(_new_periods_only(fc, forecast_path, p), S.FORECAST_SCHEMA)
+       .write.mode("append").partitionBy("period").parquet(forecast_path))
+    stored = tables.read_output(demand.sparkSession, forecast_path, S.FORECAST_SCHEMA)
+    mon = backfill_monitoring(stored, demand, asofs, p).drop(*BY)
+    (S.conform(_new_periods_only(mon, monitor_path, p), S.MONITOR_SCHEMA)
+       .write.mode("append").partitionBy("period").parquet(monitor_path))

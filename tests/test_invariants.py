@@ -119,3 +119,21 @@ def test_versioned_model_in_monthly_run(spark, tmp_path):
     n = stored.count()
     forecast_month(d, kn, ASOF, P, model_path=mpath).count()     # second run loads, writes nothing
     assert spark.read.parquet(mpath).count() == n
+
+
+def test_run_backfill_writes_once(spark, tmp_path):
+    from sackcast.plans.backfill import run_backfill
+
+    d = demand_from_tables(spark, SF001)
+    kn = known_from_demand(d)
+    fpath, mpath = str(tmp_path / "fc"), str(tmp_path / "mon")
+    dates = ["2000-02-15", ASOF]
+    run_backfill(d, kn, dates, P, fpath, mpath)
+    fc = spark.read.parquet(fpath)
+    mon = spark.read.parquet(mpath)
+    assert sorted(r.period for r in fc.select("period").distinct().collect()) == [200002, 200108]
+    assert [r.period for r in mon.select("period").distinct().collect()] == [200108]
+    n_fc, n_mon = fc.count(), mon.count()
+    assert n_fc > 0 and n_mon > 0
+    run_backfill(d, kn, dates, P, fpath, mpath)
+    assert spark.read.parquet(fpath).count() == n_fc and spark.read.parquet(mpath).count() == n_mon
