@@ -57,3 +57,16 @@ def test_null_segment_is_not_eligible(spark):
     el, nel = eligible_split(pn, DEFAULT, seg)
     assert [r.material for r in el.collect()] == ["M1"]
     assert [r.material for r in nel.collect()] == ["M2"]
+
+
+def test_known_split_with_numeric_codes(spark):
+    from sackcast.operators.skus import known_split
+
+    pn = panel_rows(spark, [(("CEMENT", "6012", "C001", "100", "BLS"), "2024-01", 1),
+                            (("CEMENT", "6012", "C001", "200", "BLS"), "2024-01", 2)])
+    known = spark.createDataFrame([("CEMENT", 6012, "C001", 100, "BLS"), ("CEMENT", 6012, "C001", 300, "BLS")],
+                                  "product_class string, company int, warehouse string, material int, unit string")
+    act, unk, ina = known_split(pn, known)
+    assert [r.material for r in act.collect()] == ["100"]
+    assert [r.material for r in unk.collect()] == ["200"]
+    assert [r.material for r in ina.collect()] == ["300"]
