@@ -63,7 +63,8 @@ def known_per_run(known: DataFrame, asofs) -> DataFrame:
 
 
 def backfill_frames(demand: DataFrame, known: DataFrame, asofs, p: Params) -> RunFrames:
-    return split_run(backfill_panel(demand, asofs, p, keep_last=True), known_per_run(known, asofs), p, by=BY)
+    return split_run(backfill_panel(demand, asofs, p, keep_last=True), known_per_run(known, asofs), p, by=BY,
+                     known_list=known)
 
 
 def backfill_forecast(demand: DataFrame, known: DataFrame, asofs, p: Params) -> DataFrame:

@@ -39,9 +39,11 @@ class RunFrames:
     unknown: DataFrame
     known_inactive: DataFrame
     known: DataFrame
+    known_list: DataFrame | None = None   # the list without run keys (backfill)
 
 
-def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...] = ()) -> RunFrames:
+def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...] = (),
+              known_list: DataFrame | None = None) -> RunFrames:
     """G6 + G4 + G5 on a prepared panel.
 
     The panel feeds the known split, the segments, the eligibility join and the
@@ -52,7 +54,7 @@ def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...]
     ka, unk, ki = known_split(panel.drop(LAST_MONTH), known, S.PRODUCT_KEY, by)
     seg = segment(panel, p, by=by)
     el, nel = eligible_split(panel, p, seg, by=by)
-    return RunFrames(panel, seg, el, nel, ka, unk, ki, known)
+    return RunFrames(panel, seg, el, nel, ka, unk, ki, known, known_list)
 
 
 def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -62,7 +64,12 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
     k = [*by, *S.PRODUCT_KEY]
     # is_known matches on the 4-column series key (N10); joined per series,
     # before the rows are multiplied by the horizon
-    kk = known_keys(fr.known, S.SERIES_KEY, by)
+    # (the flag does not depend on the run date: with the plain list at hand, the
+    # flag table is built once and joined on the series key for every date)
+    if fr.known_list is not None:
+        kk = known_keys(fr.known_list, S.SERIES_KEY)
+    else:
+        kk = known_keys(fr.known, S.SERIES_KEY, by)
     # the panel is gap-filled up to its max month for every series, so each
     # subset's max month is the panel's: read it from the cached panel
     model = (eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel,
