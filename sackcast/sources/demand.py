@@ -12,8 +12,12 @@ from sackcast.params import Params
 
 
 def read_demand(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Demand table from files; the eight named columns only (column pruning)."""
-    return spark.read.format(fmt).load(path).select(*S.DEMAND_SCHEMA.names)
+    """Demand table from files; the eight named columns only (column pruning).
+    ``last_sale`` is optional (it is dropped before any output)."""
+    df = spark.read.format(fmt).load(path)
+    cols = [F.col(c) if c in df.columns or c != S.LAST_SALE else F.lit(None).cast("date").alias(c)
+            for c in S.DEMAND_SCHEMA.names]
+    return df.select(*cols)
 
 
 def load_known(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

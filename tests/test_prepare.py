@@ -70,3 +70,14 @@ def test_known_split_with_numeric_codes(spark):
     assert [r.material for r in act.collect()] == ["100"]
     assert [r.material for r in unk.collect()] == ["200"]
     assert [r.material for r in ina.collect()] == ["300"]
+
+
+def test_read_demand_without_last_sale(spark, tmp_path):
+    from sackcast.sources import read_demand
+
+    path = str(tmp_path / "demand")
+    spark.createDataFrame([("CEMENT", "6012", "W1", "M1", "BLS", d("2024-01-05"), 2.0)],
+                          "product_class string, company string, warehouse string, material string, unit string, "
+                          "date date, qty double").write.parquet(path)
+    df = read_demand(spark, path)
+    assert df.columns == S.DEMAND_SCHEMA.names and df.first().last_sale is None
