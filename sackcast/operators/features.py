@@ -78,7 +78,7 @@ def future_frame(df: DataFrame, horizon: int, keys=S.SERIES_KEY, by: tuple[str,
     """The next ``horizon`` months after each series' last month, with the T4
     columns whose counters start at the history's min month (per run)."""
     m = with_group_values(df, df, {"_origin": F.min(S.MONTH)}, by)
-    last = m.groupBy(*by, *keys, "_origin").agg(F.max(S.MONTH).alias("_last"))
+    last = m.groupBy(*by, *keys).agg(F.max("_origin").alias("_origin"), F.max(S.MONTH).alias("_last"))
     fut = last.select(*by, *keys, "_origin",
                       F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "_last")
     fut = fut.withColumn(S.MONTH, F.add_months(F.col("_last"), F.col("step")))
