@@ -16,7 +16,8 @@ def _last_values(df: DataFrame, k: int, keys, qty: str, by) -> DataFrame:
     plus ``_hi`` = the frame's max month (per run). A series holds at most one row
     per calendar month, so the collected array is bounded by the history length."""
     m = with_group_values(df, df, {"_hi": F.max(S.MONTH)}, by)
-    per = m.groupBy(*by, *keys, "_hi").agg(
+    per = m.groupBy(*by, *keys).agg(
+        F.max("_hi").alias("_hi"),
         F.array_sort(F.collect_list(F.struct(F.col(S.MONTH).alias("m"), F.col(qty).alias("v")))).alias("_rows"))
     vals = F.transform(F.col("_rows"), lambda r: r["v"])
     return per.select(*by, *keys, "_hi",
@@ -56,7 +57,7 @@ def moving_average_forecast(df: DataFrame, horizon: int = 18, window: int = 12,
 def zero_forecast(df: DataFrame, horizon: int = 18, keys=S.SERIES_KEY, by: tuple[str, ...] = ()) -> DataFrame:
     """Every series of the frame x ``horizon`` months after the frame's max month, value 0."""
     m = with_group_values(df, df, {"_hi": F.max(S.MONTH)}, by)
-    ids = m.select(*by, *keys, "_hi").distinct()
+    ids = m.groupBy(*by, *keys).agg(F.max("_hi").alias("_hi"))
     return _explode_steps(ids, F.array_repeat(F.lit(0).cast("long"), horizon), keys, by)
 
 
