@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import ALNUM, pieces, runs_of_words, use_checkpoints, words_of
+from .shared import ALNUM, pieces, runs_of_words, cut, words_of
 
 #: Words of a seed; alignment scores; share of an item's best score that marks a copy, and least words in common.
 SEED, MATCH, MISMATCH, GAP = 4, 2, -1, -1
@@ -43,8 +43,8 @@ def item_seeds(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([
                 piece.column("item_id"), pa.array([h.tobytes() for h in per], pa.binary()),
                 pa.array([len(h) for h in per], pa.int64()), pa.array(seeds, pa.list_(pa.int64()))], ["item_id", "words", "n", "seeds"])
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("item_id is not null").mapInArrow(
-        run, "item_id long, words binary, n long, seeds array<long>").where("n > 0").dropDuplicates(["item_id", "words"]).checkpoint()
+    rows = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("item_id is not null")
+    items = cut(rows.mapInArrow(run, "item_id long, words binary, n long, seeds array<long>").where("n > 0").dropDuplicates(["item_id", "words"]))
     return items.select("item_id", "words", "n"), items.select("item_id", F.explode("seeds").alias("seed")).distinct()
 
 
@@ -135,11 +135,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows give one row, an empty table on either side gives none; further columns
     are not read. Items shorter than a seed must stand in full.
     """
-    use_checkpoints(docs.sparkSession)
     items, seeds = item_seeds(benchmark)
     size = items.agg(F.max("n").alias("most"), F.collect_set(F.least("n", F.lit(SEED))).alias("lengths")).first()
     lengths = sorted(int(x) for x in size["lengths"]) if size["most"] else [SEED]
-    hits = seed_hits(docs.where("doc_id is not null"), seeds, lengths, int(size["most"] or 0)).checkpoint()
+    hits = cut(seed_hits(docs.where("doc_id is not null"), seeds, lengths, int(size["most"] or 0)))
     single = hits.select("doc_id", "region", F.explode("seeds").alias("seed"))
     frequency = single.select("doc_id", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
     known = seeds.join(frequency, "seed")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import use_checkpoints
+from .shared import cut
 
 #: Mean number of documents that one chunk pairs off.
 CHUNK = 48
@@ -101,12 +101,11 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST, text: str =
     not read. ``taken`` is size times the copies drawn, at most ``most`` times
     the size. Draws come from hashes of the document alone, so reruns agree.
     """
-    use_checkpoints(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     counted = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
                .groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")))
-    sized = counted.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy")).checkpoint()
-    targets = source_targets(sized, weights, most).checkpoint()
+    sized = cut(counted.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy")))
+    targets = cut(source_targets(sized, weights, most))
     right = targets.withColumnRenamed("source", "of")
     wanted = sized.join(right, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -123,7 +122,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST, text: str =
         done = _level(items, level, chunks)
         biggest = -(-biggest // CHUNK) if biggest > 1 else 0
         last = biggest <= 1
-        done = done if last else done.checkpoint()
+        done = done if last else cut(done)
         out.append(done.select("source", F.explode("done").alias("x")).select("source", "x.doc_id", "x.size", taken(F.col("x"))))
         items = done.select("source", "held.doc_id", "held.copy", "held.size", "held.base", "held.part", F.col("chunks").alias("docs"))
         if last:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, html_text, licenses, mixing, quality, secret_scan, topk
+from . import decontaminate, html_text, jaccard_join, licenses, mixing, quality, secret_scan, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_license_scan(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark, sf_dir):
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,6 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination)}
+    op2_license_scan, op4_jaccard_join, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}

@@ -6,6 +6,7 @@ word costs a few array operations and no Python object. A null text is empty.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +20,18 @@ PIECE_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 
 
-def use_checkpoints(spark):
-    """Set the checkpoint folder from ``spark.checkpoint.dir``; only where it is
-    unset, use a folder beside the session's warehouse."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+def cut(frame):
+    """``frame`` written to the shared checkpoint folder and read back: its lineage
+    ends there, lost executors don't matter, and plans know its true size.
+
+    The folder is ``spark.checkpoint.dir``; only where that is unset, one beside
+    the session's warehouse.
+    """
+    spark = frame.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    path = f"{folder}/{uuid.uuid4()}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

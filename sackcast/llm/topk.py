@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import use_checkpoints
+from .shared import cut
 
 #: Vectors of a block (queries and candidates), and slices of the dimensions.
 BLOCK, SLICES = 2048, 2
@@ -110,8 +110,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     once; null ids take no part; an empty table, or a query alone, gives no rows.
     Sums hold in 64 bits.
     """
-    use_checkpoints(vectors.sparkSession)
-    vectors = vectors.select("vec_id", "cells").dropDuplicates(["vec_id", "cells"]).checkpoint()
+    vectors = cut(vectors.select("vec_id", "cells").dropDuplicates(["vec_id", "cells"]))
     queries = vectors.where(F.col("vec_id") % every == 0)
     counts = vectors.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q")).first()
     n, q = counts["n"], counts["q"] or 0
