@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, jaccard_join, licenses, mixing, quality, secret_scan, topk
+from . import decontaminate, html_text, jaccard_join, licenses, mixing, quality, secret_scan, substring_dedup, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup_bytes(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_license_scan(spark, sf_dir):
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +54,6 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op4_jaccard_join, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination)}
+    op1_suffix_dedup, op2_license_scan, op3_substring_dedup, op4_jaccard_join, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination)}
 
 ORACLE: dict[str, str] = {}
