@@ -235,6 +235,17 @@ def _segments(shards: int):
 _FOUND = "at long, version long, first long, size long, a long, b long, kind int, shards long"
 
 
+def _stretches(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first, size) of the maximal runs of neighbouring windows."""
+    order = np.lexsort((start, owner))
+    owner, start = owner[order], start[order]
+    fresh = np.ones(len(owner), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
+    at = np.flatnonzero(fresh)
+    last = np.append(at[1:], len(owner)) - 1
+    return owner[at], start[at], start[last] - start[at] + LENGTH
+
+
 def _shard(frame: pd.DataFrame) -> pd.DataFrame:
     """Repeated stretches of a shard, and for shards that share a minimizer their distinct windows in order."""
     out = []
@@ -258,8 +269,9 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
             owner, start, group = repeated_windows(heads["bytes"].tolist())
             more = np.bincount(group)[group] > 1
             take = more & ~settled[owner]
-            rows = heads.iloc[owner[take]]
-            add(rows, rows["first"].to_numpy() + start[take], LENGTH)
+            who, first, size = _stretches(owner[take], start[take])
+            rows = heads.iloc[who]
+            add(rows, rows["first"].to_numpy() + first, size)
             if crowded:
                 lead = np.ones(len(group), bool)
                 lead[1:] = group[1:] != group[:-1]
