@@ -123,10 +123,10 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     flags = cut(repeated_anchors(rows, _doc_anchors).groupBy("at", "version").agg(F.collect_set("anchor").alias("anchors")))
     marked = rows.join(flags, ["at", "version"], "left")
-    windows = marked.where("anchors is not null").select("at", "version", "text", "anchors").mapInArrow(
+    windows = marked.where("anchors is not null").select("doc_id", "at", "version", "text", "anchors").mapInArrow(
         _emit_windows, "a long, b long, at long, version long, start long")
     first = windows.groupBy("a", "b").agg(F.min(F.struct("at", "start", "version")).alias("first"))
     firsts = first.groupBy("first.at", "first.version").agg(F.collect_list("first.start").alias("firsts"))
     full = marked.join(firsts, ["at", "version"], "left").select(
-        "doc_id", "text", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
+        "doc_id", "at", "version", "text", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
     return full.mapInArrow(_emit_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")

@@ -182,8 +182,8 @@ def _text_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return out[0], out[1]
 
 
-_NAMES = ["shard", "sub", "at", "version", "first", "size", "key", "bytes", "kind", "shards"]
-_SEGMENTS = "shard long, sub long, at long, version long, first long, size long, key binary, bytes binary, kind int, shards long"
+_NAMES = ["shard", "sub", "at", "version", "first", "size", "key", "bytes", "kind", "shards", "gram"]
+_SEGMENTS = "shard long, sub long, at long, version long, first long, size long, key binary, bytes binary, kind int, shards long, gram long"
 
 
 def _segments(shards: int):
@@ -215,7 +215,7 @@ def _segments(shards: int):
                     pa.array(shard), pa.array(sub), pa.array(np.asarray(piece.column("at"))[doc]), pa.array(np.asarray(piece.column("version"))[doc]),
                     pa.array(first - offsets[doc]), pa.array(end - first), pa.array([x.tobytes() for x in np.stack([a, b], axis=1)], pa.binary()),
                     pa.array([raw[s:e] for s, e in zip(first.tolist(), end.tolist())], pa.binary()),
-                    pa.array(np.zeros(len(doc), np.int32)), pa.array(ways)], _NAMES))
+                    pa.array(np.zeros(len(doc), np.int32)), pa.array(ways), pa.array(least.astype(np.int64))], _NAMES))
             rows = pa.Table.from_batches(parts).combine_chunks()
             if not rows.num_rows:
                 continue
@@ -232,7 +232,7 @@ def _segments(shards: int):
     return run
 
 
-_FOUND = "at long, version long, first long, size long, a long, b long, kind int, shards long"
+_FOUND = "at long, version long, first long, size long, a long, b long, kind int"
 
 
 def _stretches(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,7 +242,7 @@ def _stretches(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nda
     fresh = np.ones(len(owner), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
     at = np.flatnonzero(fresh)
-    last = np.append(at[1:], len(owner)) - 1
+    last = np.append(at[1:], len(owner))[:len(at)] - 1
     return owner[at], start[at], start[last] - start[at] + LENGTH
 
 
@@ -251,7 +251,7 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
     out = []
 
     def add(rows: pd.DataFrame, first, size, a=0, b=0, kind=DECIDED) -> None:
-        out.append(pd.DataFrame({"at": rows["at"], "version": rows["version"], "first": first, "size": size, "a": a, "b": b, "kind": kind, "shards": rows["shards"]}))
+        out.append(pd.DataFrame({"at": rows["at"], "version": rows["version"], "first": first, "size": size, "a": a, "b": b, "kind": kind}))
 
     done = frame[frame["kind"] == DECIDED]
     add(done, done["first"], done["size"])
@@ -265,6 +265,9 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
         settled = whole[heads.index].to_numpy()
         heads = heads.reset_index(drop=True)
         crowded = int(heads["shards"].iloc[0]) > 1
+        if not crowded:  # where all segments around a minimizer are settled, nothing is left to find
+            open_ = heads["gram"].isin(heads["gram"][~settled]).to_numpy()
+            heads, settled = heads[open_].reset_index(drop=True), settled[open_]
         if crowded or not settled.all():
             owner, start, group = repeated_windows(heads["bytes"].tolist())
             more = np.bincount(group)[group] > 1
@@ -285,8 +288,13 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
+_STRETCHES = "at long, version long, first long, size long"
+
+
 def _merge(frame: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one range of keys that stand in several shards' ordered lists."""
+    """What shards decided, and the windows of one range of keys that stand in several shards' ordered lists."""
+    decided = frame[frame["kind"] == DECIDED]
+    frame = frame[frame["kind"] != DECIDED]
     a, b = frame["a"].to_numpy(), frame["b"].to_numpy()
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
@@ -295,25 +303,22 @@ def _merge(frame: pd.DataFrame) -> pd.DataFrame:
     for k in np.flatnonzero(high - low > 1):
         again[k] = (b[low[k]:high[k]] == b[k]).sum() > 1
     found = frame.iloc[order[again]]
-    found = found[found["kind"] == ALONE]
-    return found[["at", "version", "first", "size"]]
+    return pd.concat([decided, found[found["kind"] == ALONE]])[["at", "version", "first", "size"]]
 
 
 def repeated_stretches(docs: DataFrame) -> DataFrame:
     """(at, version, first, size): stretches of bytes of the rows of ``keyed`` docs that are unions of repeated strings."""
-    flags = cut(repeated_anchors(docs, _doc_anchors).distinct())
+    flags = cut(repeated_anchors(docs.where(F.octet_length("text") >= LENGTH), _doc_anchors).distinct())
     often = flags.groupBy("anchor").agg(F.count(F.lit(1)).alias("docs"))
-    crowded = often.where(F.col("docs") > HOT).select("anchor", F.ceil(F.col("docs") / HOT).cast("long").alias("split"))
+    crowded = cut(often.where(F.col("docs") > HOT).select("anchor", F.ceil(F.col("docs") / HOT).cast("long").alias("split")))
     shards = max(1, flags.count() // SHARD_SEGMENTS)
+    ranges = max(1, (crowded.agg(F.sum("split")).first()[0] or 0) * HOT * SPAN // (2 * MERGE))
     named = flags.join(crowded, "anchor", "left").groupBy("at", "version").agg(
         F.collect_list(F.struct("anchor", F.coalesce("split", F.lit(1)).alias("split"))).alias("anchors"))
-    rows = docs.join(named, ["at", "version"]).select("at", "version", "text", "anchors")
-    found = cut(rows.mapInArrow(_segments(shards), _SEGMENTS).groupBy("shard", "sub").applyInPandas(_shard, _FOUND))
-    open_ = found.where(f"kind <> {DECIDED}")
-    ranges = max(1, open_.count() // MERGE)
-    merged = open_.withColumn("range", F.pmod(F.shiftright("a", 20), F.lit(ranges))).groupBy("range").applyInPandas(
-        _merge, "at long, version long, first long, size long")
-    return found.where(f"kind = {DECIDED}").select("at", "version", "first", "size").union(merged)
+    rows = docs.join(named, ["at", "version"]).select("doc_id", "at", "version", "text", "anchors")
+    found = rows.mapInArrow(_segments(shards), _SEGMENTS).groupBy("shard", "sub").applyInPandas(_shard, _FOUND)
+    part = F.when(F.col("kind") == DECIDED, F.pmod(F.xxhash64("at", "version"), F.lit(shards))).otherwise(-1 - F.pmod(F.shiftright("a", 20), F.lit(ranges)))
+    return found.withColumn("part", part).groupBy("part").applyInPandas(_merge, _STRETCHES)
 
 
 def _emit(batches):
@@ -349,7 +354,7 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     gives no rows; further columns are not read.
     """
     rows = keyed(docs)
-    found = repeated_stretches(rows.where(F.octet_length("text") >= LENGTH))
+    found = repeated_stretches(rows)
     cuts = found.groupBy("at", "version").agg(F.collect_list(F.struct("first", "size")).alias("cuts"))
-    full = rows.join(cuts, ["at", "version"], "left").select("doc_id", "text", F.coalesce("cuts", F.array().cast("array<struct<first:bigint,size:bigint>>")).alias("cuts"))
+    full = rows.join(cuts, ["at", "version"], "left").select("doc_id", "at", "version", "text", F.coalesce("cuts", F.array().cast("array<struct<first:bigint,size:bigint>>")).alias("cuts"))
     return full.mapInArrow(_emit, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
