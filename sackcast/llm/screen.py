@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import pieces
+from .shared import mix, pieces
 
 #: Text bytes of a pack.
 PACK_BYTES = 8 << 20
@@ -22,10 +22,13 @@ ALONE, ASKED, DECIDED = 0, 1, 2
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, version, text): ``at`` orders documents (null last), with ``version`` it names a row's document and text."""
+    """(doc_id, at, version, text): ``at`` orders documents (null last); with
+    ``version``, a short tag of the text (a long one where the id is null), it
+    names a row's document and text."""
+    tag = F.xxhash64("text")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("at"),
-        F.xxhash64("doc_id", F.col("text")).alias("version"), "text")
+        F.when(F.col("doc_id").isNull(), tag).otherwise(F.pmod(tag, F.lit(1 << 20))).alias("version"), "text")
 
 
 def packs(batches, column: str = "text", most: int = PACK_BYTES) -> Iterator[list[pa.RecordBatch]]:
@@ -73,10 +76,11 @@ def repeated_anchors(rows: DataFrame, anchors: Callable) -> DataFrame:
             asking = np.flatnonzero(fresh)
             kind = np.concatenate([np.where(more[asking], ASKED, ALONE), np.full(len(decided), DECIDED)])
             row = np.concatenate([asking, decided])
+            place = mix(at[row].astype(np.uint64)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.where(kind == DECIDED, version[row], found[row])), pa.array(at[row]), pa.array(version[row]),
-                pa.array(found[row]), pa.array(kind, pa.int32())], names)
+                pa.array(np.where(kind == DECIDED, place, found[row])), pa.array(at[row]), pa.array(version[row]),
+                pa.array(found[row], mask=kind != DECIDED), pa.array(kind, pa.int32())], names)
     asked = rows.select("at", "version", "text").mapInArrow(run, "part long, at long, version long, anchor long, kind int")
     same = Window.partitionBy("part").orderBy("kind")
     near = asked.withColumn("near", F.lag("kind").over(same).isNotNull() | F.lead("kind").over(same).isNotNull())
-    return near.where(f"kind = {DECIDED} or kind = {ALONE} and near").select("at", "version", "anchor")
+    return near.where(f"kind = {DECIDED} or kind = {ALONE} and near").select("at", "version", F.coalesce("anchor", "part").alias("anchor"))

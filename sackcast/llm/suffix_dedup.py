@@ -227,7 +227,8 @@ def _segments(shards: int):
                 part = rows.take(pa.array(take))
                 part = part.set_column(8, "kind", pa.array(kind, pa.int32()))
                 if len(kind) and kind[0] == DECIDED:  # nothing to compare: to its document's place
-                    part = part.set_column(7, "bytes", pa.array([b""] * len(kind), pa.binary())).set_column(0, "shard", part.column("version"))
+                    part = part.set_column(7, "bytes", pa.array([b""] * len(kind), pa.binary())).set_column(
+                        0, "shard", pa.array(-1 - np.asarray(part.column("at")) % shards))
                 yield from part.to_batches()
     return run
 
