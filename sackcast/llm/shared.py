@@ -25,12 +25,18 @@ def cut(frame):
     ends there, lost executors don't matter, and plans know its true size.
 
     The folder is ``spark.checkpoint.dir``; only where that is unset, one beside
-    the session's warehouse.
+    the session's warehouse. The write's shuffle files go when it has ended.
     """
     spark = frame.sparkSession
+    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(tidy, "false")
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     path = f"{folder}/{uuid.uuid4()}"
-    frame.write.parquet(path)
+    spark.conf.set(tidy, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(tidy, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
