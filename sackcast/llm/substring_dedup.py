@@ -93,6 +93,8 @@ def _emit_kept(batches):
         owner = np.asarray(pc.list_parent_indices(firsts), dtype=np.int64)
         first = np.asarray(pc.list_flatten(firsts), dtype=np.int64) + words.first[owner]
         gone = covered(start[~np.isin(start, first)], WINDOW, len(words.doc))
+        copy = np.asarray(piece.column("copy"))[words.doc]
+        gone |= copy & (np.diff(words.first)[words.doc] >= WINDOW)
         raw, offsets = utf8(piece.column("text"))
         sums, texts = [], []
         for d in range(piece.num_rows):
@@ -122,11 +124,14 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """
     rows = keyed(docs)
     flags = cut(repeated_anchors(rows, _doc_anchors).groupBy("at", "version").agg(F.collect_set("anchor").alias("anchors")))
-    marked = rows.join(flags, ["at", "version"], "left")
-    windows = marked.where("anchors is not null").select("doc_id", "at", "version", "text", "anchors").mapInArrow(
+    heads = rows.groupBy(F.md5("text").alias("same"), F.octet_length("text").alias("size")).agg(F.min(F.struct("at", "version")).alias("head"))
+    heads = cut(heads.select("head.at", "head.version", F.lit(False).alias("copy")))  # equal texts: the first one's windows speak for all
+    marked = rows.join(flags.join(heads, ["at", "version"], "full"), ["at", "version"], "left")
+    windows = marked.where("anchors is not null and copy is not null").select("doc_id", "at", "version", "text", "anchors").mapInArrow(
         _emit_windows, "a long, b long, at long, version long, start long")
     first = windows.groupBy("a", "b").agg(F.min(F.struct("at", "start", "version")).alias("first"))
     firsts = first.groupBy("first.at", "first.version").agg(F.collect_list("first.start").alias("firsts"))
     full = marked.join(firsts, ["at", "version"], "left").select(
-        "doc_id", "at", "version", "text", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
+        "doc_id", "at", "version", "text", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"),
+        F.coalesce("copy", F.lit(True)).alias("copy"))
     return full.mapInArrow(_emit_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
