@@ -28,7 +28,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     tag = F.xxhash64("text")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("at"),
-        F.when(F.col("doc_id").isNull(), tag).otherwise(F.pmod(tag, F.lit(1 << 20))).alias("version"), "text")
+        F.when(F.col("doc_id").isNull(), tag).otherwise(tag.bitwiseAND(F.lit((1 << 20) - 1))).alias("version"), "text")
 
 
 def packs(batches, column: str = "text", most: int = PACK_BYTES) -> Iterator[list[pa.RecordBatch]]:
