@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .shared import NOT_SPACE, cut, pieces, runs_of_words, words_of
 
 #: Cells of the frequency table and of a set's histogram.
-TABLE_BITS, CELLS = 18, 16
+TABLE_BITS, CELLS = 20, 32
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
 
@@ -145,8 +145,21 @@ def connected(edges: DataFrame) -> DataFrame:
     return state
 
 
-def _verified(pairs: DataFrame, facts: DataFrame, sets: DataFrame, low: int) -> DataFrame:
-    """The (a, b) pairs whose sets reach the threshold: first the suffix filter on histograms, then whole sets."""
+def whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(class, shingles) of the documents named by ``ids`` (class)."""
+    texts = docs.join(ids.withColumnRenamed("class", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+    def whole(batches):
+        for piece in pieces(batches):
+            _, shingle, bounds = shingle_sets(piece, n)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.ListArray.from_arrays(
+                pa.array(bounds, pa.int32()), pa.array(shingle.astype(np.int64)))], ["class", "shingles"])
+    return texts.mapInArrow(whole, "class long, shingles array<long>")
+
+
+def _verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, n: int, low: int) -> DataFrame:
+    """The (a, b) pairs whose sets reach the threshold: first the suffix filter on
+    histograms, then the whole sets of the documents that are left."""
     use = facts.select("class", "n", "cells")
     bounded = (pairs.join(use.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ha")), "a")
                .join(use.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("hb")), "b"))
@@ -158,10 +171,12 @@ def _verified(pairs: DataFrame, facts: DataFrame, sets: DataFrame, low: int) ->
             keep = (100 + low) * np.minimum(ha, hb).sum(axis=1) >= low * both
             yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
     left = cut(bounded.mapInArrow(suffix, "a long, b long, na long, nb long"))
+    ids = left.select(F.col("a").alias("class")).union(left.select("b")).distinct()
+    sets = cut(whole_sets(docs, ids, n))
     whole = left.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return whole.where(F.lit(100) * common >= F.lit(low) * (F.col("na") + F.col("nb") - common)).select("a", "b")
+    return cut(whole.where(F.lit(100) * common >= F.lit(low) * (F.col("na") + F.col("nb") - common)).select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
@@ -186,16 +201,6 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
     shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     postings = cut(postings.join(shared.select("shingle"), "shingle"))
 
-    linked = postings.select(F.col("class").alias("a")).distinct()
-    texts = docs.join(linked.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi")
-
-    def whole(batches):
-        for piece in pieces(batches):
-            _, shingle, bounds = shingle_sets(piece, n)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.ListArray.from_arrays(
-                pa.array(bounds, pa.int32()), pa.array(shingle.astype(np.int64)))], ["class", "shingles"])
-    sets = cut(texts.mapInArrow(whole, "class long, shingles array<long>").dropDuplicates(["class"]))
-
     component = postings.select("class").distinct().withColumn("component", F.col("class"))
     for order in range(HUBS + 1):
         placed = postings.join(component, "class")
@@ -215,7 +220,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
             both = both.where("x.component <> y.component")
         pairs = both.where(_near("x", "y", low)).select(
             F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-        links = _verified(pairs, facts, sets, low)
+        links = _verified(pairs, facts, docs, n, low)
         of = component.select(F.col("class").alias("a"), F.col("component").alias("ca"))
         to = component.select(F.col("class").alias("b"), F.col("component").alias("cb"))
         roots = connected(links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
