@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from .shared import LOWER, NOT_SPACE, mix, pieces, runs_of_words, words_of
 
 #: Hashed features; labelled documents of the fitting sample, at most about so many; chance of a good grade that keeps a document.
-BITS, SAMPLE, KEEP = 18, 6000, 0.35
+BITS, SAMPLE, KEEP = 18, 3000, 0.35
 ROUNDS, RATE, DECAY = 250, 0.05, 1e-4
 #: Word beginnings of so many bytes are features too; a feature needs so many documents of the sample.
 STEMS, LEAST_DOCS = (4, 5, 6, 7), 5
@@ -83,6 +83,7 @@ def fit_ordinal(doc, feature, value, grade, grades: int = 3) -> OrdinalModel:
     often = np.bincount(feature, minlength=1 << BITS)[feature] >= min(LEAST_DOCS, n)
     doc, feature, value = doc[often], feature[often], value[often]
     used, slot = np.unique(feature, return_inverse=True)
+    slot = slot.astype(np.int32)
     w = np.zeros(len(used))
     b, gaps = -1.0, np.zeros(grades - 2)  # thresholds: b, b + e^gap, ...
     share = np.bincount(grade, minlength=grades) / max(n, 1)
@@ -143,11 +144,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ord
     found = rows.mapInArrow(extract, "doc_id long, grade int, feature binary, value binary").toPandas()
     if not len(found):
         return None
-    found = found.sort_values(["doc_id", "feature"]).reset_index(drop=True)
-    feature = [np.frombuffer(x, np.int32) for x in found["feature"]]
-    doc = np.repeat(np.arange(len(found)), [len(x) for x in feature])
-    value = np.concatenate([np.frombuffer(x, np.float32) for x in found["value"]]).astype(np.float64)
-    return fit_ordinal(doc, np.concatenate(feature), value, found["grade"].to_numpy(np.int64))
+    found = found.sort_values("doc_id", kind="stable").reset_index(drop=True)
+    doc = np.repeat(np.arange(len(found), dtype=np.int32), [len(x) // 4 for x in found["feature"]])
+    feature, value = np.frombuffer(b"".join(found.pop("feature")), np.int32), np.frombuffer(b"".join(found.pop("value")), np.float32)
+    return fit_ordinal(doc, feature, value, found["grade"].to_numpy(np.int64))
 
 
 def rate_quality(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
