@@ -72,25 +72,6 @@ def known_keys(known: DataFrame, keys=S.SERIES_KEY, by: tuple[str, ...] = ()) ->
         .distinct().withColumn("is_known", F.lit(True))
 
 
-def assemble(pred: DataFrame, p: Params, model_type: str, known: DataFrame,
-             has_sales: Column | DataFrame, is_eligible: bool, is_active: bool = True,
-             keys=S.SERIES_KEY, by: tuple[str, ...] = ()) -> DataFrame:
-    """Forecast rows in the output order (without the stamp). ``has_sales`` is a
-    literal or a per-series flag frame (``has_sales`` column) joined on the key."""
-    k = [*by, *keys]
-    x = pred
-    if isinstance(has_sales, DataFrame):
-        x = x.join(has_sales.select(*k, "has_sales"), k, "left").withColumn(
-            "has_sales", F.coalesce("has_sales", F.lit(False)))
-    else:
-        x = x.withColumn("has_sales", has_sales)
-    x = x.join(known.select(*k, "is_known"), k, "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
-    return x.select(
-        *by, F.lit(p.product_class).alias(S.CLASS), *keys, F.col(S.MONTH).alias(S.DATE),
-        *S.Q_COLS, F.lit(model_type).alias("model_type"), "has_sales",
-        F.lit(is_eligible).alias("is_eligible"), "is_known", F.lit(is_active).alias("is_active"))
-
-
 def not_eligible_forecast(not_eligible: DataFrame, p: Params, keys=S.PRODUCT_KEY, qty: str = S.QTY,
                           by: tuple[str, ...] = (), top_source: DataFrame | None = None,
                           series_flags: DataFrame | None = None) -> DataFrame:

@@ -66,35 +66,40 @@ def version_label(asof) -> str:
     return "v" + str(asof)[:7].replace("-", "")
 
 
-def _version_path(base: str, version: str) -> str:
-    return f"{base.rstrip('/')}/model_version={version}"
+def _version(version: str, product_class: str):
+    return (F.col("model_version") == F.lit(version)) & (F.col("model_class") == F.lit(product_class))
 
 
-def model_exists(spark: SparkSession, base: str, version: str) -> bool:
-    """Guard: a non-empty partition for this version."""
+def model_exists(spark: SparkSession, base: str, version: str, product_class: str = "all") -> bool:
+    """Guard: stored parameters of this class and version."""
     from sackcast.sources.tables import has_rows
-    return has_rows(spark, _version_path(base, version))
+    return has_rows(spark, base, _version(version, product_class))
 
 
-def load_params(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
-    """Read one version (partition-pruned); ``None`` -> the latest version."""
-    df = spark.read.parquet(base)
+def load_params(spark: SparkSession, base: str, version: str | None = None, product_class: str = "all",
+                schema=None) -> DataFrame:
+    """Read one version of a class (partition-pruned); ``None`` -> its latest version."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(base)
+    df = df.where(F.col("model_class") == F.lit(product_class))
     if version is None:
-        version = df.agg(F.max("model_version")).scalar()
-        return df.where(F.col("model_version") == version)
+        return df.where(F.col("model_version") == df.agg(F.max("model_version")).scalar())
     return df.where(F.col("model_version") == F.lit(version))
 
 
 def fit_or_load(spark: SparkSession, panel: DataFrame, base: str, asof, quantiles,
-                keys=S.SERIES_KEY) -> DataFrame:
-    """Load this month's parameters if stored; else fit, append as a new
-    ``model_version`` partition, and read them back. The latest version is the
-    greatest label (vYYYYMM sorts by time)."""
+                keys=S.SERIES_KEY, product_class: str = "all") -> DataFrame:
+    """Parameters of this class and month: stored ones if there are any, else
+    fitted and appended as a new (``model_class``, ``model_version``) partition and
+    read back. A series that has no stored parameters (it appeared later) is fitted
+    here. The latest version is the greatest label (vYYYYMM sorts by time)."""
     v = version_label(asof)
-    if not model_exists(spark, base, v):
-        fit = fit_seasonal_quantiles(panel, quantiles, keys).withColumn("model_version", F.lit(v))
-        fit.write.mode("append").partitionBy("model_version").parquet(base)
-    return load_params(spark, base, v).drop("model_version")
+    fit = fit_seasonal_quantiles(panel, quantiles, keys)
+    labelled = fit.withColumns({"model_class": F.lit(product_class), "model_version": F.lit(v)})
+    if not model_exists(spark, base, v, product_class):
+        labelled.write.mode("append").partitionBy("model_class", "model_version").parquet(base)
+    stored = load_params(spark, base, v, product_class, labelled.schema).drop("model_class", "model_version")
+    late = fit.join(stored.select(*keys), list(keys), "left_anti")
+    return stored.unionByName(late)
 
 
 # --- hook ------------------------------------------------------------------------------

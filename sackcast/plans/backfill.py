@@ -98,7 +98,7 @@ def monitorable_per_date(forecasts: DataFrame, asofs, p: Params) -> DataFrame:
     (The reference ignores months older than prev - 24 while looking for that
     period; that cannot change which period's last month equals prev.)
     The period and date tables have at most one row per period / date."""
-    low = min(min_period(asof_months(a)["prev"], p.horizon) for a in asofs)
+    low = min(min_period(asof_months(a)["prev"]) for a in asofs)
     fc = forecasts.where((F.col(S.CLASS) == p.product_class) & (F.col("period") >= low))
     mm = F.trunc(F.to_date(F.col(S.DATE)), "MM")
     last = fc.groupBy("period").agg(F.max(mm).alias("_last"))

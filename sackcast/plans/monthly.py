@@ -91,13 +91,14 @@ def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
     fr = split_run(prepared_panel(demand, asof, p, keep_last=True), known, p)
     if params is None and model_path is not None:
         train = fr.eligible.select(*S.PRODUCT_KEY, S.MONTH, S.QTY)
-        params = fit_or_load(demand.sparkSession, train, model_path, asof, p.quantiles, S.PRODUCT_KEY)
+        params = fit_or_load(demand.sparkSession, train, model_path, asof, p.quantiles, S.PRODUCT_KEY,
+                             p.product_class)
     return S.conform(add_period_stamp(forecast_rows(fr, p, params), asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
 
 
 def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Params) -> DataFrame:
     """S12 + S13 + T2 + T15 + P8: errors of the forecast that has just completed."""
-    fc = monitorable_forecast(stored_forecast, asof, p.product_class, horizon=p.horizon)
+    fc = monitorable_forecast(stored_forecast, asof, p.product_class)
     act = prepare_demand(actuals_scan(demand, asof, p), p.filters(), S.PRODUCT_KEY, (S.QTY,),
                          True, True, p.history_months)
     out = monitor_errors(fc, act)

@@ -31,7 +31,7 @@ from sackcast.sources.fixtures import demand_from_tables, known_from_demand
 # 18 months end at the main run's previous month.
 ASOF = "2001-08-15"
 ASOF_EARLY = "2000-02-15"
-BACKTEST_CUTOFFS = ("2000-07-01", "2000-10-01", "2001-01-01")
+BACKTEST_CUTOFFS = tuple(f"2000-{m:02d}-01" for m in range(1, 13))   # 12 windows; the first scores all steps
 P = DEFAULT
 NAMES = S.segment_names(P.segment_window, P.segment_prefix)
 KEYS = list(S.PRODUCT_KEY)

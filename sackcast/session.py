@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -29,20 +27,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sac
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, taking ``spark.checkpoint.dir`` from the session.
-
-    Only a local-mode session (tests, the bench) may fall back to a fresh
-    folder of its own; a cluster job must name a shared folder.
-    """
+    """Return the checkpoint folder, taking ``spark.checkpoint.dir`` from the session;
+    only where that is unset, a folder beside the session's warehouse."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this job")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sackcast-ckpt-"))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
+                            or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return sc.getCheckpointDir()

@@ -47,7 +47,7 @@ def has_rows(spark: SparkSession, path: str, where=None) -> bool:
 def read_output(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a partitioned output back in its declared column order (the partition
     column comes last on read, so always re-select)."""
-    return S.conform(spark.read.parquet(path), schema)
+    return S.conform(spark.read.schema(schema).parquet(path), schema)
 
 
 def month_guard(period: int, product_class: str):
@@ -56,12 +56,12 @@ def month_guard(period: int, product_class: str):
 
 def write_once(df: DataFrame, path: str, period: int, product_class: str, schema: T.StructType) -> bool:
     """Append the month's rows partitioned by ``period`` unless rows for
-    (period, class) are stored already. Returns True when it wrote."""
+    (period, class) are stored already. Returns True when it stored rows."""
     spark = df.sparkSession
     if has_rows(spark, path, month_guard(period, product_class)):
         return False
     (S.conform(df, schema).write.mode("append").partitionBy("period").parquet(path))
-    return True
+    return has_rows(spark, path, month_guard(period, product_class))
 
 
 def read_month(spark: SparkSession, path: str, period: int, product_class: str, schema: T.StructType) -> DataFrame:

@@ -85,7 +85,8 @@ def test_item_id_helpers_and_table_check(spark):
 def test_monitoring_prunes_old_partitions(spark, tmp_path):
     from sackcast.operators.monitor import min_period
 
-    assert min_period(dt.date(2001, 7, 1)) == 200002
+    assert min_period(dt.date(2001, 7, 1), 18) == 200002
+    assert min_period(dt.date(2001, 7, 1)) <= 199908   # a forecast stored with a longer horizon is found as well
     path = str(tmp_path / "fc")
     k = key()
     old = S.conform(_fc(spark, k, ["2022-01"], 202101), S.FORECAST_SCHEMA)
@@ -110,3 +111,25 @@ def test_load_known_by_header(spark, tmp_path):
                  "x,BLS,0007,C001,6012,CEMENT\n")
     r = load_known(spark, str(f)).first()
     assert tuple(r) == ("CEMENT", "6012", "C001", "0007", "BLS")
+
+
+def test_model_versions_by_class_and_late_series(spark, tmp_path):
+    from sackcast.operators.seasonal import fit_or_load
+    rows = [(s, f"20{y}-{m:02d}-01", float(10 * m + y)) for s in ("a", "b", "late") for y in (21, 22, 23) for m in range(1, 13)]
+    panel = spark.createDataFrame(rows, "sku string, month string, qty double").selectExpr("sku", "cast(month as date) month", "qty")
+    base, q = f"{tmp_path}/models", (0.05, 0.25, 0.5, 0.75, 0.95)
+    first = fit_or_load(spark, panel.where("sku = 'a'"), base, "2024-01-10", q, ["sku"], "x")
+    assert [r["sku"] for r in first.collect()] == ["a"]
+    assert [r["sku"] for r in fit_or_load(spark, panel.where("sku = 'b'"), base, "2024-01-10", q, ["sku"], "y").collect()] == ["b"]
+    again = fit_or_load(spark, panel.where("sku <> 'b'"), base, "2024-01-20", q, ["sku"], "x")
+    assert sorted(r["sku"] for r in again.collect()) == ["a", "late"]
+    assert fit_or_load(spark, panel.limit(0), f"{tmp_path}/none", "2024-01-10", q, ["sku"], "x").count() == 0
+
+
+def test_month_without_demand(spark, tmp_path):
+    from sackcast.params import DEFAULT
+    from sackcast.plans.monthly import run_month
+    from sackcast.sources.fixtures import demand_from_tables, known_from_demand
+    demand = demand_from_tables(spark, "/root/testdata/sf0.001").limit(0)
+    said = run_month(demand, known_from_demand(demand), "2001-08-15", DEFAULT, f"{tmp_path}/f", f"{tmp_path}/m", f"{tmp_path}/p")
+    assert said == {"period": 200108, "forecast_written": False, "monitoring_written": False}
