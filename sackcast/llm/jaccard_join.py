@@ -16,16 +16,25 @@ lost and a large group of near copies costs a few links each.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import NOT_SPACE, cut, pieces, runs_of_words, words_of
 
-#: Cells of the frequency table and of a set's histogram.
-TABLE_BITS, CELLS = 20, 32
+#: Cells of the frequency table (2**24, 16 MB, broadcast), of a part of it, and of a set's histogram.
+TABLE_BITS, PART_CELLS, CELLS = 24, 1 << 16, 32
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
+#: Rows of a list in one block: a longer list is dealt over several, joined block with block.
+BLOCK = 512
+
+
+def _cell(shingle: np.ndarray) -> np.ndarray:
+    """Cell of the frequency table of each shingle."""
+    return (shingle >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
 def shingle_sets(piece: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,32 +68,46 @@ def _set_key(shingle: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in np.stack(out, axis=1)]
 
 
-_FIRST = "doc_id long, n_shingles long, key binary, part long, counts array<long>"
+_FIRST = "doc_id long, n_shingles long, key binary, part long, counts binary"
 
 
 def first_pass(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, key) of every document, and the document counts of
-    all shingles in 2**TABLE_BITS hashed cells, from one scan: each task adds a
-    few rows of its own counts, which are summed."""
+    """(doc_id, n_shingles, key) of every document, and the frequency table of
+    all shingles in 2**TABLE_BITS hashed cells, one byte each, from one scan.
+
+    Each task adds its own compressed counts, which are summed part by part. A
+    task counts a cell up to 255 and the table holds logarithms: it only has to
+    be one order for all documents, rare shingles first.
+    """
     def run(batches):
-        seen = np.zeros(1 << TABLE_BITS, np.int64)
+        seen = np.zeros(1 << TABLE_BITS, np.uint32)
         for piece in pieces(batches):
             _, shingle, bounds = shingle_sets(piece, n)
-            seen += np.bincount((shingle >> np.uint64(64 - TABLE_BITS)).astype(np.int64), minlength=1 << TABLE_BITS)
+            np.add.at(seen, _cell(shingle), 1)
             none = pa.nulls(piece.num_rows)
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), pa.array(np.diff(bounds)), pa.array(_set_key(shingle, bounds), pa.binary()),
-                none.cast(pa.int64()), none.cast(pa.list_(pa.int64()))], ["doc_id", "n_shingles", "key", "part", "counts"])
-        rows = seen.reshape(-1, 256)
-        at = np.flatnonzero(rows.any(axis=1))
+                none.cast(pa.int64()), none.cast(pa.binary())], ["doc_id", "n_shingles", "key", "part", "counts"])
+        parts = np.minimum(seen, 255).astype(np.uint8).reshape(-1, PART_CELLS)
+        at = np.flatnonzero(parts.any(axis=1))
         none = pa.nulls(len(at))
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(at), pa.array(list(rows[at]), pa.list_(pa.int64()))],
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(at),
+                                          pa.array([zlib.compress(parts[k].tobytes(), 1) for k in at], pa.binary())],
                                          ["doc_id", "n_shingles", "key", "part", "counts"])
     both = cut(docs.mapInArrow(run, _FIRST))
-    table = np.zeros((1 << TABLE_BITS) // 256 * 256, np.int64).reshape(-1, 256)
-    counts = both.where("part is not null").groupBy("part").agg(*[F.sum(F.col("counts")[k]).alias(f"c{k}") for k in range(256)])
-    for row in counts.collect():  # 2**TABLE_BITS numbers, whatever the input
-        table[row["part"]] = row[1:]
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                total.setdefault(part, np.zeros(PART_CELLS, np.int64))
+                total[part] += np.frombuffer(zlib.decompress(counts), np.uint8)
+        codes = [np.minimum(8 * np.log2(1 + x), 255).astype(np.uint8).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(codes, pa.binary())], ["part", "codes"])
+    table = np.zeros((1 << TABLE_BITS) // PART_CELLS * PART_CELLS, np.uint8).reshape(-1, PART_CELLS)
+    counted = both.where("part is not null").select("part", "counts").repartition("part").mapInArrow(add, "part long, codes binary")
+    for row in counted.collect():  # 2**TABLE_BITS bytes, whatever the input
+        table[row["part"]] = np.frombuffer(row["codes"], np.uint8)
     return both.where("part is null").select("doc_id", "n_shingles", "key"), table.reshape(-1)
 
 
@@ -101,7 +124,7 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
         for piece in pieces(batches):
             doc, shingle, bounds = shingle_sets(piece, n)
             size = np.diff(bounds)
-            often = sent.value[(shingle >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            often = sent.value[_cell(shingle)]
             order = np.lexsort((shingle, often, doc))
             place = np.arange(len(doc)) - bounds[doc]
             kept = place < _prefix_length(size, low)[doc]
@@ -122,6 +145,18 @@ def _near(a: str, b: str, low: int) -> Column:
     return (F.lit(100) * F.least(na, nb) >= F.lit(low) * F.greatest(na, nb)) & (most >= least)
 
 
+def _between(placed: DataFrame) -> DataFrame:
+    """Rows x, y of the same list, x.class < y.class, in different components, each
+    pair once. A list of many rows is dealt over blocks, and each block of x meets
+    each block of y in a group of its own, so that no task holds a whole list."""
+    dealt = placed.withColumn("blocks", F.ceil(F.col("times") / F.lit(BLOCK)).cast("int")).withColumn(
+        "own", F.pmod(F.xxhash64("class", "shingle"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x = dealt.withColumn("from", F.col("own")).withColumn("to", other).drop("own", "blocks", "times")
+    y = dealt.withColumn("to", F.col("own")).withColumn("from", other).drop("own", "blocks", "times")
+    return x.alias("x").join(y.alias("y"), ["shingle", "from", "to"]).where("x.class < y.class and x.component <> y.component")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of the (a, b) edges.
 
@@ -204,20 +239,15 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
     component = postings.select("class").distinct().withColumn("component", F.col("class"))
     for order in range(HUBS + 1):
         placed = postings.join(component, "class")
-        mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        placed = placed.join(mixed.select("shingle"), "shingle")
+        mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                              F.count(F.lit(1)).alias("times")).where("low <> high")
+        placed = placed.join(mixed.select("shingle", "times"), "shingle")
         if order < HUBS:  # the list's hub: another choice in each round
             rank = (F.xxhash64("class", F.lit(order)), F.col("class"), F.col("n"), F.col("place"), F.col("component"))
             hubs = placed.groupBy("shingle").agg(F.min(F.struct(*(x.alias(k) for x, k in zip(rank, ("rank", "class", "n", "place", "component"))))).alias("hub"))
-            both = placed.alias("x").join(hubs.select("shingle", "hub.*").alias("y"), "shingle")
+            both = placed.alias("x").join(hubs.select("shingle", "hub.*").alias("y"), "shingle").where("x.component <> y.component")
         else:
-            lists = placed.select("shingle", "component").distinct()
-            between = lists.alias("p").join(lists.alias("q"), "shingle").where("p.component < q.component").select(
-                "shingle", F.col("p.component").alias("component"), F.col("q.component").alias("other"))
-            one = between.join(placed, ["shingle", "component"])
-            both = one.alias("x").join(placed.withColumnRenamed("component", "other").alias("y"), ["shingle", "other"])
-        if order < HUBS:
-            both = both.where("x.component <> y.component")
+            both = _between(placed)
         pairs = both.where(_near("x", "y", low)).select(
             F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         links = _verified(pairs, facts, docs, n, low)

@@ -62,3 +62,12 @@ def test_chains_and_large_groups(spark):
     rows += [(5000, "a b"), (5001, "A B"), (5002, "a b c"), (5003, "a\tb")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert _got(docs) == _brute(rows)
+
+
+def test_lists_dealt_over_blocks(spark, monkeypatch):
+    """No hubs and blocks of two rows: every link comes from the block joins."""
+    monkeypatch.setattr(jaccard_join, "HUBS", 0)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    rows = [(i, " ".join(f"v{k}" if k != 3 * i % 100 else f"y{i}" for k in range(150))) for i in range(25)]
+    rows += [(100 + i, " ".join(["one passage here"] * 2 + [f"z{i}_{k}" for k in range(20)])) for i in range(25)]
+    assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
