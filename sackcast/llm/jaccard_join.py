@@ -10,8 +10,12 @@ candidate pairs, and each is verified once, exactly, on the whole sets.
 Equal sets are one class, so copies are never joined with each other. Within a
 shingle's list not all pairs are made: every class is first joined with the
 list's hubs (linear), which settles most components; after that only pairs
-between different components are candidates, so no link between components is
-lost and a large group of near copies costs a few links each.
+between different components matter. Short lists give theirs directly. The rows
+of a long list (a group of near copies) are compared by their differences from
+one hub: |x ^ y| = |(x ^ hub) ^ (y ^ hub)|, so linked rows share a part of their
+differences, and prefixes of the differences, rarest in the group first, are
+joined with the same filters. Copies edited each in its own way share none, so
+such a group costs little more than its differences, and no link is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import NOT_SPACE, cut, pieces, runs_of_words, words_of
 
@@ -28,6 +32,8 @@ from .shared import NOT_SPACE, cut, pieces, runs_of_words, words_of
 TABLE_BITS, PART_CELLS, CELLS = 24, 1 << 16, 32
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
+#: Rows of a list whose pairs are made directly, a few for each row; longer lists go by differences.
+SHORT = 16
 #: Rows of a list in one block: a longer list is dealt over several, joined block with block.
 BLOCK = 512
 
@@ -117,7 +123,8 @@ def _prefix_length(n: np.ndarray, low: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
-    """(class, n, cells, prefix): each document's rarest shingles in order, and its histogram."""
+    """(class, n, cells, common, prefix): each document's rarest shingles in order,
+    its histogram, and how frequent its shingles are on average."""
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
@@ -130,11 +137,12 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
             kept = place < _prefix_length(size, low)[doc]
             cells = np.bincount(doc * CELLS + (shingle & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS * piece.num_rows).reshape(-1, CELLS)
             prefix = shingle[order][kept].astype(np.int64)
+            common = np.bincount(doc, often, piece.num_rows) / np.maximum(size, 1)
             cut = np.searchsorted(doc[kept], np.arange(piece.num_rows + 1))
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), pa.array(size), pa.array([x.astype(np.int32).tobytes() for x in cells], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(prefix))], ["class", "n", "cells", "prefix"])
-    return docs.mapInArrow(run, "class long, n long, cells binary, prefix array<long>")
+                piece.column("doc_id"), pa.array(size), pa.array([x.astype(np.int32).tobytes() for x in cells], pa.binary()), pa.array(common),
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(prefix))], ["class", "n", "cells", "common", "prefix"])
+    return docs.mapInArrow(run, "class long, n long, cells binary, common double, prefix array<long>")
 
 
 def _near(a: str, b: str, low: int) -> Column:
@@ -145,16 +153,59 @@ def _near(a: str, b: str, low: int) -> Column:
     return (F.lit(100) * F.least(na, nb) >= F.lit(low) * F.greatest(na, nb)) & (most >= least)
 
 
-def _between(placed: DataFrame) -> DataFrame:
+def _between(placed: DataFrame, key: list[str]) -> DataFrame:
     """Rows x, y of the same list, x.class < y.class, in different components, each
     pair once. A list of many rows is dealt over blocks, and each block of x meets
     each block of y in a group of its own, so that no task holds a whole list."""
     dealt = placed.withColumn("blocks", F.ceil(F.col("times") / F.lit(BLOCK)).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("class", "shingle"), F.col("blocks")).cast("int"))
+        "own", F.pmod(F.xxhash64("class", *key), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     x = dealt.withColumn("from", F.col("own")).withColumn("to", other).drop("own", "blocks", "times")
     y = dealt.withColumn("to", F.col("own")).withColumn("from", other).drop("own", "blocks", "times")
-    return x.alias("x").join(y.alias("y"), ["shingle", "from", "to"]).where("x.class < y.class and x.component <> y.component")
+    return x.alias("x").join(y.alias("y"), [*key, "from", "to"]).where("x.class < y.class and x.component <> y.component")
+
+
+def _families(placed: DataFrame) -> DataFrame:
+    """(hub, class, n, component): one hub for all rows of a list, the class of the
+    most frequent shingles in it or, where that one has a better hub in another
+    of its lists, the better one, so that a group has few hubs."""
+    rank = F.struct(F.col("common"), F.col("class").alias("hub"))
+    hubs = placed.groupBy("shingle").agg(F.max(rank).alias("best"))
+    top = placed.join(hubs, "shingle").groupBy("class").agg(F.max("best").alias("top"))
+    named = hubs.select("shingle", F.col("best.hub").alias("class")).join(top, "class").select("shingle", F.col("top.hub").alias("hub"))
+    return placed.join(named, "shingle").select("hub", "class", "n", "component").distinct()
+
+
+def _by_differences(placed: DataFrame, docs: DataFrame, n: int, low: int) -> DataFrame:
+    """Candidate pairs (a, b) between components of the lists in ``placed``.
+
+    D is a row's symmetric difference from its hub. A linked partner differs from x
+    by at most ``most`` = (100 - low) * n / low shingles, so all but ``most`` of D
+    are shared and the first most + 1 of D meet a partner's. If nothing needs to be
+    shared, both rows are linked with the hub. That link is a candidate as well.
+    """
+    family = cut(_families(placed))
+    ids = family.select("class").union(family.select("hub")).distinct()
+    sets = cut(whole_sets(docs, ids, n))
+    both = family.join(sets, "class").join(sets.select(F.col("class").alias("hub"), F.col("shingles").alias("other")), "hub")
+    most = F.floor(F.lit(100 - low) * F.col("n") / F.lit(low))
+    differ = cut(both.select("hub", "class", "n", "component", F.concat(
+        F.array_except("shingles", "other"), F.array_except("other", "shingles")).alias("d")))
+    rows = differ.select("hub", "class", "n", "component", F.size("d").alias("d"), F.explode("d").alias("shingle"))
+    times = rows.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(times.where("times > 1"), ["hub", "shingle"])
+    own = Window.partitionBy("hub", "class")
+    ordered = own.orderBy("times", "shingle")
+    rows = rows.withColumn("place", F.col("d") - F.count(F.lit(1)).over(own) + F.row_number().over(ordered) - 1)
+    # a list within one component has no candidates, but its place in the order counts
+    rows = cut(rows.where((F.col("place") <= most) & (F.col("low") != F.col("high"))).drop("low", "high"))
+    nx, ny, dx, dy, px, py = (F.col(f"{r}.{c}") for c in ("n", "d", "place") for r in "xy")
+    apart = nx + ny - 2 * F.ceil(F.lit(low) * (nx + ny) / F.lit(100 + low))
+    shared = F.least(px, py) + F.least(dx - px, dy - py)
+    near = (F.lit(100) * F.least(nx, ny) >= F.lit(low) * F.greatest(nx, ny)) & (2 * shared >= dx + dy - apart)
+    found = _between(rows, ["hub", "shingle"]).where(near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    to_hub = family.where("class <> hub").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+    return found.union(to_hub)
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -232,7 +283,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
 
     heads = same.where("n_shingles > 0 and doc_id = class").select("class")
     facts = cut(prefixes(docs, table, n, low).where("n > 0").join(heads, "class", "left_semi").dropDuplicates(["class"]))
-    postings = facts.select("class", "n", F.posexplode("prefix").alias("place", "shingle"))
+    postings = facts.select("class", "n", "common", F.posexplode("prefix").alias("place", "shingle"))
     shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     postings = cut(postings.join(shared.select("shingle"), "shingle"))
 
@@ -242,14 +293,18 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
         mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                               F.count(F.lit(1)).alias("times")).where("low <> high")
         placed = placed.join(mixed.select("shingle", "times"), "shingle")
-        if order < HUBS:  # the list's hub: another choice in each round
-            rank = (F.xxhash64("class", F.lit(order)), F.col("class"), F.col("n"), F.col("place"), F.col("component"))
+        if order < HUBS:  # the list's hub: the class of the most frequent shingles, then any other
+            first = F.xxhash64("class", F.lit(order)) if order else -F.col("common")
+            rank = (first, F.col("class"), F.col("n"), F.col("place"), F.col("component"))
             hubs = placed.groupBy("shingle").agg(F.min(F.struct(*(x.alias(k) for x, k in zip(rank, ("rank", "class", "n", "place", "component"))))).alias("hub"))
             both = placed.alias("x").join(hubs.select("shingle", "hub.*").alias("y"), "shingle").where("x.component <> y.component")
         else:
-            both = _between(placed)
-        pairs = both.where(_near("x", "y", low)).select(
-            F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+            placed = cut(placed)
+            both = _between(placed.where(F.col("times") <= SHORT), ["shingle"])
+        found = both.where(_near("x", "y", low)).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+        if order == HUBS:
+            found = found.union(_by_differences(placed.where(F.col("times") > SHORT), docs, n, low))
+        pairs = found.distinct()
         links = _verified(pairs, facts, docs, n, low)
         of = component.select(F.col("class").alias("a"), F.col("component").alias("ca"))
         to = component.select(F.col("class").alias("b"), F.col("component").alias("cb"))

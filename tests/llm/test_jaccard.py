@@ -3,6 +3,8 @@
 import re
 from collections import defaultdict
 
+import pytest
+
 from sackcast.llm import jaccard_join
 
 
@@ -64,10 +66,18 @@ def test_chains_and_large_groups(spark):
     assert _got(docs) == _brute(rows)
 
 
-def test_lists_dealt_over_blocks(spark, monkeypatch):
-    """No hubs and blocks of two rows: every link comes from the block joins."""
-    monkeypatch.setattr(jaccard_join, "HUBS", 0)
+@pytest.mark.parametrize("hubs, short", [(0, 1000), (0, 1), (1, 1)])
+def test_last_round(spark, monkeypatch, hubs, short):
+    """Blocks of two rows; every pair of a list directly, or by differences from hubs."""
+    monkeypatch.setattr(jaccard_join, "HUBS", hubs)
+    monkeypatch.setattr(jaccard_join, "SHORT", short)
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)
-    rows = [(i, " ".join(f"v{k}" if k != 3 * i % 100 else f"y{i}" for k in range(150))) for i in range(25)]
-    rows += [(100 + i, " ".join(["one passage here"] * 2 + [f"z{i}_{k}" for k in range(20)])) for i in range(25)]
+    rows = []
+    for i in range(60):  # near copies with up to three edits each, some of them shared
+        words = [f"v{k}" for k in range(100)]
+        for e in range(i % 4):
+            words[(7 * i + 31 * e) % 100] = f"y{i % 9}_{e}"
+        rows.append((i, " ".join(words[:100 - i % 7])))
+    rows += [(100 + i, " ".join([f"w{k}" for k in range(i // 2, 80 + i // 2)])) for i in range(30)]  # a chain
+    rows += [(200 + i, " ".join(["one passage here"] * 2 + [f"z{i}_{k}" for k in range(20)])) for i in range(25)]
     assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
