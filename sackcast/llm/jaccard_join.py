@@ -26,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import NOT_SPACE, cut, pieces, runs_of_words, words_of
+from .shared import NOT_SPACE, cut, mix, pieces, runs_of_words, words_of
 
 #: Cells of the frequency table (2**24, 16 MB, broadcast), of a part of it, and of a set's histogram.
 TABLE_BITS, PART_CELLS, CELLS = 24, 1 << 16, 32
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
+#: Bits of the bitmap (8 MB, broadcast) of documents whose whole sets are wanted.
+BITMAP_BITS = 26
 #: Rows of a list whose pairs are made directly, a few for each row; longer lists go by differences.
 SHORT = 16
 #: Rows of a list in one block: a longer list is dealt over several, joined block with block.
@@ -231,9 +233,50 @@ def connected(edges: DataFrame) -> DataFrame:
     return state
 
 
+def _bit(ids: np.ndarray) -> np.ndarray:
+    """Place of each id in the bitmap."""
+    return (mix(ids.astype(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _screened(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id may be among ``ids`` (class)."""
+    part_bits = 1 << 16
+
+    def mark(batches):
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = _bit(np.asarray(batch.column("class")))
+            for part in np.unique(at // part_bits).tolist():
+                parts.setdefault(part, np.zeros(part_bits, bool))[at[at // part_bits == part] % part_bits] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
+            [zlib.compress(np.packbits(x).tobytes(), 1) for x in parts.values()], pa.binary())], ["part", "bits"])
+
+    def either(batches):
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, bits in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist()):
+                parts.setdefault(part, np.zeros(part_bits // 8, np.uint8))
+                parts[part] |= np.frombuffer(zlib.decompress(bits), np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["part", "bits"])
+    form = "part long, bits binary"
+    bits = np.zeros(((1 << BITMAP_BITS) // part_bits, part_bits // 8), np.uint8)
+    for row in ids.mapInArrow(mark, form).repartition("part").mapInArrow(either, form).collect():  # 8 MB at most
+        bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+    def screen(batches):
+        for batch in batches:
+            at = _bit(np.asarray(batch.column("doc_id")))
+            keep = (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(keep.astype(bool)))
+    return docs.select("doc_id", "text").mapInArrow(screen, "doc_id long, text string")
+
+
 def whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(class, shingles) of the documents named by ``ids`` (class)."""
-    texts = docs.join(ids.withColumnRenamed("class", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """(class, shingles) of the documents named by ``ids`` (class). A bitmap of the
+    ids (2**BITMAP_BITS bits, whatever their number) screens the scan, so that
+    texts which nobody asks for are not shuffled; the join is exact."""
+    texts = _screened(docs, ids).join(ids.withColumnRenamed("class", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def whole(batches):
         for piece in pieces(batches):
