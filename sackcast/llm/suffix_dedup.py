@@ -80,7 +80,7 @@ def _doc_anchors(piece):
     value = grams[at]
     order = np.lexsort((at, value))
     at, value = at[order], value[order]
-    again = at[1:][(value[1:] == value[:-1]) & (at[1:] - at[:-1] < SPAN)]
+    again = at[1:][(value[1:] == value[:-1]) & (at[1:] - at[:-1] <= SPAN)]  # windows SPAN apart still adjoin: one run
     owner = np.searchsorted(offsets, again, "right") - 1
     return np.concatenate([doc, owner]), np.concatenate([least, grams[again]])
 

@@ -51,6 +51,15 @@ def test_made_rows(spark, monkeypatch, hot):
     assert _got(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == _brute(rows)
 
 
+def test_periods_about_the_span(spark):
+    rng = random.Random(5)
+    rows = []
+    for i, period in enumerate([*range(167, 172)] * 2):
+        line = "".join(rng.choice("abcdefghij klmnop") for _ in range(period - 1)) + "\n"
+        rows.append((i, line * rng.choice([3, 4])))
+    assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
+
+
 def test_documents(spark, odd_docs):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert _got(docs) == _brute([(r["doc_id"], r["text"]) for r in docs.collect()])
