@@ -1,10 +1,10 @@
-"""Operator 10: benchmark decontamination by rare n-gram seeds and local alignment.
+"""Operator 10: benchmark decontamination by n-gram seeds and local alignment.
 
 Seeds are the items' runs of SEED words. A bitmap of fixed size screens every
-document's runs; the few hits carry the words around them, count each seed's
-document frequency, and join the items on their rarer seeds. Each candidate
-(region of a document, item) is scored by a Smith-Waterman alignment of words,
-so edited copies score by what is left of the item.
+document's runs; the few hits carry the words around them and join the items on
+every seed they share, however frequent. Each candidate (region of a document,
+item) that has enough words in common is scored by a Smith-Waterman alignment of
+words, so edited copies score by what is left of the item.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ SEED, MATCH, MISMATCH, GAP = 4, 2, -1, -1
 SHARE, LEAST_WORDS = 0.5, 6
 #: Bits of the screening bitmap (1 MB).
 BITMAP_BITS = 23
-#: An item joins on the seeds whose frequency is at most so many times its median seed's.
-RARITY = 8
 
 
 def _fit(n: int) -> int:
@@ -140,11 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted(int(x) for x in size["lengths"]) if size["most"] else [SEED]
     hits = cut(seed_hits(docs.where("doc_id is not null"), seeds, lengths, int(size["most"] or 0)))
     single = hits.select("doc_id", "region", F.explode("seeds").alias("seed"))
-    frequency = single.select("doc_id", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
-    known = seeds.join(frequency, "seed")
-    median = known.groupBy("item_id").agg(F.expr("percentile(df, 0.5)").alias("median"))
-    rare = known.join(median, "item_id").where(F.col("df") <= RARITY * F.col("median")).select("seed", "item_id")
-    pairs = single.join(rare, "seed").select("doc_id", "region", "item_id").distinct()
+    pairs = single.join(seeds, "seed").select("doc_id", "region", "item_id").distinct()
     both = pairs.join(hits.select("doc_id", "region", "words").distinct(), ["doc_id", "region"]).join(
         items.select("item_id", F.col("words").alias("item")), "item_id").select("doc_id", "region", "item_id", "words", "item")
     scored = both.mapInPandas(_score, "doc_id long, item_id long, score double, first_word long, last_word long")

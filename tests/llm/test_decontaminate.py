@@ -36,6 +36,17 @@ def test_edited_copies_and_odd_rows(spark, odd_docs):
     assert dec.contaminated(odd_docs, benchmark).count() == 0
 
 
+def test_many_edited_copies_beside_a_full_one(spark):
+    item = [f"w{k}" for k in range(40)]
+    edited = [w if (k + 1) % 6 else "other" for k, w in enumerate(item)]
+    pad = ["filler"] * 100
+    rows = [(0, " ".join(pad + item + pad))] + [(1 + i, " ".join(pad + edited + pad)) for i in range(30)]
+    benchmark = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    for docs in (rows, rows[1:]):
+        got = dec.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, 5) for i, _ in docs]
+
+
 def test_alignment():
     import numpy as np
     a = np.arange(10, dtype=np.uint64)
