@@ -1,12 +1,13 @@
 """Operator 2: licence scans by a positional rare-token index.
 
-Licence templates are indexed by word: each word lists its places (template,
-position). A file looks up only its rarest licence words (by the inverse
-document frequency that one pass counts over all documents); each pair of a
-place in the file and a posting votes for where the template would start, and
-starts that enough votes agree on are kept if the template's mandatory key
-phrases stand there. Short names of licences are templates that are all key
-phrase, so every place of them is found.
+Licence templates are indexed by word: each template lists the rarest word of its
+key phrases (by the inverse document frequency that one pass counts over all
+documents). Each place in a file of such a word, with its phrase around it,
+gives the starts at which the template's window would hold that phrase; a start
+counts if all mandatory key phrases and enough of the template's words stand in
+its window. As no template counts without its key phrases, no start is missed,
+and the frequencies decide only which word is looked up first. Short names of
+licences are templates that are all key phrase, so every place of them is found.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
 )
 
-#: Rarest distinct licence words that a file looks up; words a template's start may drift; share of its words that must stand in place.
-RARE_WORDS, DRIFT, LEAST_SHARE = 24, 3, 0.6
+#: Words a template's start may drift; share of its words that must stand in place.
+DRIFT, LEAST_SHARE = 3, 0.6
 
 
 def _word_hashes(text: str) -> np.ndarray:
@@ -59,12 +60,13 @@ def _word_hashes(text: str) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Word hashes (sorted), their weights, and each word's postings (template, position)."""
+    """Word hashes (sorted), their weights, and the templates: label, words, key phrases."""
 
     vocabulary: np.ndarray
     idf: np.ndarray
-    postings: list[list[tuple[int, int]]]
     templates: list[tuple[str, np.ndarray, list[np.ndarray]]]
+    #: Each template's rarest key word: its number, the phrase it is in, its place there, and the phrase's place in the template.
+    postings: list[tuple[int, np.ndarray, int, int]]
     base: list[tuple[str, np.ndarray, bytes]]
     #: The rarest word of each template's key phrases: a file without any of them holds no licence.
     keys: np.ndarray
@@ -75,14 +77,15 @@ def build_index(frequency: dict[int, int] | None = None, documents: int = 1, tem
     made = [(label, _word_hashes(text), [_word_hashes(p) for p in phrases]) for label, text, phrases in templates]
     made += [(label, _word_hashes(phrase), [_word_hashes(phrase)]) for phrase, label in base.items()]
     vocabulary = np.unique(np.concatenate([m[1] for m in made]))
-    postings: list[list[tuple[int, int]]] = [[] for _ in vocabulary]
-    for t, (_, words, _) in enumerate(made):
-        for at, k in enumerate(np.searchsorted(vocabulary, words)):
-            postings[k].append((t, at))
     frequency = frequency or {}
     idf = np.array([math.log((documents + 1) / (frequency.get(int(w.astype(np.int64)), 0) + 1)) for w in vocabulary])
-    keys = [max((int(k) for p in phrases for k in np.searchsorted(vocabulary, p)), key=lambda k: idf[k]) for _, _, phrases in made]
-    return Index(vocabulary, idf, postings, made, [(label, _word_hashes(p), p.encode()) for p, label in base.items()], np.unique(keys))
+    postings = []
+    for _, words, phrases in made:
+        key, phrase, at = max(((int(k), p, at) for p in phrases for at, k in enumerate(np.searchsorted(vocabulary, p))), key=lambda x: idf[x[0]])
+        n = len(phrase)
+        postings.append((key, phrase, at, next(i for i in range(len(words) - n + 1) if np.array_equal(words[i:i + n], phrase))))
+    keys = np.unique([key for key, *_ in postings])
+    return Index(vocabulary, idf, made, postings, [(label, _word_hashes(p), p.encode()) for p, label in base.items()], keys)
 
 
 def _stands(words: np.ndarray, phrase: np.ndarray, low: int, high: int) -> bool:
@@ -98,29 +101,31 @@ def _stands(words: np.ndarray, phrase: np.ndarray, low: int, high: int) -> bool:
 
 def match_templates(words: np.ndarray, known: np.ndarray, index: Index) -> dict[str, float]:
     """Label and share in place of the templates verified in one file; ``known``: vocabulary number of each word or -1."""
-    at = np.flatnonzero(known >= 0)
-    present = np.unique(known[at])
-    looked_up = present[np.argsort(-index.idf[present], kind="stable")[:RARE_WORDS]]
-    at = at[np.isin(known[at], looked_up)]
-    votes: dict[tuple[int, int], set[int]] = defaultdict(set)
-    for place in at.tolist():
-        for template, position in index.postings[known[place]]:
-            votes[template, (place - position) // (DRIFT + 1)].add(position)
+    held = np.flatnonzero(np.isin(known, index.keys))
     found: dict[str, float] = {}
-    for (template, slot), agreed in votes.items():
-        label, wording, phrases = index.templates[template]
-        agreed = agreed | votes.get((template, slot + 1), set())
-        rare = sum(1 for h in np.unique(wording) if np.searchsorted(index.vocabulary, h) in set(looked_up.tolist()))
-        if len(agreed) < max(1, min(len(wording), rare) // 2):
-            continue
-        start = slot * (DRIFT + 1)
-        low, high = start - DRIFT, start + len(wording) + 2 * DRIFT + 1
-        if not all(_stands(words, p, low, high) for p in phrases):
-            continue
-        near = words[max(0, low):max(0, high)]
-        share = float(np.isin(wording, near).mean())
-        if share >= LEAST_SHARE:
-            found[label] = max(found.get(label, 0.0), share)
+    for (label, wording, phrases), (key, phrase, within, position) in zip(index.templates, index.postings):
+        at = held[known[held] == key] - within
+        at = at[(at >= 0) & (at + len(phrase) <= len(words))]
+        for k, h in enumerate(phrase):
+            at = at[words[at + k] == h]
+        best, seen = 0.0, set()
+        for place in at.tolist():
+            if best == 1.0:
+                break
+            # slots whose window holds the phrase; the one where a full copy would start goes first
+            first = -((len(wording) + 2 * DRIFT + 1 - len(phrase) - place) // (DRIFT + 1))
+            slots = [(place - position) // (DRIFT + 1), *range(first, (place + DRIFT) // (DRIFT + 1) + 1)]
+            for slot in slots:
+                low, high = slot * (DRIFT + 1) - DRIFT, slot * (DRIFT + 1) + len(wording) + 2 * DRIFT + 1
+                near = words[max(0, low):max(0, high)]
+                if best == 1.0 or (mark := near.tobytes()) in seen:
+                    continue
+                seen.add(mark)
+                share = float(np.isin(wording, near).mean())
+                if share > best and share >= LEAST_SHARE and all(_stands(words, p, low, high) for p in phrases):
+                    best = share
+        if best:
+            found[label] = max(found.get(label, 0.0), best)
     return found
 
 

@@ -47,6 +47,21 @@ def test_license_templates(spark):
     assert got[2]["labels"] == "" and got[2]["score"] == 0 and got[3]["labels"] == "cc-by,cc-by-nc-4.0"
 
 
+def test_license_templates_in_a_bundle(spark):
+    """Each notice is found word for word whatever stands beside it."""
+    every = [(label, text) for label, text, _ in licenses.TEMPLATES]
+    filler = " some other words between them " * 3
+    bundle = filler.join(text for _, text in every)
+    short = [text for label, text in every if label in ("mit-release", "apache-2.0", "gpl-3.0", "cc-by-4.0")]
+    rows = [bundle, filler * 2000 + bundle, *[f"so {text} end" for _, text in every], *[f"see {t} ok" for t in short * 40]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    for k in (0, 1):
+        assert {label for label, _ in every} <= set(got[k]["labels"].split(",")) and got[k]["score"] == 1
+    for k, (label, _) in enumerate(every):
+        assert label in got[2 + k]["labels"].split(",") and got[2 + k]["score"] == 1
+
+
 def _base_secrets(text):
     text, out = text or "", []
     for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
