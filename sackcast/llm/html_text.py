@@ -2,8 +2,11 @@
 
 Pass 1 classifies each block by link density, length and stop-word density, and
 by the elements around it (menus, footers, forms, adverts and the like are
-boilerplate; an article's prose is good). Pass 2 lets ambiguous short blocks
-inherit the label of their nearest decided neighbours.
+boilerplate; an article's prose is good). Class, id or role marks around the
+least marked article or main that holds prose belong to the layout and don't
+count in it; marks of an element within it, or of one around further articles
+(comments, teasers), do. Pass 2 lets ambiguous short blocks inherit the label of
+their nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -48,41 +51,52 @@ SHORT, LONG = 70, 200
 MOST_LINKS, FEW_STOPS, MANY_STOPS = 0.33, 0.12, 0.25
 
 
-def _boilerplate(name: str, attrs: str, inside: bool) -> bool:
+#: Kinds of boilerplate: by its element or hidden, by a mark only.
+HARD, MARKED = 2, 1
+
+
+def _boilerplate(name: str, attrs: str, inside: bool) -> int:
+    """HARD, MARKED or 0."""
     if name in DROPPED or name == "header" and not inside:
-        return True
+        return HARD
+    marked = 0
     for match in _LABEL.finditer(attrs):
         key, value = match.group(1).lower(), (match.group(2) or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return HARD
         if key in ("class", "id", "role") and name not in ("html", "body", "article", "main") and not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            marked = MARKED
+    return marked
 
 
 class Block:
-    __slots__ = ("text", "links", "heading", "inside", "bad")
+    __slots__ = ("text", "links", "heading", "inside", "bad", "marks", "frame")
 
-    def __init__(self, text: str, links: int, heading: bool, inside: bool, bad: bool):
+    def __init__(self, text: str, links: int, heading: bool, inside: bool, bad: bool, marks: int = 0, frame: int | None = None):
         self.text, self.links, self.heading, self.inside, self.bad = text, links, heading, inside, bad
+        self.marks, self.frame = marks, frame
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order: text with references decoded and white space collapsed."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, int]] = []
     words: list[tuple[str, bool]] = []
-    state = {"bad": 0, "inside": 0, "link": 0, "heading": 0}
+    state = {"bad": 0, "marks": 0, "inside": 0, "link": 0, "heading": 0}
+    frames: list[int] = []  # marks around each article or main that isn't in an article
+    opened: list[tuple[int, int | None]] = []  # place in the stack and frame (None: it keeps the outer one) of the open ones
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(x for x, _ in words)).split())
         if text:
             links = len(" ".join(html.unescape("".join(x for x, link in words if link)).split()))
-            out.append(Block(text, links, state["heading"] > 0, state["inside"] > 0, state["bad"] > 0))
+            out.append(Block(text, links, state["heading"] > 0, state["inside"] > 0, state["bad"] > 0,
+                             state["marks"], next((f for _, f in reversed(opened) if f is not None), None)))
         words.clear()
 
-    def shift(name: str, bad: bool, by: int) -> None:
-        state["bad"] += by * bad
+    def shift(name: str, bad: int, by: int) -> None:
+        state["bad"] += by * (bad == HARD)
+        state["marks"] += by * (bad == MARKED)
         state["inside"] += by * (name in ("article", "main"))
         state["link"] += by * (name == "a")
         state["heading"] += by * (name in HEADINGS)
@@ -90,6 +104,8 @@ def blocks_of(page: str) -> list[Block]:
     def pop_to(k: int) -> None:
         while len(stack) > k:
             shift(*stack.pop(), -1)
+            if opened and opened[-1][0] == len(stack):
+                opened.pop()
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -119,11 +135,21 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[k][0] in BLOCKS:
                     break
         bad = _boilerplate(name, token["attrs"], state["inside"] > 0)
+        if name in ("article", "main"):
+            own = not any(stack[k][0] == "article" for k, _ in opened)
+            opened.append((len(stack), len(frames) if own else None))
+            if own:
+                frames.append(state["marks"])
         stack.append((name, bad))
         shift(name, bad, 1)
     if at < len(page):
         words.append((page[at:], state["link"] > 0))
     flush()
+    prose = {b.frame for b in out if b.frame is not None and not b.bad and not b.heading and b.marks == frames[b.frame]
+             and len(b.text) >= SHORT and b.links <= MOST_LINKS * len(b.text)}
+    least = min((frames[f] for f in prose or range(len(frames))), default=0)
+    for b in out:
+        b.bad = b.bad or b.marks > (least if b.frame is not None and frames[b.frame] == least else 0)
     return out
 
 

@@ -122,6 +122,22 @@ def test_pages_fixture():
     assert html_text.main_text(plain) == "\n".join([long.strip(), "So it is.", long.strip()])
 
 
+def test_article_in_a_marked_layout():
+    long = "the cat of the house is on the roof and it is at the door with a dog that was by the road " * 4
+    article = f"<article><h1>Title</h1><p>{long}</p><div class='share'>{long}</div><p>Short.</p></article>"
+    want = "\n".join(["Title", long.strip(), "Short."])
+    comments = f"<div id='comments'><article><p>{long} no</p></article></div>"
+    for page in (article, f'<div class="content has-sidebar">{article}</div>', f'<div id="header-and-main"><main>{article}</main></div>',
+                 f'<main><div class="content has-sidebar">{article}{comments}</div></main>',
+                 f"{article}{comments}", f'<div class="has-sidebar"><div class="sidebar"><p>{long}</p></div>{article}{comments}</div>',
+                 f'<div class="has-sidebar">{article[:-10]}{comments}</article></div>'):
+        assert html_text.main_text(f"<body>{page}<p>end</p></body>").removesuffix("\nend") == want, page
+    assert html_text.main_text(f"<main><p>{long}</p>{comments}</main>") == long.strip()
+    for name in ("nav", "aside", "footer", "form"):
+        assert html_text.main_text(f"<{name}>{article}</{name}>") == ""
+    assert html_text.main_text(f'<div class="sidebar" style="display:none">{article}</div>') == ""
+
+
 def test_pages_equal_their_articles(spark):
     import html
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
