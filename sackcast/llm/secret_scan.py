@@ -1,16 +1,19 @@
 """Operator 8: secret scans by a recursive decoding worklist.
 
 Each text is the first layer. A layer is scanned for secrets, and its URL
-escapes, Unicode escapes and base64 runs (inflated if they hold zlib or gzip
-data) are unwrapped into new layers, until no new layer is left; a layer seen
-before in the same document is not entered again. Every character of a layer
-knows its span of the original text, so secrets found in depth map back.
+escapes, Unicode escapes and base64 runs, also those wrapped into lines (inflated
+if they hold zlib or gzip data, all members), are unwrapped into new layers,
+until no new layer is left; a layer seen before at the same place of a document
+is not entered again. Inflated data come in blocks, cut only where no match can
+cross, one in memory at a time. Every character of a layer knows its span of the
+original text, so secrets found in depth map back.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -31,8 +34,17 @@ _ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}
 _ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
-#: Bytes one compressed layer may unfold to; what exceeds it is cut off there.
-MOST_INFLATED = 1 << 26
+#: Two and more lines of base64 characters (the first may begin, the last may end within a line).
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Least length of the full lines of wrapped base64.
+LEAST_LINE = 16
+
+#: Bytes inflated at once; a block is that long and what follows to the next safe cut (a text without any is held whole).
+BLOCK = 1 << 20
+#: No match of this module holds such a character, or a space after a letter (not a hex digit) and before a letter or digit;
+#: decoding leaves both as they are, so this holds in deeper layers too.
+_SAFE = re.compile(r"""[^A-Za-z0-9+/_.=\-"'\x20:%\\\r\n]|[g-zG-Z]\x20(?=[A-Za-z0-9])""")
 
 
 def scan(text: str) -> list[tuple[int, int, str]]:
@@ -104,65 +116,136 @@ def _escape(match: re.Match):
     return plain
 
 
-def _unpacked(raw: bytes) -> bytes:
-    """zlib or gzip data inflated, anything else as it is."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        try:
-            return zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(raw, MOST_INFLATED)
-        except zlib.error:
-            pass
-    return raw
+def _inflated(raw: bytes) -> Iterator[bytes]:
+    """The data of all zlib or gzip members at the start of ``raw``, BLOCK bytes at most at a time; zlib.error where it is damaged."""
+    while raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
+        member = zlib.decompressobj(zlib.MAX_WBITS | 32)
+        while not member.eof:
+            part = member.decompress(raw, BLOCK)
+            raw = member.unconsumed_tail
+            if not part and not raw and not member.eof:
+                return  # ends before the member does
+            yield part
+        raw = member.unused_data.lstrip(b"\0")
+
+
+def _decoded(raw: bytes) -> Iterator[str]:
+    """Inflated text, up to where the data are damaged or end within a character."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    try:
+        for part in _inflated(raw):
+            yield decoder.decode(part)
+    except zlib.error:
+        return
+
+
+def _printable(text: str) -> int:
+    return sum(c.isprintable() or c in "\t\r\n" for c in text)
+
+
+def _inflated_blocks(raw: bytes) -> Iterator[str]:
+    """The text in ``raw``, cut at safe places; none if it isn't UTF-8 or not mostly printable."""
+    size = good = 0
+    try:
+        for part in _decoded(raw):
+            size, good = size + len(part), good + _printable(part)
+    except UnicodeDecodeError:
+        return
+    if good < 0.9 * size:
+        return
+    held, before = [], ""  # text not yet given, and the two characters before the next part
+    for part in _decoded(raw):
+        window = before + part
+        cut = max((m.end() for m in _SAFE.finditer(window)), default=0) - len(before)
+        if cut > 0 or cut == 0 and held:
+            yield "".join([*held, part[:cut]])
+            held, part = [], part[cut:]
+        if part:
+            held.append(part)
+        before = window[-2:]
+    if held:
+        yield "".join(held)
+
+
+def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Pieces (start, end) of the base64 runs: those of one line, and wrapped ones with and without an odd first and last line."""
+    for match in _BASE64.finditer(text):
+        yield [match.span()]
+    if "\n" not in text:
+        return
+    for match in _LINES.finditer(text):
+        lines = [m.span() for m in _LINE.finditer(text, match.start(), match.end())]
+        width = [len(text[a:b].rstrip("=")) for a, b in lines]
+        k = 0
+        while k < len(lines):
+            stop = k + 1
+            while stop < len(lines) and width[stop] == width[k]:
+                stop += 1
+            if width[k] >= LEAST_LINE:
+                firsts = [k, k - 1] if k and width[k - 1] < width[k] else [k]
+                lasts = [stop, stop + 1] if stop < len(lines) and width[stop] < width[k] else [stop]
+                for first in firsts:
+                    for last in lasts:
+                        if last - first > 1:
+                            yield lines[first:last]
+            k = stop
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    for match in _BASE64.finditer(layer.text):
-        body = match.group().rstrip("=").replace("-", "+").replace("_", "/")
+    for parts in _runs(layer.text):
+        body = "".join(layer.text[a:b] for a, b in parts).rstrip("=").replace("-", "+").replace("_", "/")
         body = body[:len(body) - 1] if len(body) % 4 == 1 else body
         try:
             raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        plain = _unpacked(raw)
+        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
+            origin = layer.origin(parts[0][0], parts[-1][1])
+            for text in _inflated_blocks(raw):
+                yield Layer(text, [origin] * len(text), layer.depth + 1)
         try:
-            text = plain.decode("utf-8")
+            text = raw.decode("utf-8")
         except UnicodeDecodeError:
             continue
-        if not text or sum(c.isprintable() or c in "\t\r\n" for c in text) < 0.9 * len(text):
+        if not text or _printable(text) < 0.9 * len(text):
             continue
-        if plain is raw:
-            groups = []
-            for k, char in enumerate(text):
-                groups += [k] * len(char.encode())
-            spans: list[tuple[int, int]] = [(1 << 62, 0)] * len(text)
-            for b, k in enumerate(groups):
-                first = match.start() + b * 4 // 3
-                last = min(match.start() + (b * 4 + 5) // 3 + 1, match.end())
-                spans[k] = min(spans[k][0], first), max(spans[k][1], last)
-            yield Layer(text, [layer.origin(*x) for x in spans], layer.depth + 1)
-        else:
-            yield Layer(text, [layer.origin(*match.span())] * len(text), layer.depth + 1)
+        place = [i for a, b in parts for i in range(a, b)]
+        groups = []
+        for k, char in enumerate(text):
+            groups += [k] * len(char.encode())
+        spans: list[tuple[int, int]] = [(1 << 62, 0)] * len(text)
+        for b, k in enumerate(groups):
+            first = place[b * 4 // 3]
+            last = place[min((b * 4 + 5) // 3, len(place) - 1)] + 1
+            spans[k] = min(spans[k][0], first), max(spans[k][1], last)
+        yield Layer(text, [layer.origin(*x) for x in spans], layer.depth + 1)
+
+
+def _inner(layer: Layer) -> Iterator[Layer]:
+    yield from _base64_layers(layer)
+    if "%" in layer.text and (more := _substituted(layer, _PERCENT, _percent)):
+        yield more
+    if "\\" in layer.text and (more := _substituted(layer, _ESCAPES, _escape)):
+        yield more
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
     """Base spans, all spans (both sorted), and the depth reached."""
     base = scan(text)
     every, depth = set(base), 0
-    work, seen = [Layer(text, None, 0)], {hashlib.blake2b(text.encode("utf-8", "surrogatepass")).digest()}
+    work, seen = [iter([Layer(text, None, 0)])], set()
     while work:
-        layer = work.pop()
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass")).digest(), layer.origin(0, len(layer.text)))
+        if mark in seen:
+            continue
+        seen.add(mark)
         depth = max(depth, layer.depth)
         if layer.depth:
             every.update((*layer.origin(s, e), kind) for s, e, kind in scan(layer.text))
-        inner = list(_base64_layers(layer))
-        if "%" in layer.text and (more := _substituted(layer, _PERCENT, _percent)):
-            inner.append(more)
-        if "\\" in layer.text and (more := _substituted(layer, _ESCAPES, _escape)):
-            inner.append(more)
-        for one in inner:
-            mark = hashlib.blake2b(one.text.encode("utf-8", "surrogatepass")).digest()
-            if mark not in seen:
-                seen.add(mark)
-                work.append(one)
+        work.append(_inner(layer))
     return base, sorted(every, key=lambda x: (x[0], KINDS.index(x[2]), x[1])), depth
 
 

@@ -98,6 +98,51 @@ def test_nested_layers_map_back():
         assert wrapped[:4] not in secret_scan.redacted(text, every) or wrapped.startswith("\\u") is False
 
 
+def _masked(text, wrapped):
+    """Whether assignments are found, within ``wrapped`` only."""
+    every = [x for x in secret_scan.find_secrets(text)[1] if x[2] == "assign"]
+    at = text.index(wrapped)
+    return bool(every) and all(at <= s < e <= at + len(wrapped) for s, e, _ in every)
+
+
+def test_wrapped_base64_and_several_members():
+    import random
+    rng = random.Random(2)
+    noise = "".join(rng.choice("abcdefghij klmnop,") for _ in range(900))
+    two = gzip.compress(noise.encode()) + gzip.compress(b" password=hunter2secret")
+    for raw in (gzip.compress((noise + " password=hunter2secret").encode()), two):
+        one = base64.b64encode(raw).decode()
+        assert _masked(f"see {one} end", one)
+        for line_end in ("\n", "\r\n"):
+            lines = line_end.join(one[i:i + 76] for i in range(0, len(one), 76))
+            for before, after in (("see\n", "\nend"), ("see: ", " end"), ("A\n\n", "\n"), ("key ", "\n-- \n")):
+                assert _masked(before + lines + after, lines), (before, after)
+            short = one[:50] + line_end + line_end.join(one[50:][i:i + 76] for i in range(0, len(one) - 50, 76))
+            assert _masked(f'x = "{short}"', short)
+    cut = "B" * 50 + " password=hunter2secret " + "C" * 40  # across the line break
+    lines = base64.encodebytes(cut.encode()).decode().strip()
+    assert _masked("\n" + lines + "\n", lines)
+
+
+def test_long_compressed_layers_are_scanned_whole(monkeypatch):
+    line = "päß words, and so on. "
+    for block in (64, 1001):
+        monkeypatch.setattr(secret_scan, "BLOCK", block)
+        for k in range(0, 64, 3):
+            text = line * 40 + "x" * k + ' password  =  "hunter2secret" ' + line * 40 + "api_key: abcdef123 "
+            packed = gzip.compress(text.encode())
+            blocks = list(secret_scan._inflated_blocks(packed))
+            assert "".join(blocks) == text and len(blocks) > 1
+            assert sum(len(secret_scan.scan(b)) for b in blocks) == len(secret_scan.scan(text)) == 2
+            one = base64.b64encode(packed).decode()
+            assert _masked(f"a {one} b", one)
+    monkeypatch.undo()
+    text = "é" * 5 + "the words of it, " * (1 << 22) + "password=hunter2secret"  # over 64 MB
+    assert len(text.encode()) > 1 << 26
+    one = base64.b64encode(gzip.compress(text.encode(), 1)).decode()
+    assert _masked(f"a {one} b", one)
+
+
 def test_same_layer_is_entered_once():
     assert secret_scan.find_secrets("%25%32%35%25" * 50)[2] >= 1
 
