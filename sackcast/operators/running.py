@@ -11,6 +11,14 @@ from sackcast.session import ensure_checkpoint_dir
 # Rows one window task may sort for a single group; larger groups are sliced.
 MAX_GROUP_ROWS = 2_000_000
 
+# Sums are taken over decimals of this type: exact, so neither the order of the
+# rows nor the algorithm a group's size selects can change them.
+EXACT = "decimal(38,14)"
+
+
+def exact(value_col: str):
+    return F.col(value_col).cast(EXACT)
+
 
 def _slices(df: DataFrame, slices: int | None) -> int:
     if slices:
@@ -25,7 +33,7 @@ def _order(value_col: str, tie_cols: list[str]):
 def _window_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col) -> DataFrame:
     w = (Window.partitionBy(*group_cols).orderBy(*_order(value_col, tie_cols))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out_col, F.sum(value_col).over(w))
+    return df.withColumn(out_col, F.sum(exact(value_col)).over(w).cast("double"))
 
 
 def _sliced_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col, slices) -> DataFrame:
@@ -41,14 +49,14 @@ def _sliced_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col, slices)
                 .checkpoint(eager=True))
     w_local = (Window.partitionBy(*group_cols, "_slice").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_local", F.sum(value_col).over(w_local))
-    totals = ranged.groupBy(*group_cols, "_slice").agg(F.sum(value_col).alias("_slice_total"))
+    local = ranged.withColumn("_local", F.sum(exact(value_col)).over(w_local))
+    totals = ranged.groupBy(*group_cols, "_slice").agg(F.sum(exact(value_col)).alias("_slice_total"))
     w_off = (Window.partitionBy(*group_cols).orderBy("_slice")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*group_cols, "_slice",
-                            F.coalesce(F.sum("_slice_total").over(w_off), F.lit(0.0)).alias("_offset"))
+                            F.coalesce(F.sum("_slice_total").over(w_off), F.lit(0).cast(EXACT)).alias("_offset"))
     return (local.join(offsets, [*group_cols, "_slice"])
-                 .withColumn(out_col, F.col("_local") + F.col("_offset"))
+                 .withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("double"))
                  .drop("_local", "_offset", "_slice"))
 
 
@@ -91,6 +99,7 @@ def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_c
     """``out_col`` = sum of ``value_col`` over the rows of the same group ordered by
     value descending, then ``tie_cols`` ascending, up to and including the row (ROWS frame).
 
+    Sums are exact (``EXACT``), given as double: both ways below give the same.
     Groups of at most ``max_group_rows`` rows use an ordinary window; hotter
     groups take the sliced prefix sum. ``hot``: the result of ``hot_groups`` if
     the caller has it (None = no hot group), else it is computed here. Without

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.functions import with_last_month
-from sackcast.operators.running import MAX_GROUP_ROWS, hot_groups, running_sum_desc
+from sackcast.operators.running import MAX_GROUP_ROWS, exact, hot_groups, running_sum_desc
 from sackcast.params import Params
 
 
@@ -41,6 +41,7 @@ def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, ou
     """W1 + A10: share of the group's total reached by each row, rows ordered by
     value descending with the ids as tie-break; adds ``_total`` too.
     The share is NULL when the group total is <= 0 (no division by zero).
+    Sums are exact, so the share depends neither on row order nor on group size.
 
     Usual case (no group above ``max_group_rows``): one exchange on the group
     key, one sort, total and running sum in one Window node. With hot groups:
@@ -52,9 +53,10 @@ def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, ou
         w = Window.partitionBy(*g)
         ordered = (w.orderBy(F.col(value_col).desc(), *[F.col(c).asc() for c in id_cols])
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        x = metrics.withColumns({"_total": F.sum(value_col).over(w), "_cum": F.sum(value_col).over(ordered)})
+        x = metrics.withColumns({"_total": F.sum(exact(value_col)).over(w).cast("double"),
+                                  "_cum": F.sum(exact(value_col)).over(ordered).cast("double")})
     else:
-        totals = metrics.groupBy(*g).agg(F.sum(value_col).alias("_total"))
+        totals = metrics.groupBy(*g).agg(F.sum(exact(value_col)).cast("double").alias("_total"))
         cum = running_sum_desc(metrics, g, value_col, list(id_cols), "_cum", max_group_rows, hot=hot)
         x = cum.join(hot.per_group(totals), g)
     share = F.when(F.col("_total") > 0, F.col("_cum") / F.col("_total"))
@@ -102,7 +104,7 @@ def segment_metrics(panel: DataFrame, window: int, names: dict[str, str], keys=S
     win = m.where((F.col(S.MONTH) >= F.add_months(F.col("_hi"), -(window - 1)))
                   & (F.col(S.MONTH) <= F.col("_hi")))
     return (win.groupBy(*by, *keys)
-               .agg(F.coalesce(F.sum(qty), F.lit(0.0)).alias(names["value"]),
+               .agg(F.coalesce(F.sum(exact(qty)).cast("double"), F.lit(0.0)).alias(names["value"]),
                     cv_expr(qty).alias(names["cv"]),
                     rotation_expr(qty).alias(names["rotation"])))
 

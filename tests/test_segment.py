@@ -41,6 +41,25 @@ def test_abc_ties_and_many_warehouses_paths_agree(spark):
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
 
+def test_abc_fractions_do_not_depend_on_size_or_order(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for w in range(300):  # values on a grid of 0.1 whose running sums meet 80 % and 95 % exactly
+        values = [rnd.randrange(1, 4) / 10 for _ in range(rnd.randrange(5, 30))]
+        total = round(10 * sum(values))
+        values += [0.1] * (-total % 20)
+        rows += [("C", "W%03d" % w, "M%03d" % i, "UN", v) for i, v in enumerate(values)]
+    want = None
+    for max_rows, seed in ((2_000_000, 1), (2_000_000, 2), (3, 3)):
+        random.Random(seed).shuffle(rows)
+        m = spark.createDataFrame(rows, "company string, warehouse string, material string, unit string, value double")
+        out = abc_classes(m, "value", "abc", ["company", "warehouse"], ["material", "unit"], (0.80, 0.95), max_rows)
+        got = sorted(map(tuple, out.select("warehouse", "material", "abc").collect()))
+        assert want is None or got == want
+        want = got
+
+
 CV_CASES = [
     ([10, 0, 0, 12, 14], 0.1667, 7.2),
     ([5, 0, 0, 0, 0], 0.0, 2.4),
