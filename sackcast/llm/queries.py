@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, jaccard_join, licenses, mixing, quality, secret_scan, substring_dedup, suffix_dedup, topk
+from . import collocations, decontaminate, html_text, jaccard_join, licenses, mixing, packing, quality, secret_scan, substring_dedup, suffix_dedup, topk, turn_trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +54,93 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_license_scan, op3_substring_dedup, op4_jaccard_join, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination)}
+def op11_turn_trie(spark, sf_dir):
+    return turn_trie.shared_openings(_table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.mine_collocations(_table(spark, sf_dir, "documents"))
+
 
-ORACLE: dict[str, str] = {}
+def op13_packing(spark, sf_dir):
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_license_scan, op3_substring_dedup, op4_jaccard_join, op5_mixing, op6_exact_topk, op7_quality, op8_secret_scan, op9_html_text, op10_decontamination, op11_turn_trie, op12_collocations, op13_packing)}
+
+#: Places of every phrase of 1 to 3 words by plain n-grams, then cuts and ranks as the operator's contract says.
+_COLLOCATIONS = """
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+lists as (select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from pieces),
+grams as materialized (
+  select lang, m, unnest(list_transform(range(1, len(w) + 2 - m), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+  from lists cross join (values (1), (2), (3)) v(m) where len(w) >= m),
+f as materialized (select lang, m, phrase, count(*) as c from grams group by all),
+totals as (select lang, sum(c) as n from f where m = 1 group by lang),
+cand as materialized (select lang, m, phrase, c as a, string_split(phrase, ' ') as w from f where m >= 2 and c >= 10),
+parts as (
+  select lang, m, phrase, a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:m], ' ') as rest
+  from cand cross join (values (1), (2)) v(k) where k < m),
+cuts as (
+  select parts.*, x.c as l, y.c as r, (1000000::hugeint * a * a) // (x.c::hugeint * y.c) as score
+  from parts join f x on x.lang = parts.lang and x.phrase = parts.head join f y on y.lang = parts.lang and y.phrase = parts.rest),
+least as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, phrase, max(a) as whole from (
+    select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from cand where m = 3)
+  group by lang, phrase),
+kept as (
+  select least.* from least left join inside using (lang, phrase)
+  where inside.whole is null or m = 3 or 100 * inside.whole < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+       cast(n as bigint) as n, cast(score as bigint) as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+#: Every prefix of the rebuilt conversations as a list; the checksum that deals the openings, bit by bit.
+_TRIE = """
+with recursive rows_ as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, text) as k,
+         coalesce(role, '') as r, coalesce(text, '') as x
+  from conversations where conv_id is not null),
+ids as (select distinct c from rows_),
+crc as (
+  select c, cast(c as varchar) as s, 0 as i, cast(4294967295 as bigint) as v from ids
+  union all
+  select c, s, i + 1, list_reduce(
+    [xor(v, cast(ascii(s[i + 1]) as bigint)), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: case when a % 2 = 1 then xor(a // 2, cast(3988292384 as bigint)) else a // 2 end)
+  from crc where i < length(s)),
+h as (select c, xor(v, cast(4294967295 as bigint)) % 4 as h, c - ((c % 20) + 20) % 20 as b from crc where i = length(s)),
+turns as (
+  select h.c, 0 as src, t.k, t.r, t.x from h join rows_ t on t.c = h.b and t.k <= h.h
+  union all
+  select h.c, 1 as src, t.k, t.r, t.x from h join rows_ t on t.c = h.c and t.k > h.h),
+paths as (
+  select c, row_number() over w as d, list({'r': r, 'x': x}) over w as p, x
+  from turns window w as (partition by c order by src, k rows between unbounded preceding and current row)
+  union all
+  select c, 0 as d, [] as p, '' as x from ids),
+long_ as (select c, max(d) as len from paths group by c),
+named as (select p.c, p.d, p.x, l.len, min(p.c) over (partition by p.d, p.p) as node from paths p join long_ l using (c)),
+nodes as (
+  select node, d, count(*) as n, len(list_filter(string_split_regex(any_value(x), '[\\x20\\x09-\\x0D]+'), lambda y: y <> '')) as words,
+         sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where len = d), '')) as ends_sha256
+  from named group by node, d),
+parents as (select n.node, n.d, m.node as parent from nodes n join named m on m.c = n.node and m.d = n.d - 1),
+kids as (select parent as node, d - 1 as d, count(*) as n_children from parents group by all),
+full_ as (select n.*, coalesce(k.n_children, 0) as n_children from nodes n left join kids k using (node, d)),
+sums as (
+  select a.node, a.d, sum(case when f.n_children = 0 then 1 else 0 end) as n_leaves, sum((f.n - 1) * f.words) as saved
+  from full_ f join named a on a.c = f.node and a.d <= f.d group by a.node, a.d)
+select f.node as conv_id, cast(f.d as bigint) as depth, p.parent as parent_conv_id, cast(f.n as bigint) as n_convs,
+       cast(f.n_children as bigint) as n_children, cast(s.n_leaves as bigint) as n_leaves, cast(s.saved as bigint) as saved_tokens, f.ends_sha256
+from full_ f left join parents p using (node, d) join sums s using (node, d)
+"""
+
+ORACLE: dict[str, str] = {"op11_turn_trie": _TRIE, "op12_collocations": _COLLOCATIONS}
