@@ -28,7 +28,7 @@ from .shared import cut, pieces, words_of
 BITS = 20
 CODES = (1 << BITS) - 1
 #: Text bytes a task takes at once; rows a language's best are first looked for in.
-BYTES, SALTS = 1 << 23, 64
+BYTES, SALTS = 1 << 21, 64
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x2E, 0x2C, 0x3B, 0x3A, 0x21, 0x3F, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -157,7 +157,7 @@ def mine_collocations(docs: DataFrame, longest: int = 3, least: int = 10, share:
     table = (top[order], order + 1)
     full = len(top) == codes
     w = [f"w{j}" for j in range(longest)]
-    found = cut(_phrases(window_counts(docs, table, full, longest, seed), longest, least))
+    found = cut(_phrases(cut(window_counts(docs, table, full, longest, seed)), longest, least))  # both of its parts read the windows
 
     def of(m: int, names: list[str], value: str) -> DataFrame:
         """Phrases of m words, their columns named anew."""
