@@ -3,12 +3,11 @@ T1 zero-fill of missing months, T2 the composition of all of them."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
-from sackcast.functions import all_in, first_of_month, with_group_values
+from sackcast.functions import all_in, keep, first_of_month, with_group_values
 
 
 def periodise(df: DataFrame, date_col: str = S.DATE) -> DataFrame:
@@ -62,7 +61,7 @@ def complete_months(monthly: DataFrame, months: int, keys=S.PRODUCT_KEY, qty_col
     ``keep_last`` keeps the run's max month as column ``_last_month`` on every row,
     so later operators need not aggregate the panel again to find it.
     """
-    monthly = monthly.persist(StorageLevel.MEMORY_AND_DISK)
+    monthly = keep(monthly)
     m = with_group_values(monthly, monthly, {"_hi": F.max(S.MONTH)}, by)
     vals = [F.col(c) for c in qty_cols]
     per_key = m.groupBy(*by, *keys).agg(

@@ -3,115 +3,50 @@ all products), computed without sending a huge group to a single task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sackcast.session import ensure_checkpoint_dir
-
-# Rows one window task may sort for a single group; larger groups are sliced.
-MAX_GROUP_ROWS = 2_000_000
-
-# Sums are taken over decimals of this type: exact, so neither the order of the
-# rows nor the algorithm a group's size selects can change them.
+# Sums are taken over decimals of this type: exact, so the order in which parts
+# are added cannot change them.
 EXACT = "decimal(38,14)"
 
+# Value slices per doubling of the value, and parts of a group's zeros.
+SLICES, ZERO_PARTS = 256, 32
 
-def exact(value_col: str):
-    return F.col(value_col).cast(EXACT)
-
-
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _order(value_col: str, tie_cols: list[str]):
-    return [F.col(value_col).desc(), *[F.col(c).asc() for c in tie_cols]]
-
-
-def _window_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col) -> DataFrame:
-    w = (Window.partitionBy(*group_cols).orderBy(*_order(value_col, tie_cols))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out_col, F.sum(exact(value_col)).over(w).cast("double"))
 
-
-def _sliced_sum(df: DataFrame, group_cols, value_col, tie_cols, out_col, slices) -> DataFrame:
-    """Distributed prefix sum: range-partition on (group, -value, ties) so a hot
-    group spreads over contiguous slices; the slice id is fixed by a reliable
-    checkpoint (survives executor loss; both branches below read the same
-    slices); each slice computes its local running sum; the slice totals (at most
-    groups + slices rows) give each slice its offset."""
-    ensure_checkpoint_dir(df.sparkSession)
-    order = _order(value_col, tie_cols)
-    ranged = (df.repartitionByRange(slices, *[F.col(g) for g in group_cols], *order)
-                .withColumn("_slice", F.spark_partition_id())
-                .checkpoint(eager=True))
-    w_local = (Window.partitionBy(*group_cols, "_slice").orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_local", F.sum(exact(value_col)).over(w_local))
-    totals = ranged.groupBy(*group_cols, "_slice").agg(F.sum(exact(value_col)).alias("_slice_total"))
-    w_off = (Window.partitionBy(*group_cols).orderBy("_slice")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*group_cols, "_slice",
-                            F.coalesce(F.sum("_slice_total").over(w_off), F.lit(0).cast(EXACT)).alias("_offset"))
-    return (local.join(offsets, [*group_cols, "_slice"])
-                 .withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("double"))
-                 .drop("_local", "_offset", "_slice"))
-
-
-# Per-group tables (one row per group) are broadcast explicitly up to this many groups.
-MAX_BROADCAST_GROUPS = 1_000_000
-
-
-class HotGroups:
-    """Result of the group check: the hot group keys (marker column ``_hot``) and
-    the number of groups, for bounded broadcasts of per-group tables."""
-
-    def __init__(self, hot: DataFrame, n_groups: int):
-        self.hot = hot
-        self.n_groups = n_groups
-
-    def per_group(self, df: DataFrame) -> DataFrame:
-        """A one-row-per-group table, broadcast when the group count is proven small;
-        otherwise left to AQE (sort-merge join with skew splitting)."""
-        return F.broadcast(df) if self.n_groups <= MAX_BROADCAST_GROUPS else df
+def exact(value_col: str) -> Column:
+    return F.col(value_col).cast(EXACT)
 
 
-def hot_groups(df: DataFrame, group_cols: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> HotGroups | None:
-    """Count rows per group (one small aggregation job). None when no group has
-    more than ``max_group_rows`` rows; else the hot keys (at most
-    rows / max_group_rows of them, so their marker table is bounded) and the
-    number of groups."""
-    g = list(group_cols)
-    counts = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    r = counts.agg(F.count(F.lit(1)).alias("groups"),
-                   F.count(F.when(F.col("_n") > max_group_rows, 1)).alias("hot")).first()
-    if not r or r["hot"] == 0:
-        return None
-    hot = counts.where(F.col("_n") > max_group_rows).select(*g, F.lit(True).alias("_hot"))
-    return HotGroups(hot, int(r["groups"]))
+def value_slice(value: Column) -> Column:
+    """Number of the value's slice, rising with the value; 0 holds exactly the zeros."""
+    high = 1 << 20   # beyond any logarithm of a double times SLICES
+    size = lambda v: F.floor(F.log2(v) * SLICES).cast("int")
+    return F.when(value > 0, size(value) + high).when(value < 0, -size(-value) - high).otherwise(0)
 
 
-def running_sum_desc(df: DataFrame, group_cols: list[str], value_col: str, tie_cols: list[str],
-                     out_col: str, max_group_rows: int = MAX_GROUP_ROWS, slices: int | None = None,
-                     hot: HotGroups | None | bool = False) -> DataFrame:
-    """``out_col`` = sum of ``value_col`` over the rows of the same group ordered by
-    value descending, then ``tie_cols`` ascending, up to and including the row (ROWS frame).
+def running_totals(df: DataFrame, group_cols: list[str], value_col: str, tie_cols: list[str],
+                   out_cum: str, out_total: str) -> DataFrame:
+    """``out_cum``: sum of ``value_col`` over the rows of the same group ordered by value
+    descending, then ``tie_cols`` ascending, up to and including the row; ``out_total``:
+    the group's sum. Both exact decimals. Group columns must not be NULL.
 
-    Sums are exact (``EXACT``), given as double: both ways below give the same.
-    Groups of at most ``max_group_rows`` rows use an ordinary window; hotter
-    groups take the sliced prefix sum. ``hot``: the result of ``hot_groups`` if
-    the caller has it (None = no hot group), else it is computed here. Without
-    hot groups the result stays lazy.
-    """
+    A distributed prefix sum, lazy and the same for every group size: a group's values
+    fall into slices of 0.3 % width; the slices' sums (a few thousand rows a group,
+    partially aggregated) give each slice the sum above it, and rows are ordered inside
+    their own slice only. Zeros, often the largest slice, add nothing in any order: they
+    are dealt over ``ZERO_PARTS`` parts. What one task orders is one slice of one group."""
     g = list(group_cols)
-    if hot is False:
-        hot = hot_groups(df, g, max_group_rows)
-    if hot is None:
-        return _window_sum(df, g, value_col, tie_cols, out_col)
-    marked = df.join(F.broadcast(hot.hot), g, "left")
-    cold = _window_sum(marked.where(F.col("_hot").isNull()).drop("_hot"), g, value_col, tie_cols, out_col)
-    warm = _sliced_sum(marked.where(F.col("_hot").isNotNull()).drop("_hot"), g, value_col, tie_cols, out_col,
-                       _slices(df, slices))
-    return cold.unionByName(warm)
+    value = F.col(value_col)
+    x = df.withColumns({"_slice": value_slice(value),
+                        "_part": F.when(value == 0, F.pmod(F.xxhash64(*tie_cols), F.lit(ZERO_PARTS)).cast("int")).otherwise(0)})
+    sums = x.groupBy(*g, "_slice").agg(F.sum(exact(value_col)).alias("_sum"))
+    whole = Window.partitionBy(*g)
+    above = whole.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({out_total: F.sum("_sum").over(whole), "_above": F.coalesce(F.sum("_sum").over(above), F.lit(0).cast(EXACT))})
+    parts = F.when(F.col("_slice") == 0, F.sequence(F.lit(0), F.lit(ZERO_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    sums = sums.withColumn("_part", F.explode(parts)).drop("_sum")
+    inside = (Window.partitionBy(*g, "_slice", "_part").orderBy(value.desc(), *[F.col(c).asc() for c in tie_cols])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = x.join(sums, [*g, "_slice", "_part"])
+    return joined.withColumn(out_cum, (F.col("_above") + F.sum(exact(value_col)).over(inside)).cast(EXACT)).drop("_slice", "_part", "_above")

@@ -3,12 +3,12 @@ variation, G3 FSN by rotation, G4 all three over the last N months."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.functions import with_last_month
-from sackcast.operators.running import MAX_GROUP_ROWS, exact, hot_groups, running_sum_desc
+from sackcast.operators.running import exact, running_totals
 from sackcast.params import Params
 
 
@@ -36,64 +36,34 @@ def fsn_expr(rot: Column, breaks=(2, 6)) -> Column:
     return F.when(rot >= b, "F").when(rot >= a, "S").otherwise("N")
 
 
-def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, out_col: str = "share",
-                     max_group_rows: int = MAX_GROUP_ROWS, hot=False) -> DataFrame:
+def cumulative_share(metrics: DataFrame, value_col: str, group_cols, id_cols, out_col: str = "share") -> DataFrame:
     """W1 + A10: share of the group's total reached by each row, rows ordered by
-    value descending with the ids as tie-break; adds ``_total`` too.
-    The share is NULL when the group total is <= 0 (no division by zero).
-    Sums are exact, so the share depends neither on row order nor on group size.
-
-    Usual case (no group above ``max_group_rows``): one exchange on the group
-    key, one sort, total and running sum in one Window node. With hot groups:
-    totals by partial aggregation and the sliced running sum (see ``running``)."""
-    g = list(group_cols)
-    if hot is False:
-        hot = hot_groups(metrics, g, max_group_rows)
-    if hot is None:
-        w = Window.partitionBy(*g)
-        ordered = (w.orderBy(F.col(value_col).desc(), *[F.col(c).asc() for c in id_cols])
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        x = metrics.withColumns({"_total": F.sum(exact(value_col)).over(w).cast("double"),
-                                  "_cum": F.sum(exact(value_col)).over(ordered).cast("double")})
-    else:
-        totals = metrics.groupBy(*g).agg(F.sum(exact(value_col)).cast("double").alias("_total"))
-        cum = running_sum_desc(metrics, g, value_col, list(id_cols), "_cum", max_group_rows, hot=hot)
-        x = cum.join(hot.per_group(totals), g)
-    share = F.when(F.col("_total") > 0, F.col("_cum") / F.col("_total"))
-    return x.withColumn(out_col, share).drop("_cum")
+    value descending with the ids as tie-break; adds ``_total`` and ``_cum`` (exact).
+    The share is NULL when the group total is <= 0 (no division by zero)."""
+    x = running_totals(metrics, list(group_cols), value_col, list(id_cols), "_cum", "_total")
+    return x.withColumn(out_col, _share(F.col("_cum")))
+
+
+def _share(cum: Column) -> Column:
+    return F.when(F.col("_total") > 0, cum.cast("double") / F.col("_total").cast("double"))
 
 
 def abc_classes(metrics: DataFrame, value_col: str, out_col: str, group_cols, id_cols,
-                breaks=(0.80, 0.95), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                breaks=(0.80, 0.95)) -> DataFrame:
     """G1: per group, total <= 0 -> all C; else share <= a -> A, <= b -> B, else C.
     Then the B repair (W2): a group with A and C but no B turns its first row
-    beyond ``a`` (in value order) into B. The per-group facts of the repair are
-    window aggregates on the same partitioning (no join) unless a group is hot,
-    where they are a partial aggregation joined back."""
+    beyond ``a`` (in value order) into B.
+
+    Shares rise as long as values are positive and stay at 1 or more after that, so the
+    repair needs no facts of the group: it meets the row beyond both breaks whose
+    predecessor (the running sum without the row's own value; there is one) is an A."""
     a, b = breaks
-    g = list(group_cols)
-    ids = list(id_cols)
-    hot = hot_groups(metrics, g, max_group_rows)
-    x = cumulative_share(metrics, value_col, g, ids, "_share", max_group_rows, hot=hot)
+    x = cumulative_share(metrics, value_col, group_cols, id_cols, "_share")
+    before = F.col("_cum") - exact(value_col)
+    repair = (F.col("_share") > a) & (F.col("_share") > b) & (before > 0) & (_share(before) <= a)
     cls = (F.when(F.col("_total") <= 0, "C").when(F.col("_share") <= a, "A")
-            .when(F.col("_share") <= b, "B").otherwise("C"))
-    x = x.withColumn("_cls", cls)
-    rank_key = F.struct((-F.col(value_col)).alias("v"), *[F.col(c) for c in ids])
-    facts = {
-        "_has_a": F.max((F.col("_cls") == "A").cast("int")),
-        "_has_b": F.max((F.col("_cls") == "B").cast("int")),
-        "_has_c": F.max((F.col("_cls") == "C").cast("int")),
-        "_first_beyond": F.min(F.when(F.col("_share") > a, rank_key)),
-    }
-    if hot is None:
-        w = Window.partitionBy(*g)
-        y = x.withColumns({k: e.over(w) for k, e in facts.items()})
-    else:
-        y = x.join(hot.per_group(x.groupBy(*g).agg(*[e.alias(k) for k, e in facts.items()])), g)
-    repair = ((F.col("_total") > 0) & (F.col("_has_b") == 0) & (F.col("_has_a") == 1)
-              & (F.col("_has_c") == 1) & (rank_key == F.col("_first_beyond")))
-    return (y.withColumn(out_col, F.when(repair, "B").otherwise(F.col("_cls")))
-             .drop("_share", "_total", "_cls", "_has_a", "_has_b", "_has_c", "_first_beyond"))
+            .when((F.col("_share") <= b) | repair, "B").otherwise("C"))
+    return x.withColumn(out_col, cls).drop("_share", "_total", "_cum")
 
 
 def segment_metrics(panel: DataFrame, window: int, names: dict[str, str], keys=S.PRODUCT_KEY,
@@ -109,15 +79,19 @@ def segment_metrics(panel: DataFrame, window: int, names: dict[str, str], keys=S
                     rotation_expr(qty).alias(names["rotation"])))
 
 
-def segment(panel: DataFrame, p: Params, keys=S.PRODUCT_KEY, warehouse_keys=S.WAREHOUSE_KEY,
-            qty: str = S.QTY, by: tuple[str, ...] = (), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Product key + value, cv, rotation, abc, xyz, fsn (one row per key)."""
-    names = S.segment_names(p.segment_window, p.segment_prefix, qty)
-    metrics = segment_metrics(panel, p.segment_window, names, keys, qty, by)
+def classified(metrics: DataFrame, p: Params, names: dict[str, str], keys=S.PRODUCT_KEY,
+               warehouse_keys=S.WAREHOUSE_KEY, by: tuple[str, ...] = ()) -> DataFrame:
+    """G1-G3 on a table of value, cv and rotation: product key + the six segment columns."""
     id_cols = [k for k in keys if k not in warehouse_keys]
-    abc = abc_classes(metrics, names["value"], names["abc"], [*by, *warehouse_keys], id_cols, p.abc_breaks,
-                      max_group_rows)
+    abc = abc_classes(metrics, names["value"], names["abc"], [*by, *warehouse_keys], id_cols, p.abc_breaks)
     return abc.select(
         *by, *keys, names["value"], names["cv"], names["rotation"], names["abc"],
         xyz_expr(F.col(names["cv"]), p.xyz_breaks).alias(names["xyz"]),
         fsn_expr(F.col(names["rotation"]), p.fsn_breaks).alias(names["fsn"]))
+
+
+def segment(panel: DataFrame, p: Params, keys=S.PRODUCT_KEY, warehouse_keys=S.WAREHOUSE_KEY,
+            qty: str = S.QTY, by: tuple[str, ...] = ()) -> DataFrame:
+    """Product key + value, cv, rotation, abc, xyz, fsn (one row per key)."""
+    names = S.segment_names(p.segment_window, p.segment_prefix, qty)
+    return classified(segment_metrics(panel, p.segment_window, names, keys, qty, by), p, names, keys, warehouse_keys, by)

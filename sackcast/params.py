@@ -44,6 +44,8 @@ class Params:
     stamp_time_zone: str = STAMP_TIME_ZONE
     # model_type labels written into the forecast table
     label_model: str = "SEASONAL QUANTILE"
+    label_regression: str = "QUANTILE REGRESSION"
+    label_user: str = "CUSTOM MODEL"
     label_moving_average: str = "MOVING AVERAGE"
     label_zero: str = "ZERO PROJECTION"
     # column-name prefix of the segment columns; empty -> quantity column name

@@ -1,11 +1,12 @@
 """T16 backfill: many as-of dates in one job, ``asof`` as a leading run key.
 
 The demand is scanned once over the union of all windows and summed to months
-once (A1); only then does each monthly row receive the as-of dates whose
-window holds it, so the fan-out (at most the number of dates) hits monthly
-rows, never raw sales. Every later operator takes ``by=("asof",)``: "global"
-max/min months become per-date aggregates (a table of one row per date,
-broadcast), windows and aggregations partition by the date as well.
+once (A1). Segments and forecasts read every date's stretch of the series' own
+array of months (``operators/one_pass``): no monthly row is multiplied by the
+dates. The frames that do hold a row per date and month (panel, eligible rows,
+actuals; user's models read them) take ``by=("asof",)``: their "global" max/min
+months are per-date aggregates (one row per date, broadcast), their windows and
+aggregations partition by the date as well.
 """
 
 from __future__ import annotations
@@ -14,16 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
-from sackcast.operators.prepare import apply_filters, clean_quantity, complete_months, monthly_sum, periodise
+from sackcast.operators.prepare import complete_months
 from sackcast.operators.monitor import min_period, monitor_errors
 from sackcast.operators.stamp import stamp_columns
 from sackcast.params import Params
 from sackcast.plans.monthly import RunFrames, forecast_rows, split_run
+from sackcast.plans.series import backfill_segments, history_runs, scanned_months, series_forecast
 from sackcast.sources import tables
 from sackcast.sources.demand import _month_start, asof_months
 
 BY = ("asof",)
 
+__all__ = ["backfill_segments", "backfill_forecast", "backfill_frames", "backfill_monitoring", "monthly_asof_dates", "run_backfill"]
+
 
 def monthly_asof_dates(asof_end, n: int = 19) -> list:
     """The reference's backfill list: ``n`` monthly dates ending at ``asof_end``
@@ -33,22 +37,10 @@ def monthly_asof_dates(asof_end, n: int = 19) -> list:
     return [_month_start(end["month"], -k).replace(day=day) for k in range(n - 1, -1, -1)]
 
 
-def _runs(asofs, history: int):
-    out = []
-    for a in asofs:
-        m = asof_months(a)
-        out.append((m["asof"], _month_start(m["prev"], -history), m["month"]))
-    return out
-
-
 def backfill_panel(demand: DataFrame, asofs, p: Params, keep_last: bool = False) -> DataFrame:
     """S1 + T2 for every as-of date: ``asof, keys, month, qty``."""
-    runs = _runs(asofs, p.history_months)
-    lo = min(r[1] for r in runs)
-    hi = max(r[2] for r in runs)
-    scan = demand.where((F.col(S.DATE) >= F.lit(lo)) & (F.col(S.DATE) < F.lit(hi))
-                        & (F.col(S.CLASS) == p.product_class))
-    monthly = monthly_sum(apply_filters(clean_quantity(periodise(scan)), p.filters()))
+    runs = history_runs(asofs, p.history_months)
+    monthly = scanned_months(demand, runs, p)
     arr = F.array(*[F.struct(F.lit(a).alias("asof"), F.lit(l).alias("lo"), F.lit(h).alias("hi")) for a, l, h in runs])
     tagged = monthly.select(
         "*", F.explode(F.filter(arr, lambda r: (F.col(S.MONTH) >= r["lo"]) & (F.col(S.MONTH) < r["hi"]))).alias("_run"))
@@ -67,10 +59,12 @@ def backfill_frames(demand: DataFrame, known: DataFrame, asofs, p: Params) -> Ru
                      known_list=known)
 
 
-def backfill_forecast(demand: DataFrame, known: DataFrame, asofs, p: Params) -> DataFrame:
-    """All dates' forecasts, stamped per date, in one plan (``asof`` + 21 columns)."""
-    fr = backfill_frames(demand, known, asofs, p)
-    rows = forecast_rows(fr, p, by=BY)
+def backfill_forecast(demand: DataFrame, known: DataFrame, asofs, p: Params, model=None) -> DataFrame:
+    """All dates' forecasts, stamped per date, in one plan (``asof`` + 21 columns); ``model`` as in ``forecast_rows``."""
+    if model is None:
+        rows = series_forecast(demand, known, asofs, p)
+    else:
+        rows = forecast_rows(backfill_frames(demand, known, asofs, p), p, by=BY, model=model)
     rows = rows.withColumns(stamp_columns(F.col("asof"), p.stamp_time_zone))
     return S.conform(rows, S.FORECAST_SCHEMA, leading=BY)
 
@@ -80,11 +74,7 @@ def backfill_actuals(demand: DataFrame, asofs, p: Params) -> DataFrame:
     the history window, as in a single run; ``asof`` leads. One scan, one A1."""
     runs = [(asof_months(a)["asof"], _month_start(asof_months(a)["month"], -p.horizon), asof_months(a)["month"])
             for a in asofs]
-    lo = min(r[1] for r in runs)
-    hi = max(r[2] for r in runs)
-    scan = demand.where((F.col(S.DATE) >= F.lit(lo)) & (F.col(S.DATE) < F.lit(hi))
-                        & (F.col(S.CLASS) == p.product_class))
-    monthly = monthly_sum(apply_filters(clean_quantity(periodise(scan)), p.filters()))
+    monthly = scanned_months(demand, runs, p)
     arr = F.array(*[F.struct(F.lit(a).alias("asof"), F.lit(l).alias("lo"), F.lit(h).alias("hi")) for a, l, h in runs])
     tagged = monthly.select(
         "*", F.explode(F.filter(arr, lambda r: (F.col(S.MONTH) >= r["lo"]) & (F.col(S.MONTH) < r["hi"]))).alias("_run"))

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
+from sackcast.functions import caches_released, keep
 from sackcast.operators.forecast import known_keys, not_eligible_forecast
+from sackcast.operators.model_paths import modelled_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
 from sackcast.operators.prepare import LAST_MONTH, prepare_demand
 from sackcast.operators.seasonal import eligible_forecast, fit_or_load
@@ -18,6 +19,7 @@ from sackcast.operators.segment import segment
 from sackcast.operators.skus import eligible_split, known_split
 from sackcast.operators.stamp import add_period_stamp
 from sackcast.params import Params
+from sackcast.plans.series import series_forecast
 from sackcast.sources import tables
 from sackcast.sources.demand import actuals_scan, demand_scan
 
@@ -50,17 +52,19 @@ def split_run(panel: DataFrame, known: DataFrame, p: Params, by: tuple[str, ...]
     per-run max months, so it is persisted once (memory, spilling to disk; lost
     blocks are recomputed from lineage). It is one row per key and month, far
     smaller than the demand rows it summarises."""
-    panel = panel.persist(StorageLevel.MEMORY_AND_DISK)
+    panel = keep(panel)
     ka, unk, ki = known_split(panel.drop(LAST_MONTH), known, S.PRODUCT_KEY, by)
     seg = segment(panel, p, by=by)
     el, nel = eligible_split(panel, p, seg, by=by)
     return RunFrames(panel, seg, el, nel, ka, unk, ki, known, known_list)
 
 
-def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by: tuple[str, ...] = (),
+                  model=None) -> DataFrame:
     """Eligible -> seasonal quantiles (eligible, active); the rest with recent
     sales -> moving average, without -> zero (not eligible, active); one union.
-    The three inputs are disjoint, so each series gets exactly ``horizon`` rows."""
+    ``model``: a ``QuantileModel`` or a user's function (or functions, tried in turn)
+    in place of the seasonal quantiles. The three inputs are disjoint, so each series gets exactly ``horizon`` rows."""
     k = [*by, *S.PRODUCT_KEY]
     # is_known matches on the 4-column series key (N10); joined per series,
     # before the rows are multiplied by the horizon
@@ -72,28 +76,36 @@ def forecast_rows(fr: RunFrames, p: Params, params: DataFrame | None = None, by:
         kk = known_keys(fr.known, S.SERIES_KEY, by)
     # the panel is gap-filled up to its max month for every series, so each
     # subset's max month is the panel's: read it from the cached panel
-    model = (eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel,
-                               series_flags=kk).withColumn("is_eligible", F.lit(True)))
+    if model is None:
+        served = eligible_forecast(fr.eligible, p, params, S.PRODUCT_KEY, by=by, top_source=fr.panel, series_flags=kk)
+    else:
+        served = modelled_forecast(fr.eligible, p, model, S.PRODUCT_KEY, by=by, top_source=fr.panel, series_flags=kk)
+    served = served.withColumn("is_eligible", F.lit(True))
     simple = (not_eligible_forecast(fr.not_eligible, p, S.PRODUCT_KEY, by=by, top_source=fr.panel,
                                     series_flags=kk).withColumn("is_eligible", F.lit(False)))
-    rows = model.unionByName(simple)
+    rows = served.unionByName(simple)
     return rows.select(*k, F.col(S.MONTH).alias(S.DATE), *S.Q_COLS, "model_type", "has_sales",
                        "is_eligible", "is_known", F.lit(True).alias("is_active"))
 
 
 def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
-                   params: DataFrame | None = None, model_path: str | None = None) -> DataFrame:
+                   params: DataFrame | None = None, model_path: str | None = None, model=None) -> DataFrame:
     """The month's forecast in the output layout (21 columns), lazily.
 
+    ``model``: see ``forecast_rows``.
+
     ``model_path``: versioned parameter table (T10). The month's version is loaded
     if stored, else fitted on the eligible series, appended and loaded (that write
     is the only eager step)."""
+    if model is None and params is None and model_path is None:
+        rows = series_forecast(demand, known, [asof], p).drop("asof")
+        return S.conform(add_period_stamp(rows, asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
     fr = split_run(prepared_panel(demand, asof, p, keep_last=True), known, p)
-    if params is None and model_path is not None:
+    if model is None and params is None and model_path is not None:
         train = fr.eligible.select(*S.PRODUCT_KEY, S.MONTH, S.QTY)
         params = fit_or_load(demand.sparkSession, train, model_path, asof, p.quantiles, S.PRODUCT_KEY,
                              p.product_class)
-    return S.conform(add_period_stamp(forecast_rows(fr, p, params), asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
+    return S.conform(add_period_stamp(forecast_rows(fr, p, params, model=model), asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
 
 
 def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Params) -> DataFrame:
@@ -106,14 +118,14 @@ def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Par
 
 
 def run_month(demand: DataFrame, known: DataFrame, asof, p: Params, forecast_path: str,
-              monitor_path: str, model_path: str | None = None) -> dict:
+              monitor_path: str, model_path: str | None = None, model=None) -> dict:
     """Run-once guards, append the month's forecast, then the monitoring.
     A month already stored is read back instead of recomputed (S10, S11)."""
     spark = demand.sparkSession
     period = int(str(asof)[:7].replace("-", ""))
     wrote_fc = wrote_mon = False
     if not tables.has_rows(spark, forecast_path, tables.month_guard(period, p.product_class)):
-        fc = forecast_month(demand, known, asof, p, model_path=model_path)
+        fc = forecast_month(demand, known, asof, p, model_path=model_path, model=model)
         wrote_fc = tables.write_once(fc, forecast_path, period, p.product_class, S.FORECAST_SCHEMA)
     if not tables.has_rows(spark, monitor_path, tables.month_guard(period, p.product_class)):
         stored = tables.read_output(spark, forecast_path, S.FORECAST_SCHEMA)

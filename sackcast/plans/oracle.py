@@ -224,6 +224,84 @@ def forecast_ctes(tag: str, asof, p: Params) -> str:
   from {tag}fc_rows r left join {tag}kk kk using ({SKEYS}))"""
 
 
+def clamped(x: str) -> str:
+    return f"cast(round_even(greatest(0.0, round_even({x}, 6)), 0) as bigint)"
+
+
+def design_ctes(tag: str, p: Params, cutoffs=None, out: str = "") -> str:
+    """Design rows of the quantile regression over ``{tag}elig`` -> ``{out}design``: one row per series, origin
+    (the last month, or each cutoff inside the history) and step."""
+    qs = ", ".join(str(q) for q in p.quantiles)
+    origins = "[last]" if cutoffs is None else "[" + ", ".join(f"date '{c}'" for c in cutoffs) + "]"
+    mean = lambda k: f"list_sum(v[greatest(1, n - {k - 1}):n]) / len(v[greatest(1, n - {k - 1}):n])"
+    held = lambda x: f"greatest(-64.0, least(64.0, ({x}) / level))"
+    return f"""
+{out}hist as (
+  select {KEYS}, list(qty order by month) as v, min(month) as first, max(month) as last,
+         any_value(abc_qty_30m) as abc, any_value(xyz_qty_30m) as xyz, any_value(fsn_qty_30m) as fsn
+  from {tag}elig group by {KEYS}),
+{out}orig as (
+  select *, datediff('month', first, origin) + 1 as n
+  from (select *, unnest({origins}) as origin from {out}hist) where origin between first and last),
+{out}facts as (
+  select *, case when lv > 0 then lv else 1.0 end as level,
+         list_transform(case when n > 12 then range(13, n + 1) else [] end, lambda i: v[i] - v[i - 12]) as rest
+  from (select *, {mean(24)} as lv, {mean(3)} as m3, {mean(6)} as m6, {mean(12)} as m12,
+               len(list_filter(v[greatest(1, n - 11):n], lambda x: x > 0)) / len(v[greatest(1, n - 11):n]) as active
+        from {out}orig)),
+{out}steps_ as (
+  select f.*, s.step, n + step - ((step - 1) // 12 + 1) * 12 as place, cast(origin + to_months(cast(step as int)) as date) as month
+  from {out}facts f cross join (select unnest(generate_series(1, {p.horizon})) as step) s),
+{out}raw as (
+  select *, case when place >= 1 then v[place] end as raw_season,
+         case when place >= 13 then v[place - 12] end as raw_before
+  from {out}steps_),
+{out}design as (
+  select {KEYS}, origin, step, month, level, v[n + step] as target, raw_season,
+         case when len(rest) > 0 then [{", ".join(f"list_aggregate(rest, 'quantile_cont', {q})" for q in p.quantiles)}] end as rq,
+         1.0 as one, {held('coalesce(raw_season, m12)')} as season, {held('coalesce(raw_before, raw_season, m12)')} as season_before,
+         {held('v[n]')} as last, {held('m3')} as mean3, {held('m6')} as mean6, {held('m12')} as mean12, active,
+         sin(2 * pi() * month(month) / 12) as month_sin, cos(2 * pi() * month(month) / 12) as month_cos, step / {p.horizon} as step_share,
+         case when abc = 'A' then 1.0 else 0.0 end as is_a, case when abc = 'B' then 1.0 else 0.0 end as is_b,
+         case when xyz = 'X' then 1.0 else 0.0 end as is_x, case when xyz = 'Y' then 1.0 else 0.0 end as is_y,
+         case when fsn = 'F' then 1.0 else 0.0 end as is_f
+  from {out}raw)"""
+
+
+REGRESSORS = ("one", "season", "season_before", "last", "mean3", "mean6", "mean12", "active", "month_sin", "month_cos", "step_share",
+              "is_a", "is_b", "is_x", "is_y", "is_f")
+
+
+def regression_value(coefficients) -> str:
+    total = " + ".join(f"{f} * cast({c!r} as double)" for f, c in zip(REGRESSORS, coefficients))
+    return f"round_even(({total}) * level, 6)"
+
+
+def regression_quantiles(rows) -> str:
+    ordered = "list_sort([" + ", ".join(regression_value(c) for c in rows) + "])"
+    return ", ".join(f"{clamped(f'{ordered}[{k + 1}]')} as {c}" for k, c in enumerate(("q05", "q25", "q50", "q75", "q95")))
+
+
+def selection_ctes(median, tag: str = "") -> str:
+    """Errors of the four candidates over ``{tag}design`` -> ``selection``."""
+    return f"""
+points as (
+  select {KEYS}, target, {clamped(regression_value(median))} as regression, {clamped('raw_season + rq[3]')} as seasonal,
+         {clamped('raw_season')} as last_year, {clamped('mean12 * level')} as level
+  from {tag}design where target is not null),
+maes as (
+  select {KEYS}, count(*) as n_points,
+         {", ".join(f"case when count({c}) = count(*) then sum(abs(target - {c})) / count(*) end as mae_{c}" for c in ("regression", "seasonal", "last_year", "level"))}
+  from points group by {KEYS}),
+selection as (
+  select *, case least(mae_regression, mae_seasonal, mae_last_year, mae_level)
+              when mae_regression then 'regression' when mae_seasonal then 'seasonal'
+              when mae_last_year then 'last_year' when mae_level then 'level' else 'regression' end as chosen
+  from (select {", ".join(f"h.{k.strip()}" for k in KEYS.split(","))}, coalesce(n_points, 0) as n_points, mae_regression, mae_seasonal, mae_last_year, mae_level
+        from {tag}hist h left join maes m on {_on('h', 'm')}))
+"""
+
+
 def with_ctes(*parts: str) -> str:
     return "with recursive " + DEMAND + "," + ",".join(parts) + "\n"
 

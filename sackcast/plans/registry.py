@@ -10,29 +10,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
+from sackcast.functions import item_id, split_item_id
 from sackcast.operators.features import (CALENDAR_COLS, calendar_features, future_frame, lag_features,
                                          model_input, static_features)
 from sackcast.operators.forecast import moving_average_forecast, zero_forecast
-from sackcast.operators.monitor import monitor_errors, monitorable_forecast
+from sackcast.operators.monitor import monitorable_forecast
 from sackcast.operators.prepare import (LAST_MONTH, apply_filters, clean_quantity, complete_months, monthly_sum,
-                                        periodise, prepare_demand)
+                                        periodise)
+from sackcast.operators.quantile_model import (QuantileModel, fit_quantile_model, regression_forecast)
+from sackcast.operators.selection import CANDIDATES, selected_forecast, validate_models
 from sackcast.operators.seasonal import PARAM_COLS, backtest, fit_seasonal_quantiles, forecast_with, seasonal_forecast
 from sackcast.operators.segment import segment_metrics, cumulative_share
 from sackcast.operators.skus import recent_sales_flag, recent_sales_split
-from sackcast.operators.stamp import stamp_columns, to_forecast_layout, utc_wall_clock
+from sackcast.operators.stamp import stamp_columns, to_forecast_layout, to_monitor_layout
 from sackcast.params import DEFAULT, Params
 from sackcast.plans import oracle as O
-from sackcast.plans.backfill import backfill_forecast, backfill_frames, backfill_monitoring
-from sackcast.plans.monthly import RunFrames, forecast_rows, prepared_panel, split_run
-from sackcast.sources.demand import actuals_scan, demand_scan
+from sackcast.plans.backfill import backfill_forecast, backfill_monitoring, backfill_segments, monthly_asof_dates
+from sackcast.plans.monthly import RunFrames, forecast_month, forecast_rows, monitoring_month, prepared_panel, split_run
+from sackcast.sources.demand import demand_scan
 from sackcast.sources.fixtures import demand_from_tables, known_from_demand
 
 # Fixed values of the fixtures: the main as-of date and the earlier one whose
 # 18 months end at the main run's previous month.
 ASOF = "2001-08-15"
 ASOF_EARLY = "2000-02-15"
+ASOFS = monthly_asof_dates(ASOF, 19)   # the first one is ASOF_EARLY
 BACKTEST_CUTOFFS = tuple(f"2000-{m:02d}-01" for m in range(1, 13))   # 12 windows; the first scores all steps
 P = DEFAULT
+# A fixed model for the compared queries (by quantile level, in the order of FEATURES); the fitted one is ``regression_fit``.
+REGRESSION = QuantileModel(P.quantiles, (
+    (-0.217, 0.0, -0.002, 0.0, -0.002, -0.001, -0.018, 0.033, -0.008, -0.001, -0.004, -0.092, -0.124, 0.026, 0.021, 0.097),
+    (-0.016, 0.01, -0.001, 0.02, -0.001, 0.03, -0.008, 0.024, -0.003, -0.002, -0.001, -0.004, -0.012, 0.007, 0.005, 0.026),
+    (0.02, 0.011, -0.003, 0.01, -0.002, -0.001, -0.026, 0.056, -0.012, -0.001, -0.002, 0.022, -0.002, 0.03, 0.031, 0.58),
+    (0.939, -0.013, -0.042, 0.001, -0.032, -0.017, 0.204, -1.685, -0.04, 0.02, -0.031, 0.816, 0.123, 0.657, 0.418, 0.66),
+    (4.895, -0.016, -0.015, -0.003, -0.09, 0.133, 1.401, -6.14, 0.068, -0.139, -0.284, 2.26, 2.635, -3.079, -0.929, 0.146)))
 NAMES = S.segment_names(P.segment_window, P.segment_prefix)
 KEYS = list(S.PRODUCT_KEY)
 
@@ -211,16 +222,15 @@ def q_seasonal_forecast(spark, sf):
     return seasonal_forecast(el, fit_seasonal_quantiles(el, P.quantiles, KEYS), P.horizon, KEYS)
 
 
-def _stamped(rows: DataFrame, asof) -> DataFrame:
-    d = F.lit(asof).cast("date")
-    st = stamp_columns(asof, P.stamp_time_zone)
-    st["loaded_at"] = utc_wall_clock(d, P.stamp_time_zone)
-    st["deleted_at"] = st["loaded_at"]
-    return rows.withColumns(st)
+def _shipped(df: DataFrame) -> DataFrame:
+    """The shipped instants as UTC wall clock (TIMESTAMP_NTZ), whatever the session's zone, for comparison."""
+    return df.withColumns({c: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+                           for c in ("loaded_at", "deleted_at")})
 
 
-def _forecast(spark, sf, asof=ASOF):
-    return _stamped(forecast_rows(_frames(spark, sf, asof), P), asof)
+def _forecast(spark, sf, asof=ASOF, model=None):
+    d = _demand(spark, sf)
+    return forecast_month(d, known_from_demand(d), asof, P, model=model)
 
 
 def q_forecast_flags(spark, sf):
@@ -229,15 +239,12 @@ def q_forecast_flags(spark, sf):
 
 
 def q_full_forecast(spark, sf):
-    return _forecast(spark, sf)
+    return _shipped(_forecast(spark, sf))
 
 
 def q_period_stamp(spark, sf):
     months = _monthly(spark, sf).select(S.MONTH).distinct()
-    st = stamp_columns(F.col(S.MONTH), P.stamp_time_zone)
-    st["loaded_at"] = utc_wall_clock(F.col(S.MONTH), P.stamp_time_zone)
-    st["deleted_at"] = st["loaded_at"]
-    return months.withColumns(st)
+    return _shipped(months.withColumns(stamp_columns(F.col(S.MONTH), P.stamp_time_zone)))
 
 
 def _stored(spark, sf):
@@ -245,14 +252,11 @@ def _stored(spark, sf):
 
 
 def q_monitorable_period(spark, sf):
-    return monitorable_forecast(_stored(spark, sf), ASOF, P.product_class)
+    return _shipped(monitorable_forecast(_stored(spark, sf), ASOF, P.product_class))
 
 
 def q_monitor_errors(spark, sf):
-    fc = monitorable_forecast(_stored(spark, sf), ASOF, P.product_class)
-    act = prepare_demand(actuals_scan(_demand(spark, sf), ASOF, P), P.filters(), months=P.history_months)
-    out = monitor_errors(fc.drop(*S.STAMP_COLS), act)
-    return _stamped(out, ASOF)
+    return _shipped(monitoring_month(_stored(spark, sf), _demand(spark, sf), ASOF, P))
 
 
 def q_backtest_mae(spark, sf):
@@ -262,10 +266,31 @@ def q_backtest_mae(spark, sf):
                     _r6(F.col("mae")).alias("mae"))
 
 
+def q_regression_fit(spark, sf):
+    """T9 on the whole eligible panel: the coefficients, by level and feature."""
+    return fit_quantile_model(_frames(spark, sf).eligible, P.quantiles, P.horizon, KEYS, names=NAMES).frame(spark)
+
+
+def q_regression_forecast(spark, sf):
+    return regression_forecast(_frames(spark, sf).eligible, REGRESSION, P.horizon, KEYS, names=NAMES)
+
+
+def _validated(el):
+    return validate_models(el, BACKTEST_CUTOFFS, REGRESSION, P.horizon, KEYS, names=NAMES)
+
+
+def q_model_selection(spark, sf):
+    x = _validated(_frames(spark, sf).eligible)
+    return x.select(*KEYS, "n_points", *[_r6(F.col(f"mae_{c}")).alias(f"mae_{c}") for c in CANDIDATES], "chosen")
+
+
+def q_selected_forecast(spark, sf):
+    el = _frames(spark, sf).eligible
+    return selected_forecast(el, _validated(el), REGRESSION, P.horizon, KEYS, names=NAMES)
+
+
 def q_backfill_segments(spark, sf):
-    d = _demand(spark, sf)
-    fr = backfill_frames(d, known_from_demand(d), [ASOF_EARLY, ASOF], P)
-    return fr.segments
+    return backfill_segments(_demand(spark, sf), ASOFS, P)
 
 
 def _last12_mean_model(pdf):
@@ -290,30 +315,57 @@ def q_custom_model_hook(spark, sf):
     return forecast_with(el, _last12_mean_model, schema, KEYS)
 
 
+def _filtered(spark, sf):
+    return apply_filters(demand_scan(_demand(spark, sf), ASOF, P), P.filters())
+
+
 def q_forecast_template(spark, sf):
-    scan = apply_filters(demand_scan(_demand(spark, sf), ASOF, P), P.filters())
-    return _show_stamp(to_forecast_layout(scan, ASOF, P), F.lit(ASOF).cast("date"))
+    return _shipped(to_forecast_layout(_filtered(spark, sf), ASOF, P))
+
+
+def q_monitor_template(spark, sf):
+    return _shipped(to_monitor_layout(_filtered(spark, sf), ASOF, P))
+
+
+def q_item_id_parts(spark, sf):
+    """The joined id of every series of the panel and its parts."""
+    x = _monthly(spark, sf).select(*S.SERIES_KEY).distinct().withColumn("item_id", item_id(S.SERIES_KEY))
+    return x.select("item_id", *[c.alias(n) for n, c in split_item_id("item_id", [f"part_{k}" for k in S.SERIES_KEY]).items()])
 
 
-def _show_stamp(df: DataFrame, asof="asof") -> DataFrame:
-    """Stamp instants shown as UTC wall clock (TIMESTAMP_NTZ) for engine-neutral comparison."""
-    wall = utc_wall_clock(F.col(asof) if isinstance(asof, str) else asof, P.stamp_time_zone)
-    return df.withColumns({"loaded_at": wall, "deleted_at": wall})
+def q_regression_month(spark, sf):
+    """T14 with the quantile regression on the eligible path."""
+    return _shipped(_forecast(spark, sf, model=REGRESSION))
+
+
+def _failing_model(history, future):
+    raise ValueError("no answer")
+
+
+def _spread_model(history, future):
+    """A user's model: the mean of the last 12 months; its two low quantiles cross, and one warehouse's series fail."""
+    level = float(history["qty"].tail(12).mean())
+    if history["warehouse"].iloc[0] == "C001":
+        raise ValueError("no answer either")
+    return future[["month"]].assign(q05=level * 0.75, q25=level * 0.25, q50=level, q75=level * 1.25, q95=level * 1.5)
+
+
+def q_custom_model_month(spark, sf):
+    """T14 with a user's functions: the first raises, the second serves all series but those of one warehouse."""
+    return _shipped(_forecast(spark, sf, model=(_failing_model, _spread_model)))
 
 
 def _backfill_fc(spark, sf):
     d = _demand(spark, sf)
-    return backfill_forecast(d, known_from_demand(d), [ASOF_EARLY, ASOF], P)
+    return backfill_forecast(d, known_from_demand(d), ASOFS, P)
 
 
 def q_backfill_forecast(spark, sf):
-    return _show_stamp(_backfill_fc(spark, sf))
+    return _shipped(_backfill_fc(spark, sf))
 
 
 def q_backfill_monitoring(spark, sf):
-    d = _demand(spark, sf)
-    mon = backfill_monitoring(_backfill_fc(spark, sf), d, [ASOF_EARLY, ASOF], P)
-    return _show_stamp(mon)
+    return _shipped(backfill_monitoring(_backfill_fc(spark, sf), _demand(spark, sf), ASOFS, P))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -350,11 +402,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monitorable_period": q_monitorable_period,
     "monitor_errors": q_monitor_errors,
     "backtest_mae": q_backtest_mae,
+    "regression_fit": q_regression_fit,
+    "regression_forecast": q_regression_forecast,
+    "model_selection": q_model_selection,
+    "selected_forecast": q_selected_forecast,
     "backfill_segments": q_backfill_segments,
     "backfill_forecast": q_backfill_forecast,
     "backfill_monitoring": q_backfill_monitoring,
     "custom_model_hook": q_custom_model_hook,
     "forecast_template": q_forecast_template,
+    "monitor_template": q_monitor_template,
+    "item_id_parts": q_item_id_parts,
+    "regression_month": q_regression_month,
+    "custom_model_month": q_custom_model_month,
 }
 
 
@@ -530,10 +590,19 @@ select f.cutoff, cast(datediff('month', f.cutoff, f.month) as bigint) as step, c
        round_even(avg(abs(a.qty - f.q50)), 6) + 0.0 as mae
 from fc f join r_elig a on {O._on('f', 'a')} and a.month = f.month
 group by f.cutoff, step""",
-        "backfill_forecast": W(_run("e_", ASOF_EARLY, True), _run("r_", ASOF, True)) + f"""
-select date '{ASOF_EARLY}' as asof, {fc_cols} from e_forecast
-union all
-select date '{ASOF}' as asof, {fc_cols} from r_forecast""",
+        "regression_forecast": W(_run()) + "," + O.design_ctes("r_", P) + f"""
+select {K}, month, {O.regression_quantiles(REGRESSION.coefficients)} from design""",
+        "model_selection": W(_run()) + "," + O.design_ctes("r_", P, BACKTEST_CUTOFFS) + "," + O.selection_ctes(REGRESSION.coefficients[2])
+                           + f"select {K}, n_points, {', '.join(f'round_even(mae_{c}, 6) + 0.0 as mae_{c}' for c in CANDIDATES)}, chosen from selection",
+        "selected_forecast": W(_run()) + "," + O.design_ctes("r_", P, BACKTEST_CUTOFFS, "v_") + "," + O.selection_ctes(REGRESSION.coefficients[2], "v_")
+                             + "," + O.design_ctes("r_", P) + f""",
+by_regression as (select {K}, month, {O.regression_quantiles(REGRESSION.coefficients)} from design)
+select d.product_class, d.company, d.warehouse, d.material, d.unit, d.month,
+  {", ".join(f"coalesce(case s.chosen when 'seasonal' then {O.clamped(f'd.raw_season + d.rq[{i + 1}]')} when 'last_year' then {O.clamped('d.raw_season')} when 'level' then {O.clamped('d.mean12 * d.level')} end, g.{c}) as {c}" for i, c in enumerate(S.Q_COLS))},
+  s.chosen as model
+from design d join selection s on {O._on('d', 's')} join by_regression g on {O._on('d', 'g')} and g.month = d.month""",
+        "backfill_forecast": W(*(_run(f"d{k}_", a, True) for k, a in enumerate(ASOFS)))
+                             + "\nunion all\n".join(f"select date '{a}' as asof, {fc_cols} from d{k}_forecast" for k, a in enumerate(ASOFS)),
         "backfill_monitoring": W(_run("e_", ASOF_EARLY, True), _run("r_", ASOF, True), stored, mon) + f"""
 select date '{ASOF}' as asof, f.product_class, f.company, f.warehouse, f.material, f.unit, f.date, a.qty,
        f.q05, f.q25, f.q50, f.q75, f.q95,
@@ -554,6 +623,47 @@ from (select {K}, max(month) as last,
              list_avg(list_slice(list(qty order by month), greatest(1, count(*) - 11), count(*))) as level
       from r_elig group by {K}) s
 cross join (select unnest(generate_series(1, {P.horizon})) as h) h""",
+        "monitor_template": W(O.panel_ctes("r_", ASOF, P)) + f"""
+select {K}, date, cast(trunc(qty) as double) as qty, {", ".join(f"cast(0 as bigint) as {c}" for c in S.Q_COLS)},
+       {", ".join(f"0.0::double as {c}" for c in S.ERR_COLS)}, '' as model_type,
+       false as has_sales, false as is_eligible, false as is_known, false as is_active,
+       '15-08-2001' as run_date, cast(200108 as int) as period,
+       timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
+       timestamp '2001-08-15 05:00:00' as deleted_at
+from r_scan where company in ({O._in(P.companies)})""",
+        "item_id_parts": W(O.panel_ctes("r_", ASOF, P)) + f"""
+select distinct concat_ws('_', {O.SKEYS}) as item_id, company as part_company, warehouse as part_warehouse,
+       material as part_material, unit as part_unit from r_monthly""",
+        "regression_month": W(_run(forecast=True)) + "," + O.design_ctes("r_", P) + f""",
+reg as (select {K}, month, {O.regression_quantiles(REGRESSION.coefficients)} from design)
+select {fc_cols} from r_forecast where not is_eligible
+union all
+select d.product_class, d.company, d.warehouse, d.material, d.unit, d.month as date, {qcols},
+       '{P.label_regression}' as model_type, s.has_sales, true as is_eligible, coalesce(k.is_known, false) as is_known, true as is_active,
+       '15-08-2001' as run_date, cast(200108 as int) as period, timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
+       timestamp '2001-08-15 05:00:00' as deleted_at
+from reg d join r_el_series s on {O._on('d', 's')} left join r_kk k on {O._on('d', 'k', O.SKEYS)}""",
+        "custom_model_month": W(_run(forecast=True), """
+u_init as (
+  select product_class, company, warehouse, material, unit, last, has_sales, list_slice(vals, greatest(1, len(vals) - 11), len(vals)) as w
+  from r_el_series),
+u_rec as (
+  select product_class, company, warehouse, material, unit, last, has_sales, w as first, 0 as step, w, cast(null as bigint) as v from u_init
+  union all
+  select product_class, company, warehouse, material, unit, last, has_sales, first, step + 1,
+         list_append(list_slice(w, 2, len(w)), greatest(0.0, round_even(list_sum(w) / len(w), 0))),
+         cast(greatest(0.0, round_even(list_sum(w) / len(w), 0)) as bigint)
+  from u_rec where step < 18),
+u_level as (select *, list_sum(first) / len(first) as level, warehouse = 'C001' as failed from u_rec where step > 0)""") + f"""
+select {fc_cols} from r_forecast where not is_eligible
+union all
+select u.product_class, u.company, u.warehouse, u.material, u.unit, cast(last + to_months(step) as date) as date,
+       {", ".join(f"case when failed then v else {O.clamped(f'level * {f}')} end as {c}" for c, f in zip(S.Q_COLS, (0.5, 0.5, 1.0, 1.25, 1.5)))},
+       case when failed then '{P.label_moving_average}' else '{P.label_user}' end as model_type,
+       has_sales, true as is_eligible, coalesce(k.is_known, false) as is_known, true as is_active,
+       '15-08-2001' as run_date, cast(200108 as int) as period, timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
+       timestamp '2001-08-15 05:00:00' as deleted_at
+from u_level u left join r_kk k on {O._on('u', 'k', O.SKEYS)}""",
         "forecast_template": W(O.panel_ctes("r_", ASOF, P)) + f"""
 select {K}, date, cast(0 as bigint) as q05, cast(0 as bigint) as q25, cast(0 as bigint) as q50,
        cast(0 as bigint) as q75, cast(0 as bigint) as q95, '' as model_type,
@@ -562,8 +672,6 @@ select {K}, date, cast(0 as bigint) as q05, cast(0 as bigint) as q25, cast(0 as
        timestamp '2001-08-15 05:00:00' as loaded_at, false as deleted,
        timestamp '2001-08-15 05:00:00' as deleted_at
 from r_scan where company in ({O._in(P.companies)})""",
-        "backfill_segments": W(_run("e_", ASOF_EARLY), _run("r_", ASOF)) + f"""
-select date '{ASOF_EARLY}' as asof, {K}, {seg_cols} from e_seg
-union all
-select date '{ASOF}' as asof, {K}, {seg_cols} from r_seg""",
+        "backfill_segments": W(*(_run(f"d{k}_", a) for k, a in enumerate(ASOFS)))
+                             + "\nunion all\n".join(f"select date '{a}' as asof, {K}, {seg_cols} from d{k}_seg" for k, a in enumerate(ASOFS)),
     }

@@ -95,15 +95,22 @@ def test_backfill_monitoring_equals_single_run(spark):
     assert one.exceptAll(bf).count() == 0 and bf.exceptAll(one).count() == 0
 
 
-def test_hot_warehouse_path_equals_window_path(spark, frames):
-    """Force every warehouse through the sliced prefix sum on real data."""
-    from sackcast.operators.segment import segment
-
-    panel = frames.panel.drop("_last_month")
-    normal = segment(panel, P)
-    sliced = segment(panel, P, max_group_rows=3)
-    assert normal.count() == sliced.count() == 990
-    assert normal.exceptAll(sliced).count() == 0 and sliced.exceptAll(normal).count() == 0
+def test_sliced_running_sum_equals_one_window(spark, frames):
+    """The distributed prefix sum on real data against one ordered window per warehouse."""
+    from pyspark.sql import Window
+
+    from sackcast import schemas as S
+    from sackcast.operators.running import exact, running_totals
+
+    seg = frames.segments.select(*S.PRODUCT_KEY, "value_qty_30m")
+    got = running_totals(seg, list(S.WAREHOUSE_KEY), "value_qty_30m", [S.MATERIAL, S.UNIT], "cum", "total")
+    whole = Window.partitionBy(*S.WAREHOUSE_KEY)
+    upto = (whole.orderBy(F.col("value_qty_30m").desc(), S.MATERIAL, S.UNIT)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    want = seg.withColumns({"total": F.sum(exact("value_qty_30m")).over(whole), "cum": F.sum(exact("value_qty_30m")).over(upto)})
+    cols = [*S.PRODUCT_KEY, "cum", "total"]
+    assert got.count() == want.count() == 990
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
 
 
 def test_versioned_model_in_monthly_run(spark, tmp_path):

@@ -17,28 +17,52 @@ ABC_CASES = [
 
 
 @pytest.mark.parametrize("values,expected", ABC_CASES)
-@pytest.mark.parametrize("max_rows", [2_000_000, 0])   # 0 forces the sliced (hot group) path
-def test_abc_micro(spark, values, expected, max_rows):
+def test_abc_micro(spark, values, expected):
     m = metrics_df(spark, values)
-    out = abc_classes(m, "value", "abc", list(S.WAREHOUSE_KEY), [S.MATERIAL, S.UNIT], (0.80, 0.95), max_rows)
+    out = abc_classes(m, "value", "abc", list(S.WAREHOUSE_KEY), [S.MATERIAL, S.UNIT], (0.80, 0.95))
     got = [r.abc for r in out.orderBy("material").collect()]
     assert got == expected
 
 
-def test_abc_ties_and_many_warehouses_paths_agree(spark):
+def plain_abc(values, a=0.80, b=0.95):
+    """One warehouse's classes by a plain loop over exact fractions (ids in the order of the list)."""
+    from fractions import Fraction
+    order = sorted(range(len(values)), key=lambda i: (-values[i], i))
+    total, cum, out = sum(map(Fraction, map(str, values))), Fraction(0), {}
+    for i in order:
+        cum += Fraction(str(values[i]))
+        share = float(cum) / float(total) if total > 0 else None
+        out[i] = "C" if share is None or share > b else "A" if share <= a else "B"
+        out[i] = (out[i], share)
+    classes = {c for c, _ in out.values()}
+    if total > 0 and classes == {"A", "C"}:
+        first = next(i for i in order if out[i][1] > a)
+        out[first] = ("B", None)
+    return [out[i][0] for i in range(len(values))]
+
+
+def test_abc_same_as_a_plain_loop(spark):
     import random
     rnd = random.Random(7)
-    rows = []
-    for w in range(5):
-        vals = [rnd.choice([0, 1, 2, 5, 5, 10, 40]) for _ in range(60)]
-        rows.append(metrics_df(spark, vals, warehouse=f"W{w}"))
-    m = rows[0]
-    for r in rows[1:]:
-        m = m.unionByName(r)
-    a = abc_classes(m, "value", "abc", list(S.WAREHOUSE_KEY), [S.MATERIAL, S.UNIT], (0.80, 0.95), 2_000_000)
-    b = abc_classes(m, "value", "abc", list(S.WAREHOUSE_KEY), [S.MATERIAL, S.UNIT], (0.80, 0.95), 10)
-    cols = ["warehouse", "material", "abc"]
-    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    rows, want = [], {}
+    for w in range(40):   # ties, zeros, negative values, fractions, one value far above the others
+        kind = [[0, 1, 2, 5, 5, 10, 40], [0, 0, 0, 3, -2, 7], [0.1, 0.2, 0.3, 1e6], [1e-9, 5e8, 0, -1]][w % 4]
+        values = [rnd.choice(kind) for _ in range(rnd.randrange(1, 80))]
+        want |= {(f"W{w:02d}", f"M{i:02d}"): c for i, c in enumerate(plain_abc(values))}
+        rows += [("CEMENT", "6012", f"W{w:02d}", f"M{i:02d}", "BLS", float(v)) for i, v in enumerate(values)]
+    m = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in S.PRODUCT_KEY) + ", value double")
+    out = abc_classes(m, "value", "abc", list(S.WAREHOUSE_KEY), [S.MATERIAL, S.UNIT])
+    assert {(r.warehouse, r.material): r.abc for r in out.collect()} == want
+
+
+def test_abc_is_lazy_and_orders_slices_only(spark):
+    """No job runs while the plan is built; rows are ordered inside (group, slice, part), never a whole group."""
+    m = spark.range(1000).selectExpr("'A' company", "'W' warehouse", "cast(id as string) material", "'U' unit", "cast(id % 7 as double) value")
+    spark.sparkContext.setJobGroup("abc-build", "")
+    out = abc_classes(m, "value", "abc", ["company", "warehouse"], ["material", "unit"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("abc-build")) == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "company" in plan and "_slice" in plan
 
 
 def test_abc_fractions_do_not_depend_on_size_or_order(spark):
@@ -51,10 +75,10 @@ def test_abc_fractions_do_not_depend_on_size_or_order(spark):
         values += [0.1] * (-total % 20)
         rows += [("C", "W%03d" % w, "M%03d" % i, "UN", v) for i, v in enumerate(values)]
     want = None
-    for max_rows, seed in ((2_000_000, 1), (2_000_000, 2), (3, 3)):
+    for seed in (1, 2, 3):
         random.Random(seed).shuffle(rows)
         m = spark.createDataFrame(rows, "company string, warehouse string, material string, unit string, value double")
-        out = abc_classes(m, "value", "abc", ["company", "warehouse"], ["material", "unit"], (0.80, 0.95), max_rows)
+        out = abc_classes(m, "value", "abc", ["company", "warehouse"], ["material", "unit"], (0.80, 0.95))
         got = sorted(map(tuple, out.select("warehouse", "material", "abc").collect()))
         assert want is None or got == want
         want = got
