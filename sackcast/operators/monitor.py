@@ -10,27 +10,16 @@ from sackcast import schemas as S
 from sackcast.sources.demand import asof_months
 
 
-#: Longest horizon (months) any stored forecast may have; bounds the periods that monitoring reads.
-MAX_HORIZON = 60
-
-
-def min_period(prev, horizon: int = MAX_HORIZON) -> int:
-    """Smallest run period whose forecast can end at month ``prev``: a run's forecast
-    starts after its data, which ends before the run month, so its last month is
-    at most run month + horizon - 1, whatever horizon the present run has. Used as
-    a partition filter on ``period``."""
-    m = prev.year * 12 + prev.month - 1 - (horizon - 1)
-    return (m // 12) * 100 + m % 12 + 1
-
-
 def monitorable_forecast(stored: DataFrame, asof, product_class: str, lookback: int = 24) -> DataFrame:
     """Rows of the stored forecast (one class) whose ``period`` is the one
     whose last month equals the month before ``asof``; months older than
     prev - ``lookback`` are ignored when finding it. Several such periods -> the
-    greatest (the reference's LIMIT 1 had no order). None -> empty."""
+    greatest (the reference's LIMIT 1 had no order). None -> empty. Forecasts of any
+    horizon are found; a stored table finds the period in its manifest instead
+    (``sources.commits.MonthTable.completed``)."""
     prev = asof_months(asof)["prev"]
     mm = F.trunc(F.to_date(F.col(S.DATE)), "MM")
-    cls = stored.where((F.col(S.CLASS) == product_class) & (F.col("period") >= min_period(prev)))
+    cls = stored.where(F.col(S.CLASS) == product_class)
     periods = (cls.where(mm >= F.add_months(F.lit(prev), -lookback))
                   .groupBy("period").agg(F.max(mm).alias("_last"))
                   .where(F.col("_last") == F.lit(prev)))

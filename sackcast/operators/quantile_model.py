@@ -26,14 +26,16 @@ from sackcast import schemas as S
 from sackcast.functions import clamp_round_long, month_index
 
 LEVEL_MONTHS = 24      # months whose mean is a series' level
-MOST = 64.0            # features of quantity are held within this many levels
+MOST = 32.0            # features of quantity are held within this many levels
 HISTORY_FEATURES = ("season", "season_before", "last", "mean3", "mean6", "mean12")
 SEGMENT_FEATURES = (("abc", "A"), ("abc", "B"), ("xyz", "X"), ("xyz", "Y"), ("fsn", "F"))
 FEATURES = ("one", *HISTORY_FEATURES, "active", "month_sin", "month_cos", "step_share",
             *(f"is_{v.lower()}" for _, v in SEGMENT_FEATURES))
 
-# fixed point of the fit: features and targets in 1/1024, weights in 1/256; rounds and rows of one exact sum
-UNIT, WEIGHT_UNIT, EPSILON, ROUNDS, BLOCK = 1024, 256, 0.05, 30, 1 << 16
+# fixed point of the fit: features and targets in 1/1024, weights in 1/256, rows of one exact sum (under 2**62)
+UNIT, WEIGHT_UNIT, BLOCK = 1024, 256, 1 << 15
+# rounds, and the residual that counts as none: it shrinks from the first of these to the second
+ROUNDS, LOOSE, TIGHT, SHRINK = 30, 0.5, 0.002, 0.75
 RIDGE, SETTLED = 1e-3, 1e-3
 
 
@@ -108,7 +110,7 @@ def design_rows(history: DataFrame, horizon: int, keys=S.PRODUCT_KEY, by: tuple[
                     F.get("_v", F.col("_n") + F.col("step") - 1).alias("target"))
 
 
-def _normal_equations(rows: DataFrame, coefficients: np.ndarray, levels) -> tuple[np.ndarray, np.ndarray, int]:
+def _normal_equations(rows: DataFrame, coefficients: np.ndarray, levels, epsilon: float) -> tuple[np.ndarray, np.ndarray, int]:
     """Sums over all rows of w x x', w x y and x for every level, exact in fixed point."""
     d = len(FEATURES)
 
@@ -125,7 +127,7 @@ def _normal_equations(rows: DataFrame, coefficients: np.ndarray, levels) -> tupl
                     rest = whole / UNIT
                     for j in range(d):     # in this order for every row, whatever the batch
                         rest = rest - x[:, j] / UNIT * coefficients[k, j]
-                    w = np.rint(WEIGHT_UNIT / (EPSILON + np.abs(rest))).astype(np.int64)
+                    w = np.rint(WEIGHT_UNIT / (epsilon + np.abs(rest))).astype(np.int64)
                     xw = x * w[:, None]
                     found.append(np.concatenate([(x.T @ xw).ravel(), xw.T @ whole, x.sum(axis=0)]))
                 sums = np.concatenate([*found, [part.num_rows]])
@@ -155,15 +157,16 @@ def fit_quantile_model(panel: DataFrame, levels=(0.05, 0.25, 0.5, 0.75, 0.95), h
     found = np.zeros((len(levels), d))
     found[:, FEATURES.index("mean12")] = 1.0
     try:
-        for _ in range(ROUNDS):
-            gram, moments, n = _normal_equations(rows, found, levels)
+        for k in range(ROUNDS):
+            epsilon = max(TIGHT, LOOSE * SHRINK ** k)
+            gram, moments, n = _normal_equations(rows, found, levels, epsilon)
             if not n:
                 break
-            new = np.stack([np.linalg.solve(gram[k] + RIDGE * n * np.eye(d), moments[k, 0] + (2 * q - 1) * moments[k, 1])
-                            for k, q in enumerate(levels)])
+            new = np.stack([np.linalg.solve(gram[j] + RIDGE * n * np.eye(d), moments[j, 0] + (2 * q - 1) * moments[j, 1])
+                            for j, q in enumerate(levels)])
             moved = np.abs(new - found).max()
             found = new
-            if moved < SETTLED:
+            if moved < SETTLED and epsilon == TIGHT:
                 break
     finally:
         rows.unpersist()

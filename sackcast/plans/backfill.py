@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sackcast import schemas as S
+from sackcast.functions import caches_released
 from sackcast.operators.prepare import complete_months
-from sackcast.operators.monitor import min_period, monitor_errors
+from sackcast.operators.monitor import monitor_errors
 from sackcast.operators.stamp import stamp_columns
 from sackcast.params import Params
 from sackcast.plans.monthly import RunFrames, forecast_rows, split_run
 from sackcast.plans.series import backfill_segments, history_runs, scanned_months, series_forecast
-from sackcast.sources import tables
+from sackcast.sources.commits import MonthTable
 from sackcast.sources.demand import _month_start, asof_months
 
 BY = ("asof",)
@@ -88,8 +89,7 @@ def monitorable_per_date(forecasts: DataFrame, asofs, p: Params) -> DataFrame:
     (The reference ignores months older than prev - 24 while looking for that
     period; that cannot change which period's last month equals prev.)
     The period and date tables have at most one row per period / date."""
-    low = min(min_period(asof_months(a)["prev"]) for a in asofs)
-    fc = forecasts.where((F.col(S.CLASS) == p.product_class) & (F.col("period") >= low))
+    fc = forecasts.where(F.col(S.CLASS) == p.product_class)
     mm = F.trunc(F.to_date(F.col(S.DATE)), "MM")
     last = fc.groupBy("period").agg(F.max(mm).alias("_last"))
     dates = F.array(*[F.struct(F.lit(asof_months(a)["asof"]).alias("asof"),
@@ -111,27 +111,16 @@ def backfill_monitoring(forecasts: DataFrame, demand: DataFrame, asofs, p: Param
     return S.conform(out, S.MONITOR_SCHEMA, leading=BY)
 
 
-def _new_periods_only(df: DataFrame, path: str, p: Params) -> DataFrame:
-    """Rows whose (period, class) is not stored yet (lazy anti join on a table of
-    at most one row per stored period)."""
-    spark = df.sparkSession
-    if not tables.path_exists(spark, path):
-        return df
-    stored = (spark.read.parquet(path).where(F.col(S.CLASS) == p.product_class)
-                   .select("period").distinct())
-    return df.join(F.broadcast(stored), "period", "left_anti")
-
-
 def run_backfill(demand: DataFrame, known: DataFrame, asofs, p: Params, forecast_path: str,
-                 monitor_path: str) -> None:
-    """T16 with sinks: every date's forecast is appended to the period-partitioned
-    forecast table unless its period is stored already (run-once, as S10), then
-    every date's monitoring is computed from the stored forecasts and appended the
-    same way. Two write jobs in total, however many dates."""
-    fc = backfill_forecast(demand, known, asofs, p).drop(*BY)
-    (S.conform(_new_periods_only(fc, forecast_path, p), S.FORECAST_SCHEMA)
-       .write.mode("append").partitionBy("period").parquet(forecast_path))
-    stored = tables.read_output(demand.sparkSession, forecast_path, S.FORECAST_SCHEMA)
-    mon = backfill_monitoring(stored, demand, asofs, p).drop(*BY)
-    (S.conform(_new_periods_only(mon, monitor_path, p), S.MONITOR_SCHEMA)
-       .write.mode("append").partitionBy("period").parquet(monitor_path))
+                 monitor_path: str, model=None) -> dict:
+    """T16 with sinks: every date's forecast is stored unless its month is already (run-once, as
+    S10), then every date's monitoring is computed from the stored forecasts and stored the
+    same way. Two write jobs in total, however many dates; each publishes all its months at
+    once. Returns the periods written; caches are released at the end."""
+    spark = demand.sparkSession
+    forecasts = MonthTable(spark, forecast_path, S.FORECAST_SCHEMA)
+    monitoring = MonthTable(spark, monitor_path, S.MONITOR_SCHEMA)
+    with caches_released():
+        wrote = forecasts.write(backfill_forecast(demand, known, asofs, p, model).drop(*BY))
+        measured = monitoring.write(backfill_monitoring(forecasts.read(), demand, asofs, p).drop(*BY))
+    return {"forecast": [period for period, _ in wrote], "monitoring": [period for period, _ in measured]}

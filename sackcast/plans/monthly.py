@@ -20,7 +20,7 @@ from sackcast.operators.skus import eligible_split, known_split
 from sackcast.operators.stamp import add_period_stamp
 from sackcast.params import Params
 from sackcast.plans.series import series_forecast
-from sackcast.sources import tables
+from sackcast.sources.commits import MonthTable
 from sackcast.sources.demand import actuals_scan, demand_scan
 
 
@@ -110,7 +110,11 @@ def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
 
 def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Params) -> DataFrame:
     """S12 + S13 + T2 + T15 + P8: errors of the forecast that has just completed."""
-    fc = monitorable_forecast(stored_forecast, asof, p.product_class)
+    return monitoring_errors(monitorable_forecast(stored_forecast, asof, p.product_class), demand, asof, p)
+
+
+def monitoring_errors(fc: DataFrame, demand: DataFrame, asof, p: Params) -> DataFrame:
+    """S13 + T2 + T15 + P8 for the rows of one completed forecast."""
     act = prepare_demand(actuals_scan(demand, asof, p), p.filters(), S.PRODUCT_KEY, (S.QTY,),
                          True, True, p.history_months)
     out = monitor_errors(fc, act)
@@ -119,17 +123,23 @@ def monitoring_month(stored_forecast: DataFrame, demand: DataFrame, asof, p: Par
 
 def run_month(demand: DataFrame, known: DataFrame, asof, p: Params, forecast_path: str,
               monitor_path: str, model_path: str | None = None, model=None) -> dict:
-    """Run-once guards, append the month's forecast, then the monitoring.
-    A month already stored is read back instead of recomputed (S10, S11)."""
+    """Run-once guards, store the month's forecast, then the monitoring.
+
+    A month already stored is not computed again. ``forecast`` and ``monitoring`` are the
+    stored rows, read back either way (S10, S11): the month's forecast, and the errors of the
+    forecast that has just completed (empty if there is none). Caches are released at the end."""
     spark = demand.sparkSession
     period = int(str(asof)[:7].replace("-", ""))
+    forecasts = MonthTable(spark, forecast_path, S.FORECAST_SCHEMA)
+    monitoring = MonthTable(spark, monitor_path, S.MONITOR_SCHEMA)
     wrote_fc = wrote_mon = False
-    if not tables.has_rows(spark, forecast_path, tables.month_guard(period, p.product_class)):
-        fc = forecast_month(demand, known, asof, p, model_path=model_path, model=model)
-        wrote_fc = tables.write_once(fc, forecast_path, period, p.product_class, S.FORECAST_SCHEMA)
-    if not tables.has_rows(spark, monitor_path, tables.month_guard(period, p.product_class)):
-        stored = tables.read_output(spark, forecast_path, S.FORECAST_SCHEMA)
-        mon = monitoring_month(stored, demand, asof, p)
-        if not mon.isEmpty():
-            wrote_mon = tables.write_once(mon, monitor_path, period, p.product_class, S.MONITOR_SCHEMA)
-    return {"period": period, "forecast_written": wrote_fc, "monitoring_written": wrote_mon}
+    with caches_released():
+        if forecasts.month(period, p.product_class) is None:
+            fc = forecast_month(demand, known, asof, p, model_path=model_path, model=model)
+            wrote_fc = (period, p.product_class) in forecasts.write(fc)
+        if monitoring.month(period, p.product_class) is None:
+            mon = monitoring_errors(forecasts.completed(asof, p.product_class), demand, asof, p)
+            wrote_mon = (period, p.product_class) in monitoring.write(mon)
+    return {"period": period, "forecast_written": wrote_fc, "monitoring_written": wrote_mon,
+            "forecast": forecasts.read_month(period, p.product_class),
+            "monitoring": monitoring.read_month(period, p.product_class)}

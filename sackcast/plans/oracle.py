@@ -234,7 +234,7 @@ def design_ctes(tag: str, p: Params, cutoffs=None, out: str = "") -> str:
     qs = ", ".join(str(q) for q in p.quantiles)
     origins = "[last]" if cutoffs is None else "[" + ", ".join(f"date '{c}'" for c in cutoffs) + "]"
     mean = lambda k: f"list_sum(v[greatest(1, n - {k - 1}):n]) / len(v[greatest(1, n - {k - 1}):n])"
-    held = lambda x: f"greatest(-64.0, least(64.0, ({x}) / level))"
+    held = lambda x: f"greatest(-32.0, least(32.0, ({x}) / level))"
     return f"""
 {out}hist as (
   select {KEYS}, list(qty order by month) as v, min(month) as first, max(month) as last,

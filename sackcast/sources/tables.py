@@ -1,4 +1,4 @@
-"""Catalog checks, guards and partitioned sinks."""
+"""Catalog checks and guards."""
 
 from __future__ import annotations
 
@@ -48,22 +48,3 @@ def read_output(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """Read a partitioned output back in its declared column order (the partition
     column comes last on read, so always re-select)."""
     return S.conform(spark.read.schema(schema).parquet(path), schema)
-
-
-def month_guard(period: int, product_class: str):
-    return (F.col("period") == F.lit(period)) & (F.col(S.CLASS) == F.lit(product_class))
-
-
-def write_once(df: DataFrame, path: str, period: int, product_class: str, schema: T.StructType) -> bool:
-    """Append the month's rows partitioned by ``period`` unless rows for
-    (period, class) are stored already. Returns True when it stored rows."""
-    spark = df.sparkSession
-    if has_rows(spark, path, month_guard(period, product_class)):
-        return False
-    (S.conform(df, schema).write.mode("append").partitionBy("period").parquet(path))
-    return has_rows(spark, path, month_guard(period, product_class))
-
-
-def read_month(spark: SparkSession, path: str, period: int, product_class: str, schema: T.StructType) -> DataFrame:
-    """S10 read-back of a stored month (partition-pruned)."""
-    return read_output(spark, path, schema).where(month_guard(period, product_class))

@@ -75,8 +75,10 @@ def test_run_month_guards_and_monitoring(spark, tmp_path):
     assert r2["forecast_written"] and r2["monitoring_written"]
     r3 = run_month(d, kn, ASOF, P, fpath, mpath)
     assert not r3["forecast_written"] and not r3["monitoring_written"]
-    mon = spark.read.parquet(mpath)
+    assert r3["forecast"].count() == r2["forecast"].count() > 0
+    mon = r3["monitoring"]
     assert mon.count() > 0 and mon.select("period").distinct().first()[0] == 200108
+    assert mon.exceptAll(r2["monitoring"]).count() == 0
 
 
 def test_backfill_monitoring_equals_single_run(spark):
@@ -129,18 +131,20 @@ def test_versioned_model_in_monthly_run(spark, tmp_path):
 
 
 def test_run_backfill_writes_once(spark, tmp_path):
+    from sackcast import schemas as S
     from sackcast.plans.backfill import run_backfill
+    from sackcast.sources.commits import MonthTable
 
     d = demand_from_tables(spark, SF001)
     kn = known_from_demand(d)
     fpath, mpath = str(tmp_path / "fc"), str(tmp_path / "mon")
     dates = ["2000-02-15", ASOF]
-    run_backfill(d, kn, dates, P, fpath, mpath)
-    fc = spark.read.parquet(fpath)
-    mon = spark.read.parquet(mpath)
-    assert sorted(r.period for r in fc.select("period").distinct().collect()) == [200002, 200108]
-    assert [r.period for r in mon.select("period").distinct().collect()] == [200108]
-    n_fc, n_mon = fc.count(), mon.count()
+    first = run_backfill(d, kn, dates, P, fpath, mpath)
+    assert first == {"forecast": [200002, 200108], "monitoring": [200108]}
+    fc, mon = MonthTable(spark, fpath, S.FORECAST_SCHEMA), MonthTable(spark, mpath, S.MONITOR_SCHEMA)
+    assert sorted(r.period for r in fc.months().collect()) == [200002, 200108]
+    assert [r.period for r in mon.read().select("period").distinct().collect()] == [200108]
+    n_fc, n_mon = fc.read().count(), mon.read().count()
     assert n_fc > 0 and n_mon > 0
-    run_backfill(d, kn, dates, P, fpath, mpath)
-    assert spark.read.parquet(fpath).count() == n_fc and spark.read.parquet(mpath).count() == n_mon
+    assert run_backfill(d, kn, dates, P, fpath, mpath) == {"forecast": [], "monitoring": []}
+    assert fc.read().count() == n_fc and mon.read().count() == n_mon

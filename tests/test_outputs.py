@@ -58,16 +58,64 @@ def test_monitorable_period(spark):
     assert monitorable_forecast(stored, "2026-06-20", "CEMENT").count() == 0
 
 
-def test_write_once_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "forecast")
-    fc = S.conform(_fc(spark, key(), ["2024-01", "2024-02"], 202401), S.FORECAST_SCHEMA)
-    assert not tables.path_exists(spark, path)
-    assert tables.write_once(fc, path, 202401, "CEMENT", S.FORECAST_SCHEMA) is True
-    assert tables.write_once(fc, path, 202401, "CEMENT", S.FORECAST_SCHEMA) is False
-    back = tables.read_output(spark, path, S.FORECAST_SCHEMA)
+def _table(spark, path):
+    from sackcast.sources.commits import MonthTable
+    return MonthTable(spark, str(path), S.FORECAST_SCHEMA)
+
+
+def _month(spark, k, months, period):
+    return S.conform(_fc(spark, k, months, period), S.FORECAST_SCHEMA)
+
+
+def test_a_month_is_stored_once(spark, tmp_path):
+    t = _table(spark, tmp_path / "forecast")
+    fc = _month(spark, key(), ["2024-01", "2024-02"], 202401)
+    assert t.month(202401, "CEMENT") is None and t.read().count() == 0
+    assert t.write(fc) == [(202401, "CEMENT")]
+    assert t.write(fc) == []
+    back = t.read()
     assert back.count() == 2 and back.columns == S.FORECAST_SCHEMA.names
-    assert tables.read_month(spark, path, 202401, "CEMENT", S.FORECAST_SCHEMA).count() == 2
-    assert tables.has_rows(spark, path, tables.month_guard(202402, "CEMENT")) is False
+    assert t.read_month(202401, "CEMENT").count() == 2 and t.read_month(202402, "CEMENT").count() == 0
+    entry = t.month(202401, "CEMENT")
+    assert (entry["rows"], entry["first_month"], entry["last_month"]) == (2, dt.date(2024, 1, 1), dt.date(2024, 2, 1))
+
+
+def test_replacing_a_month_leaves_the_others(spark, tmp_path):
+    t = _table(spark, tmp_path / "forecast")
+    t.write(_month(spark, key(), ["2024-01"], 202401).unionByName(_month(spark, key(), ["2024-02"], 202402)))
+    assert t.write(_month(spark, key(), ["2024-01", "2024-02", "2024-03"], 202401), replace=True) == [(202401, "CEMENT")]
+    assert t.read_month(202401, "CEMENT").count() == 3 and t.read_month(202402, "CEMENT").count() == 1
+    assert t.read().count() == 4
+
+
+def test_runs_at_the_same_time_leave_one(spark, tmp_path):
+    """Both have staged and seen an empty manifest before either publishes."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = _table(spark, tmp_path / "forecast")
+    frames = [_month(spark, key(), ["2024-01"] * n, 202401) for n in (2, 3)]
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(t.write, frames))
+    assert t.read().count() in (2, 3) and t.months().count() == 1
+    assert [(202401, "CEMENT")] in won
+
+
+def test_unpublished_rows_are_invisible(spark, tmp_path):
+    t = _table(spark, tmp_path / "forecast")
+    t.write(_month(spark, key(), ["2024-01"], 202401))
+    lost = _month(spark, key(), ["2024-01"] * 5, 202402).withColumn("commit", F.lit("died"))
+    lost.write.mode("append").partitionBy("commit", "period").parquet(f"{t.path}/data")
+    assert t.read().count() == 1 and t.month(202402, "CEMENT") is None
+    assert t.write(_month(spark, key(), ["2024-02"], 202402)) == [(202402, "CEMENT")] and t.read().count() == 2
+
+
+def test_few_files_a_month(spark, tmp_path):
+    import glob
+    t = _table(spark, tmp_path / "forecast")
+    rows = [_month(spark, key(f"M{i}"), ["2024-01", "2024-02"], 202401).repartition(20) for i in range(4)]
+    t.write(rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]))
+    assert len(glob.glob(f"{t.path}/data/commit=*/period=202401/*.parquet")) <= 2
+    assert t.read().count() == 8
 
 
 def test_item_id_helpers_and_table_check(spark):
@@ -82,25 +130,22 @@ def test_item_id_helpers_and_table_check(spark):
     assert tables.table_exists(spark, "no_such_table_here") is False
 
 
-def test_monitoring_prunes_old_partitions(spark, tmp_path):
-    from sackcast.operators.monitor import min_period
-
-    assert min_period(dt.date(2001, 7, 1), 18) == 200002
-    assert min_period(dt.date(2001, 7, 1)) <= 199908   # a forecast stored with a longer horizon is found as well
-    path = str(tmp_path / "fc")
+def test_completed_forecast_opens_one_partition(spark, tmp_path):
+    """Found by the manifest, whatever its horizon (72 months here)."""
+    t = _table(spark, tmp_path / "fc")
     k = key()
-    old = S.conform(_fc(spark, k, ["2022-01"], 202101), S.FORECAST_SCHEMA)
-    good = S.conform(_fc(spark, k, [f"2024-{m:02d}" for m in range(1, 13)], 202401), S.FORECAST_SCHEMA)
-    tables.write_once(old, path, 202101, "CEMENT", S.FORECAST_SCHEMA)
-    tables.write_once(good, path, 202401, "CEMENT", S.FORECAST_SCHEMA)
-    stored = tables.read_output(spark, path, S.FORECAST_SCHEMA)
-    got = monitorable_forecast(stored, "2025-01-20", "CEMENT")
-    assert {r.period for r in got.collect()} == {202401}
+    long_ago = [f"{2019 + m // 12}-{m % 12 + 1:02d}" for m in range(72)]   # 2019-01 .. 2024-12
+    t.write(_month(spark, k, long_ago, 201901).unionByName(_month(spark, k, ["2022-01"], 202101)))
+    got = t.completed("2025-01-20", "CEMENT")
+    assert got.count() == 72 and {r.period for r in got.collect()} == {201901}
     import io, contextlib
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         got.explain()
-    assert "PartitionFilters: [isnotnull(period" in buf.getvalue() and "period#" in buf.getvalue()
+    pruned = buf.getvalue().split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "commit#" in pruned and "period#" in pruned
+    assert monitorable_forecast(t.read(), "2025-01-20", "CEMENT").count() == 72
+    assert t.completed("2031-01-20", "CEMENT").count() == 0
 
 
 def test_load_known_by_header(spark, tmp_path):
@@ -132,4 +177,5 @@ def test_month_without_demand(spark, tmp_path):
     from sackcast.sources.fixtures import demand_from_tables, known_from_demand
     demand = demand_from_tables(spark, "/root/testdata/sf0.001").limit(0)
     said = run_month(demand, known_from_demand(demand), "2001-08-15", DEFAULT, f"{tmp_path}/f", f"{tmp_path}/m", f"{tmp_path}/p")
-    assert said == {"period": 200108, "forecast_written": False, "monitoring_written": False}
+    assert (said["period"], said["forecast_written"], said["monitoring_written"]) == (200108, False, False)
+    assert said["forecast"].count() == said["monitoring"].count() == 0
