@@ -115,25 +115,27 @@ def test_pooling_restores_the_order():
     assert np.allclose(out, [[2, 2, 2, 4.5, 4.5], [1, 2, 3, 4, 5], [3, 3, 3, 3, 3]])
 
 
-def _failing(history, future):
-    raise ValueError("no")
+def user_models():
+    """Functions of no module, so that workers need not import this file."""
+    def _failing(history, future):
+        raise ValueError("no")
 
+    def _partial(history, future):
+        return future[["month"]].head(3).assign(q05=1.0, q25=1.0, q50=1.0, q75=1.0, q95=1.0)
 
-def _partial(history, future):
-    return future[["month"]].head(3).assign(q05=1.0, q25=1.0, q50=1.0, q75=1.0, q95=1.0)
-
-
-def _constant(history, future):
-    if history["warehouse"].iloc[0] == "C001":
-        return future[["month"]].assign(q05=np.nan, q25=1.0, q50=1.0, q75=1.0, q95=1.0)
-    return future[["month"]].assign(q05=9.0, q25=7.0, q50=11.5, q75=12.5, q95=20.0)
+    def _constant(history, future):
+        if history["warehouse"].iloc[0] == "C001":
+            return future[["month"]].assign(q05=np.nan, q25=1.0, q50=1.0, q75=1.0, q95=1.0)
+        return future[["month"]].assign(q05=9.0, q25=7.0, q50=11.5, q75=12.5, q95=20.0)
+    return _failing, _partial, _constant
 
 
 def test_user_models_in_the_monthly_run_and_backfill(spark):
     d = demand_from_tables(spark, SF001)
     kn = known_from_demand(d)
     plain = forecast_month(d, kn, ASOF, P)
-    out = forecast_month(d, kn, ASOF, P, model=(_failing, _partial, _constant))
+    models = user_models()
+    out = forecast_month(d, kn, ASOF, P, model=models)
     assert out.dtypes == plain.dtypes and out.count() == plain.count()
     el = out.where("is_eligible")
     assert {r[0] for r in el.select("model_type").distinct().collect()} <= {P.label_user, P.label_moving_average}
@@ -143,9 +145,9 @@ def test_user_models_in_the_monthly_run_and_backfill(spark):
     same = [c for c in plain.columns if c not in ("loaded_at", "deleted_at")]
     rest = plain.where("not is_eligible").select(same)
     assert rest.exceptAll(out.where("not is_eligible").select(same)).count() == 0
-    both = backfill_forecast(d, kn, ["2000-02-15", ASOF], P, model=_constant)
+    both = backfill_forecast(d, kn, ["2000-02-15", ASOF], P, model=models[2])
     last = both.where(F.col("asof") == ASOF).select(same)
-    assert last.exceptAll(forecast_month(d, kn, ASOF, P, model=_constant).select(same)).count() == 0
+    assert last.exceptAll(forecast_month(d, kn, ASOF, P, model=models[2]).select(same)).count() == 0
 
 
 def test_caches_of_a_run_are_released(spark):
