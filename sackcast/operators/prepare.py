@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sackcast import schemas as S
 from sackcast.functions import all_in, keep, first_of_month, with_group_values
+from sackcast.operators.running import EXACT
 
 
 def periodise(df: DataFrame, date_col: str = S.DATE) -> DataFrame:
@@ -34,10 +35,12 @@ def apply_filters(df: DataFrame, filters: dict[str, tuple]) -> DataFrame:
 def monthly_sum(df: DataFrame, keys=S.PRODUCT_KEY, qty_cols=(S.QTY,), by: tuple[str, ...] = ()) -> DataFrame:
     """A1: sum per key and month. Rows with a NULL key are dropped first, as the
     reference's group-by does. Partial aggregation runs map-side, so a hot key
-    is combined before the shuffle."""
+    is combined before the shuffle. Sums are taken over exact decimals, so fractional
+    quantities give the same month whatever the order of the rows; a quantity that is
+    not finite counts as 0."""
     return (df.na.drop(subset=list(keys))
               .groupBy(*by, *keys, S.MONTH)
-              .agg(*[F.sum(c).alias(c) for c in qty_cols]))
+              .agg(*[F.coalesce(F.sum(F.col(c).try_cast(EXACT)).cast("double"), F.lit(0.0)).alias(c) for c in qty_cols]))
 
 
 LAST_MONTH = "_last_month"

@@ -13,8 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sackcast import schemas as S
 from sackcast.functions import clamp_round_long, month_index
@@ -76,11 +78,47 @@ def model_exists(spark: SparkSession, base: str, version: str, product_class: st
     return has_rows(spark, base, _version(version, product_class))
 
 
+ALIAS_SCHEMA = "model_class string, model_version string, step int"
+
+
+def _promotions(spark: SparkSession, base: str, product_class: str) -> DataFrame:
+    from sackcast.sources.tables import path_exists
+    path = f"{base}_aliases/{product_class}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ALIAS_SCHEMA)
+    return spark.read.schema(ALIAS_SCHEMA).parquet(path)
+
+
+def current_version(spark: SparkSession, base: str, product_class: str = "all") -> tuple[str | None, int]:
+    """(version, step) that the alias ``latest`` of a class stands for: the last promotion,
+    (None, 0) before the first one."""
+    last = _promotions(spark, base, product_class).orderBy(F.col("step").desc()).first()
+    return (last["model_version"], last["step"]) if last else (None, 0)
+
+
+def promote(spark: SparkSession, base: str, version: str, product_class: str = "all", after: int | None = None) -> bool:
+    """Let ``latest`` stand for ``version`` from now on; an older version rolls back. Each
+    promotion is a step of its own, kept as history. ``after``: the step that the caller
+    has seen (default: the present one); False where another promotion came first, or
+    where the version isn't stored."""
+    if not model_exists(spark, base, version, product_class):
+        return False
+    step = (current_version(spark, base, product_class)[1] if after is None else after) + 1
+    row = spark.createDataFrame([(product_class, version, step)], ALIAS_SCHEMA).coalesce(1)
+    try:   # a step's folder is made once
+        row.write.mode("error").parquet(f"{base}_aliases/{product_class}/taken={step}")
+    except AnalysisException:
+        return False
+    return True
+
+
 def load_params(spark: SparkSession, base: str, version: str | None = None, product_class: str = "all",
                 schema=None) -> DataFrame:
-    """Read one version of a class (partition-pruned); ``None`` -> its latest version."""
+    """Read one version of a class (partition-pruned); ``None`` -> the promoted one, or the
+    latest where none was promoted."""
     df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(base)
     df = df.where(F.col("model_class") == F.lit(product_class))
+    version = version or current_version(spark, base, product_class)[0]
     if version is None:
         return df.where(F.col("model_version") == df.agg(F.max("model_version")).scalar())
     return df.where(F.col("model_version") == F.lit(version))
@@ -89,16 +127,23 @@ def load_params(spark: SparkSession, base: str, version: str | None = None, prod
 def fit_or_load(spark: SparkSession, panel: DataFrame, base: str, asof, quantiles,
                 keys=S.SERIES_KEY, product_class: str = "all") -> DataFrame:
     """Parameters of this class and month: stored ones if there are any, else
-    fitted and appended as a new (``model_class``, ``model_version``) partition and
-    read back. A series that has no stored parameters (it appeared later) is fitted
-    here. The latest version is the greatest label (vYYYYMM sorts by time)."""
+    fitted and appended as a new (``model_class``, ``model_version``) partition, promoted
+    and read back. Series that have no stored parameters (they appeared later) are fitted
+    here, and only they: the panel loses the stored keys before the fit. Version labels
+    (vYYYYMM) sort by time."""
     v = version_label(asof)
-    fit = fit_seasonal_quantiles(panel, quantiles, keys)
-    labelled = fit.withColumns({"model_class": F.lit(product_class), "model_version": F.lit(v)})
-    if not model_exists(spark, base, v, product_class):
-        labelled.write.mode("append").partitionBy("model_class", "model_version").parquet(base)
-    stored = load_params(spark, base, v, product_class, labelled.schema).drop("model_class", "model_version")
-    late = fit.join(stored.select(*keys), list(keys), "left_anti")
+    label = {"model_class": F.lit(product_class), "model_version": F.lit(v)}
+    fields = [f for f in fit_seasonal_quantiles(panel, quantiles, keys).withColumns(label).schema.fields]
+    schema = T.StructType(fields)
+    new = not model_exists(spark, base, v, product_class)
+    if new:
+        (fit_seasonal_quantiles(panel, quantiles, keys).withColumns(label)
+         .write.mode("append").partitionBy("model_class", "model_version").parquet(base))
+        promote(spark, base, v, product_class)
+    stored = load_params(spark, base, v, product_class, schema).drop("model_class", "model_version")
+    if new:
+        return stored
+    late = fit_seasonal_quantiles(panel.join(stored.select(*keys), list(keys), "left_anti"), quantiles, keys)
     return stored.unionByName(late)
 
 

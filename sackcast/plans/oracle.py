@@ -60,7 +60,7 @@ def panel_ctes(tag: str, asof, p: Params, actuals: bool = False) -> str:
   from {tag}scan
   where product_class in ('{p.product_class}') and company in ({_in(p.companies)})),
 {tag}monthly as (
-  select {KEYS}, month, sum(qty) as qty from {tag}periodised
+  select {KEYS}, month, cast(sum(cast(qty as decimal(38,14))) as double) as qty from {tag}periodised
   where product_class is not null and company is not null and warehouse is not null
     and material is not null and unit is not null
   group by {KEYS}, month),
@@ -90,19 +90,19 @@ def segment_ctes(tag: str, p: Params) -> str:
   where x.month >= cast(h.hi - interval {w} month as date) and x.month <= h.hi),
 {tag}metrics as (
   select {KEYS},
-         coalesce(sum(qty), 0.0) as value_qty_30m,
+         coalesce(cast(sum(cast(qty as decimal(38,14))) as double), 0.0) as value_qty_30m,
          case when count(*) filter (where qty > 0) <= 1 then 0.0
               else round_even(stddev_samp(qty) filter (where qty > 0) / avg(qty) filter (where qty > 0), 4) end as cv_qty_30m,
          round_even(count(*) filter (where qty > 0) * 12.0 / count(*), 4) as rotation_qty_30m
   from {tag}win group by {KEYS}),
 {tag}shares as (
   select *,
-         sum(value_qty_30m) over (partition by product_class, company, warehouse) as _total,
+         cast(sum(cast(value_qty_30m as decimal(38,14))) over (partition by product_class, company, warehouse) as double) as _total,
          row_number() over (partition by product_class, company, warehouse
                             order by value_qty_30m desc, material, unit) as _rn,
-         sum(value_qty_30m) over (partition by product_class, company, warehouse
+         cast(sum(cast(value_qty_30m as decimal(38,14))) over (partition by product_class, company, warehouse
                                   order by value_qty_30m desc, material, unit
-                                  rows between unbounded preceding and current row) as _cum
+                                  rows between unbounded preceding and current row) as double) as _cum
   from {tag}metrics),
 {tag}cls as (
   select *, case when _total <= 0 then 'C' when _share <= {a} then 'A' when _share <= {b} then 'B' else 'C' end as _cls

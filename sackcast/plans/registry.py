@@ -20,7 +20,7 @@ from sackcast.operators.prepare import (LAST_MONTH, apply_filters, clean_quantit
 from sackcast.operators.quantile_model import (QuantileModel, fit_quantile_model, regression_forecast)
 from sackcast.operators.selection import CANDIDATES, selected_forecast, validate_models
 from sackcast.operators.seasonal import PARAM_COLS, backtest, fit_seasonal_quantiles, forecast_with, seasonal_forecast
-from sackcast.operators.segment import segment_metrics, cumulative_share
+from sackcast.operators.segment import cumulative_share, segment, segment_metrics
 from sackcast.operators.skus import recent_sales_flag, recent_sales_split
 from sackcast.operators.stamp import stamp_columns, to_forecast_layout, to_monitor_layout
 from sackcast.params import DEFAULT, Params
@@ -142,6 +142,12 @@ def q_segment_skus(spark, sf):
     return _segments(spark, sf)
 
 
+def q_fractional_segments(spark, sf):
+    """G4 on fractional quantities: the line items' prices."""
+    d = demand_from_tables(spark, sf, "l_extendedprice")
+    return segment(prepared_panel(d, ASOF, P), P)
+
+
 def q_eligible_skus(spark, sf):
     return _frames(spark, sf).eligible.drop(LAST_MONTH)
 
@@ -383,6 +389,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xyz_segments": q_xyz_segments,
     "fsn_segments": q_fsn_segments,
     "segment_skus": q_segment_skus,
+    "fractional_segments": q_fractional_segments,
     "eligible_skus": q_eligible_skus,
     "ineligible_skus": q_ineligible_skus,
     "recent_sales_split": q_recent_sales_split,
@@ -526,6 +533,7 @@ from r_panel group by {K}""",
         "xyz_segments": W(_run()) + f"select {K}, cv_qty_30m, xyz_qty_30m from r_seg",
         "fsn_segments": W(_run()) + f"select {K}, rotation_qty_30m, fsn_qty_30m from r_seg",
         "segment_skus": W(_run()) + f"select {K}, {seg_cols} from r_seg",
+        "fractional_segments": W(_run()).replace("l_quantity as qty", "l_extendedprice as qty") + f"select {K}, {seg_cols} from r_seg",
         "eligible_skus": W(_run()) + f"select {K}, month, qty, {seg_cols} from r_elig",
         "ineligible_skus": W(_run()) + f"select {K}, month, qty, {seg_cols} from r_nelig",
         "recent_sales_split": W(_run()) + f"""

@@ -16,7 +16,7 @@ TABLES = ("lineitem", "part", "supplier", "nation")
 # no schema-inference job per read, and the ship date is read as a wall-clock
 # TIMESTAMP_NTZ, so its DATE does not depend on the session time zone.
 READ_SCHEMAS = {
-    "lineitem": "l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
     "part": "p_partkey bigint, p_brand string, p_type string",
     "supplier": "s_suppkey bigint, s_nationkey int",
     "nation": "n_nationkey int, n_regionkey int",
@@ -31,15 +31,15 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
     return out
 
 
-def demand_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item, mapped onto the demand columns.
+def demand_from_tables(spark: SparkSession, sf_dir: str, quantity: str = "l_quantity") -> DataFrame:
+    """One row per line item, mapped onto the demand columns; ``quantity``: the column that is the quantity.
 
     part/supplier/nation are dimension tables joined on their primary keys;
     Spark (AQE) broadcasts them when their runtime size is under the
     threshold and falls back to a sort-merge join otherwise.
     """
     t = load_tables(spark, sf_dir)
-    li = t["lineitem"].select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    li = t["lineitem"].select("l_partkey", "l_suppkey", quantity, "l_shipdate")
     part = t["part"].select("p_partkey", "p_brand", "p_type")
     sup = t["supplier"].select("s_suppkey", "s_nationkey")
     nat = t["nation"].select("n_nationkey", "n_regionkey")
@@ -55,7 +55,7 @@ def demand_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_partkey") % 10 < 8, "BLS").otherwise("TM").alias(S.UNIT),
         F.lit(None).cast("date").alias(S.LAST_SALE),
         F.col("l_shipdate").cast("date").alias(S.DATE),
-        F.col("l_quantity").cast("double").alias(S.QTY),
+        F.col(quantity).cast("double").alias(S.QTY),
     )
 
 

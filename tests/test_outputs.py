@@ -171,6 +171,27 @@ def test_model_versions_by_class_and_late_series(spark, tmp_path):
     assert fit_or_load(spark, panel.limit(0), f"{tmp_path}/none", "2024-01-10", q, ["sku"], "x").count() == 0
 
 
+def test_promotion_and_roll_back(spark, tmp_path):
+    from sackcast.operators import seasonal
+    rows = [("a", f"20{y}-{m:02d}-01", float(10 * m + y)) for y in (21, 22, 23) for m in range(1, 13)]
+    panel = spark.createDataFrame(rows, "sku string, month string, qty double").selectExpr("sku", "cast(month as date) month", "qty")
+    base, q = f"{tmp_path}/models", (0.05, 0.25, 0.5, 0.75, 0.95)
+    assert seasonal.current_version(spark, base, "x") == (None, 0)
+    seasonal.fit_or_load(spark, panel.where("month < '2023-06-01'"), base, "2023-06-10", q, ["sku"], "x")
+    newest = seasonal.fit_or_load(spark, panel, base, "2024-01-10", q, ["sku"], "x").first()
+    assert seasonal.current_version(spark, base, "x") == ("v202401", 2)
+    older = seasonal.load_params(spark, base, "v202306", "x").first()
+    assert older["p50"] == older["p50"] and older["n_residuals"] != newest["n_residuals"]
+    assert seasonal.promote(spark, base, "v202306", "x") is True                    # roll back
+    assert seasonal.load_params(spark, base, None, "x").first()["n_residuals"] == older["n_residuals"]
+    assert seasonal.promote(spark, base, "v202401", "x", after=2) is False          # step 3 is taken
+    assert seasonal.promote(spark, base, "v209901", "x") is False                   # not stored
+    assert seasonal.current_version(spark, base, "x") == ("v202306", 3)
+    # a month that is stored fits nothing: changed history leaves its parameters as they are
+    again = seasonal.fit_or_load(spark, panel.selectExpr("sku", "month", "qty * 100 qty"), base, "2024-01-20", q, ["sku"], "x")
+    assert again.count() == 1 and again.first()["p95"] == newest["p95"]
+
+
 def test_month_without_demand(spark, tmp_path):
     from sackcast.params import DEFAULT
     from sackcast.plans.monthly import run_month
