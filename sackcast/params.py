@@ -50,6 +50,9 @@ class Params:
     label_zero: str = "ZERO PROJECTION"
     # column-name prefix of the segment columns; empty -> quantity column name
     segment_prefix: str = ""
+    # shares of the scanned rows above which a run is refused
+    max_null_keys: float = 0.01
+    max_bad_quantities: float = 0.25
     extra_filters: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":

@@ -20,6 +20,7 @@ from sackcast.operators.skus import eligible_split, known_split
 from sackcast.operators.stamp import add_period_stamp
 from sackcast.params import Params
 from sackcast.plans.series import series_forecast
+from sackcast.sources.checks import ScanCheck
 from sackcast.sources.commits import MonthTable
 from sackcast.sources.demand import actuals_scan, demand_scan
 
@@ -127,19 +128,24 @@ def run_month(demand: DataFrame, known: DataFrame, asof, p: Params, forecast_pat
 
     A month already stored is not computed again. ``forecast`` and ``monitoring`` are the
     stored rows, read back either way (S10, S11): the month's forecast, and the errors of the
-    forecast that has just completed (empty if there is none). Caches are released at the end."""
+    forecast that has just completed (empty if there is none). ``input``: what the scan of
+    the demand counted (None where nothing was computed); a broken input raises
+    ``BrokenInput`` and publishes nothing. Caches are released at the end."""
     spark = demand.sparkSession
     period = int(str(asof)[:7].replace("-", ""))
     forecasts = MonthTable(spark, forecast_path, S.FORECAST_SCHEMA)
     monitoring = MonthTable(spark, monitor_path, S.MONITOR_SCHEMA)
     wrote_fc = wrote_mon = False
+    read = None
     with caches_released():
         if forecasts.month(period, p.product_class) is None:
-            fc = forecast_month(demand, known, asof, p, model_path=model_path, model=model)
-            wrote_fc = (period, p.product_class) in forecasts.write(fc)
+            scan = ScanCheck(asof, p)
+            fc = forecast_month(scan.watch(demand), known, asof, p, model_path=model_path, model=model)
+            wrote_fc = (period, p.product_class) in forecasts.write(fc, check=scan.enforce)
+            read = scan.report()
         if monitoring.month(period, p.product_class) is None:
             mon = monitoring_errors(forecasts.completed(asof, p.product_class), demand, asof, p)
             wrote_mon = (period, p.product_class) in monitoring.write(mon)
-    return {"period": period, "forecast_written": wrote_fc, "monitoring_written": wrote_mon,
+    return {"period": period, "forecast_written": wrote_fc, "monitoring_written": wrote_mon, "input": read,
             "forecast": forecasts.read_month(period, p.product_class),
             "monitoring": monitoring.read_month(period, p.product_class)}

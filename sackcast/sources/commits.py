@@ -13,6 +13,7 @@ generation (runs at the same time) always the same single one.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,9 +50,10 @@ class MonthTable:
         """The manifest row of a stored month, or None (S10 guard)."""
         return self.months().where((F.col("period") == period) & (F.col(S.CLASS) == product_class)).first()
 
-    def write(self, rows: DataFrame, replace: bool = False) -> list[tuple[int, str]]:
+    def write(self, rows: DataFrame, replace: bool = False, check: Callable[[], object] | None = None) -> list[tuple[int, str]]:
         """Store the months of ``rows`` that are not stored yet (``replace``: all of them, as a newer
-        generation). Returns the (period, class) pairs that now read from this write.
+        generation). Returns the (period, class) pairs that now read from this write. ``check``
+        runs when the rows are staged; what it raises leaves them unpublished.
 
         Rows are spread by (period, warehouse) into files of the advisory size and sorted by key
         inside, so a month has few files with narrow key ranges (O1)."""
@@ -62,6 +64,8 @@ class MonthTable:
             staged = staged.join(known, MONTH_KEY, "left_anti")
         (staged.select(*self.schema.names).hint("rebalance", "period", S.WAREHOUSE).sortWithinPartitions("period", *S.PRODUCT_KEY, S.DATE)
                .write.partitionBy("period").parquet(f"{self.path}/data/commit={commit}"))
+        if check is not None:
+            check()
         entries = (self._data().where(F.col("commit") == commit).groupBy("period", S.CLASS, "commit")
                    .agg(F.count(F.lit(1)).alias("rows"), F.min(F.trunc(F.col(S.DATE), "MM")).alias("first_month"),
                         F.max(F.trunc(F.col(S.DATE), "MM")).alias("last_month")))

@@ -192,6 +192,24 @@ def test_promotion_and_roll_back(spark, tmp_path):
     assert again.count() == 1 and again.first()["p95"] == newest["p95"]
 
 
+def test_input_is_checked_in_flight(spark, tmp_path):
+    import pytest
+    from sackcast.plans.monthly import run_month
+    from sackcast.sources.checks import BrokenInput
+    from sackcast.sources.commits import MonthTable
+    from sackcast.sources.fixtures import demand_from_tables, known_from_demand
+    demand = demand_from_tables(spark, "/root/testdata/sf0.001")
+    known = known_from_demand(demand)
+    said = run_month(demand, known, "2001-08-15", DEFAULT, f"{tmp_path}/f", f"{tmp_path}/m")
+    assert said["input"] == {"rows": 1756 + said["input"]["other_companies"], "null_keys": 0, "bad_quantities": 0,
+                             "other_companies": said["input"]["other_companies"], "months": 37, "has_last_month": True}
+    assert run_month(demand, known, "2001-08-15", DEFAULT, f"{tmp_path}/f", f"{tmp_path}/m")["input"] is None
+    broken = demand.withColumn("warehouse", F.when(F.col("material") != "Brand#11", F.col("warehouse")))
+    with pytest.raises(BrokenInput, match="null_keys"):
+        run_month(broken, known, "2001-08-15", DEFAULT, f"{tmp_path}/bf", f"{tmp_path}/bm")
+    assert MonthTable(spark, f"{tmp_path}/bf", S.FORECAST_SCHEMA).read().count() == 0
+
+
 def test_month_without_demand(spark, tmp_path):
     from sackcast.params import DEFAULT
     from sackcast.plans.monthly import run_month
