@@ -193,3 +193,19 @@ def regression_forecast(panel: DataFrame, model: QuantileModel, horizon: int = 1
     """``horizon`` months after each series' last one, five integer quantiles; all series in one pass, none left out."""
     x = design_rows(series_history(panel, keys, qty, by, names), horizon, keys, by)
     return x.select(*by, *keys, S.MONTH, *(v.alias(c) for c, v in quantile_columns(model).items()))
+
+
+def fit_or_load_regression(panel: DataFrame, asof, p, base: str | None = None, keys=S.PRODUCT_KEY) -> QuantileModel:
+    """T10 for the regression: the coefficients stored for the run's class and month under ``base``, else fitted on
+    ``panel`` (and stored, if there is a ``base``)."""
+    from sackcast.operators.seasonal import model_exists, version_label
+
+    spark, version = panel.sparkSession, version_label(asof)
+    label = {"model_class": F.lit(p.product_class), "model_version": F.lit(version)}
+    if base is not None and model_exists(spark, base, version, p.product_class):
+        stored = spark.read.parquet(base).where((F.col("model_class") == p.product_class) & (F.col("model_version") == version))
+        return QuantileModel.load(stored)
+    model = fit_quantile_model(panel, p.quantiles, p.horizon, keys, names=S.segment_names(p.segment_window, p.segment_prefix))
+    if base is not None:
+        model.frame(spark).withColumns(label).coalesce(1).write.mode("append").partitionBy("model_class", "model_version").parquet(base)
+    return model

@@ -14,6 +14,7 @@ from sackcast.operators.forecast import known_keys, not_eligible_forecast
 from sackcast.operators.model_paths import modelled_forecast
 from sackcast.operators.monitor import monitor_errors, monitorable_forecast
 from sackcast.operators.prepare import LAST_MONTH, prepare_demand
+from sackcast.operators.quantile_model import fit_or_load_regression
 from sackcast.operators.seasonal import eligible_forecast, fit_or_load
 from sackcast.operators.segment import segment
 from sackcast.operators.skus import eligible_split, known_split
@@ -93,7 +94,8 @@ def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
                    params: DataFrame | None = None, model_path: str | None = None, model=None) -> DataFrame:
     """The month's forecast in the output layout (21 columns), lazily.
 
-    ``model``: see ``forecast_rows``.
+    ``model``: see ``forecast_rows``; ``"regression"`` fits the quantile regression on the run's
+    eligible series, or loads the month's coefficients from ``model_path`` (eager, as a fit is).
 
     ``model_path``: versioned parameter table (T10). The month's version is loaded
     if stored, else fitted on the eligible series, appended and loaded (that write
@@ -102,6 +104,10 @@ def forecast_month(demand: DataFrame, known: DataFrame, asof, p: Params,
         rows = series_forecast(demand, known, [asof], p).drop("asof")
         return S.conform(add_period_stamp(rows, asof, p.stamp_time_zone), S.FORECAST_SCHEMA)
     fr = split_run(prepared_panel(demand, asof, p, keep_last=True), known, p)
+    if isinstance(model, str):
+        if model != "regression":
+            raise ValueError(f"no model {model!r}")
+        model = fit_or_load_regression(fr.eligible, asof, p, model_path)
     if model is None and params is None and model_path is not None:
         train = fr.eligible.select(*S.PRODUCT_KEY, S.MONTH, S.QTY)
         params = fit_or_load(demand.sparkSession, train, model_path, asof, p.quantiles, S.PRODUCT_KEY,

@@ -150,6 +150,21 @@ def test_user_models_in_the_monthly_run_and_backfill(spark):
     assert last.exceptAll(forecast_month(d, kn, ASOF, P, model=models[2]).select(same)).count() == 0
 
 
+def test_regression_month_is_fitted_once(spark, tmp_path, monkeypatch):
+    d = demand_from_tables(spark, SF001)
+    kn = known_from_demand(d)
+    base = f"{tmp_path}/coefficients"
+    monkeypatch.setattr(QM, "ROUNDS", 3)
+    first = forecast_month(d, kn, ASOF, P, model="regression", model_path=base)
+    rows = sorted(map(tuple, first.where("is_eligible").select(*KEYS, "date", *S.Q_COLS, "model_type").collect()))
+    assert len(rows) == 99 * 18 and {r[-1] for r in rows} == {P.label_regression}
+    monkeypatch.setattr(QM, "fit_quantile_model", None)        # stored: nothing is fitted
+    again = forecast_month(d, kn, ASOF, P, model="regression", model_path=base)
+    assert rows == sorted(map(tuple, again.where("is_eligible").select(*KEYS, "date", *S.Q_COLS, "model_type").collect()))
+    with pytest.raises(ValueError):
+        forecast_month(d, kn, ASOF, P, model="other")
+
+
 def test_caches_of_a_run_are_released(spark):
     with caches_released():
         a = keep(spark.range(10))
