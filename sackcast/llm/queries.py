@@ -143,4 +143,57 @@ select f.node as conv_id, cast(f.d as bigint) as depth, p.parent as parent_conv_
 from full_ f left join parents p using (node, d) join sums s using (node, d)
 """
 
-ORACLE: dict[str, str] = {"op11_turn_trie": _TRIE, "op12_collocations": _COLLOCATIONS}
+#: Every window of 20 words; those that also start earlier cover the words that go.
+_REPEATED = """
+with docs as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+starts as (select doc_id, unnest(range(1, len(w) - 18)) as i, w from docs where len(w) >= 20),
+windows as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as run from starts),
+again as (select doc_id, i from windows qualify row_number() over (partition by run order by doc_id, i) > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as j from again),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from docs),
+kept as (
+  select w.doc_id, count(g.j) as n_removed, coalesce(string_agg(word, ' ' order by w.j) filter (where g.j is null), '') as rest
+  from words w left join gone g on g.doc_id = w.doc_id and g.j = w.j group by w.doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from docs d left join kept using (doc_id)
+"""
+
+#: All inner products of whole numbers.
+_TOP = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as c
+  from embeddings where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, v.vec_id, list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * v.c[i])) as score
+  from v q join v on v.vec_id <> q.vec_id and len(v.c) = len(q.c) where q.vec_id % 100 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, cast(score as bigint) as score
+from scores qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+"""
+
+#: All pairs that share a shingle, then everything reachable by links.
+_LINKED = """
+with recursive docs as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+sets as materialized (
+  select doc_id, case when len(w) >= 4 then list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from docs),
+spread as materialized (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+shared as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as common
+  from spread a join spread b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as materialized (
+  select x, y from shared where 100 * common >= 85 * (nx + ny - common)
+  union all select y, x from shared where 100 * common >= 85 * (nx + ny - common)),
+reach as (
+  select x as doc_id, x as r from links
+  union
+  select l.y, reach.r from reach join links l on l.x = reach.doc_id)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(c.component_id, s.doc_id) as component_id,
+       case when len(s.s) = 0 then s.doc_id else min(s.doc_id) over (partition by list_sort(s.s)) end as class_id
+from sets s left join (select doc_id, min(r) as component_id from reach group by doc_id) c on c.doc_id = s.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op4_jaccard_join": _LINKED, "op3_substring_dedup": _REPEATED, "op6_exact_topk": _TOP, "op11_turn_trie": _TRIE, "op12_collocations": _COLLOCATIONS}
