@@ -314,15 +314,18 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable, ``class_id`` that of the
     documents with the same set.
 
-    Null, empty and blank texts have no shingles and are linked with nothing; a
-    null doc_id is left out; rows that repeat a doc_id with the same text stay
+    Null, empty and blank texts have no shingles and are linked with nothing; a row
+    with a null doc_id gives its n_shingles, a null component and class, and links with
+    nothing; rows that repeat a doc_id with the same text stay
     rows of one document; an empty table gives none; further columns are not read.
     """
-    docs = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) doc_id", "text")
+    docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
 
     sized, table = first_pass(docs, n)
-    classes = sized.where("n_shingles > 0").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("class"))
-    same = cut(sized.join(classes, ["key", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("class")))
+    classes = sized.where("n_shingles > 0 and doc_id is not null").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("class"))
+    same = cut(sized.join(classes, ["key", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class")))
+    docs = docs.where("doc_id is not null")
 
     heads = same.where("n_shingles > 0 and doc_id = class").select("class")
     facts = cut(prefixes(docs, table, n, low).where("n > 0").join(heads, "class", "left_semi").dropDuplicates(["class"]))

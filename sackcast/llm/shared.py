@@ -61,6 +61,9 @@ NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+#: Masks of the first 0 to 8 bytes of a block.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -75,6 +78,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span [start, end) of the bytes: blocks of eight bytes, each mixed
+    with its place in the span before they are added up, so no arrangement of bytes cancels out."""
+    size = np.asarray(end - start, np.int64)
+    blocks = np.maximum((size + 7) >> 3, 1)
+    first = np.cumsum(blocks) - blocks
+    total = int(blocks.sum())
+    place = np.arange(total) - np.repeat(first, blocks)
+    left = np.clip(np.repeat(size, blocks) - 8 * place, 0, 8)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))[np.repeat(start, blocks) + 8 * place] & _LOW_BYTES[left]
+    with np.errstate(over="ignore"):
+        key = mix((place.astype(np.uint64) + np.uint64(1)) * np.uint64(_ODD) + np.uint64(seed))
+        parts = mix(mix(eight + np.uint64(seed)) + key)
+        sums = np.add.reduceat(parts, first) if len(size) else np.zeros(0, np.uint64)
+        return mix(sums ^ mix(size.astype(np.uint64) + np.uint64(seed)))
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of an Arrow string column, and their n + 1 offsets."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -109,12 +130,13 @@ class Words:
     doc: np.ndarray
     first: np.ndarray
 
-    def hashes(self, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
-        """A 64-bit hash of each word; ``value`` gives each byte's part in it."""
-        return self.prefix_hashes(value, (None,))[0]
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word; words of one length up to eight bytes never share it."""
+        return span_hashes(self.data, self.start, self.end)
 
     def prefix_hashes(self, value: np.ndarray, lengths) -> list[np.ndarray]:
-        """Hashes of each word's first bytes, for each of several lengths (None: the whole word)."""
+        """Hashes of each word's first bytes, for each of several lengths (None: the whole word),
+        for features: polynomials, which words built for it can share; ``value`` gives each byte's part."""
         up, down = powers(len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum(value[self.data] * up[:len(self.data)], out=total[1:])

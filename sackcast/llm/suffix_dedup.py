@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .screen import ALONE, ASKED, DECIDED, keyed, neighbours, packs, repeated_anchors
-from .shared import BYTE_VALUE, cut, mix, pieces, powers, utf8
+from .shared import BYTE_VALUE, cut, mix, pieces, powers, span_hashes, utf8
 
 #: Bytes of a repeated string, and of the grams whose smallest hash names it.
 LENGTH, GRAM = 200, 32
@@ -172,7 +172,8 @@ def repeated_windows(segments: list[bytes], length: int = LENGTH) -> tuple[np.nd
     return owner[order], order - (ends - sizes)[owner[order]], np.cumsum(fresh) - 1
 
 
-def _text_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _window_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each of many overlapping windows of LENGTH bytes, a few operations each."""
     up, down = powers(len(data) + 1)
     out = []
     for value in (BYTE_VALUE, mix(BYTE_VALUE)):
@@ -207,7 +208,7 @@ def _segments(shards: int):
                 hit = np.flatnonzero(flag[sort][slot] == asked) if len(flag) else np.zeros(0, np.int64)
                 doc, first, last, least, ways = doc[hit], first[hit], last[hit], least[hit], split[sort][slot[hit]] if len(hit) else split[:0]
                 end = last - 1 + LENGTH
-                a, b = _text_keys(data, first, end)
+                a, b = (span_hashes(data, first, end, seed) for seed in (0, 1))
                 sub = np.where(ways > 1, (a % np.maximum(ways, 1).astype(np.uint64)).astype(np.int64), -1)
                 shard = np.where(ways > 1, least.astype(np.int64), (least % np.uint64(shards)).astype(np.int64))
                 raw = data.tobytes()
@@ -282,7 +283,7 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
                 text = np.frombuffer(b"".join(heads["bytes"]), np.uint8)
                 base = np.cumsum(heads["size"].to_numpy()) - heads["size"].to_numpy()
                 begin = base[owner[lead]] + start[lead]
-                a, b = _text_keys(text, begin, begin + LENGTH)
+                a, b = _window_keys(text, begin, begin + LENGTH)
                 rows = heads.iloc[owner[lead]]
                 known = np.where((more | settled[owner])[lead], ASKED, ALONE)
                 add(rows, rows["first"].to_numpy() + start[lead], LENGTH, a.astype(np.int64), b.astype(np.int64), known)

@@ -48,3 +48,14 @@ def test_overlaps_and_shifts(spark):
     rows += [(900, "la " * 100), (901, "la " * 19), (902, "la " * 20), (None, " ".join(passage)), (903, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert _got(docs) == _brute(rows)
+
+
+def test_words_built_to_share_a_polynomial_hash(spark):
+    order = "a"
+    for _ in range(10):  # Thue-Morse order of 1,024 letters and its complement
+        order += order.translate(str.maketrans("ab", "ba"))
+    other = order.translate(str.maketrans("ab", "ba"))
+    rest = " " + " ".join(f"w{k}" for k in range(20))
+    rows = [(1, order + rest), (2, other + rest), (3, (order + " ") * 21), (4, (other + " ") * 21)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(docs) == _brute(rows)
