@@ -4,7 +4,8 @@ A document is its set of distinct word shingles. Sets are ordered rarest first
 by a frequency table of hashed shingles, counted over all documents; two sets
 that reach the threshold share a shingle within their prefixes. Documents are
 joined on prefix shingles; length, positional and suffix filters (a bound on
-the overlap from the positions and from a small histogram of each set) leave
+the overlap from the positions, from the parities of the set in SKETCH cells, which
+differ at most where the sets do, and from a small histogram of each set) leave
 candidate pairs, and each is verified once, exactly, on the whole sets.
 
 Equal sets are one class, so copies are never joined with each other. Within a
@@ -24,12 +25,16 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import NOT_SPACE, cut, mix, pieces, runs_of_words, words_of
+from .shared import NOT_SPACE, cut, mix, passing, pieces, runs_of_words, tidy, words_of
 
 #: Cells of the frequency table (2**24, 16 MB, broadcast), of a part of it, and of a set's histogram.
 TABLE_BITS, PART_CELLS, CELLS = 24, 1 << 16, 32
+#: Bits of a set's parities, a multiple of 64.
+SKETCH = 128
+_PARITY = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
 #: Bits of the bitmap (8 MB, broadcast) of documents whose whole sets are wanted.
@@ -88,15 +93,16 @@ def first_pass(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     be one order for all documents, rare shingles first.
     """
     def run(batches):
-        seen = np.zeros(1 << TABLE_BITS, np.uint32)
+        seen = np.zeros(1 << TABLE_BITS, np.uint8)
         for piece in pieces(batches):
             _, shingle, bounds = shingle_sets(piece, n)
-            np.add.at(seen, _cell(shingle), 1)
+            cell, times = np.unique(_cell(shingle), return_counts=True)
+            seen[cell] = np.minimum(seen[cell] + times, 255)
             none = pa.nulls(piece.num_rows)
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), pa.array(np.diff(bounds)), pa.array(_set_key(shingle, bounds), pa.binary()),
                 none.cast(pa.int64()), none.cast(pa.binary())], ["doc_id", "n_shingles", "key", "part", "counts"])
-        parts = np.minimum(seen, 255).astype(np.uint8).reshape(-1, PART_CELLS)
+        parts = seen.reshape(-1, PART_CELLS)
         at = np.flatnonzero(parts.any(axis=1))
         none = pa.nulls(len(at))
         yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(at),
@@ -113,9 +119,10 @@ def first_pass(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         codes = [np.minimum(8 * np.log2(1 + x), 255).astype(np.uint8).tobytes() for x in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(codes, pa.binary())], ["part", "codes"])
     table = np.zeros((1 << TABLE_BITS) // PART_CELLS * PART_CELLS, np.uint8).reshape(-1, PART_CELLS)
-    counted = both.where("part is not null").select("part", "counts").repartition("part").mapInArrow(add, "part long, codes binary")
-    for row in counted.collect():  # 2**TABLE_BITS bytes, whatever the input
-        table[row["part"]] = np.frombuffer(row["codes"], np.uint8)
+    with tidy(docs.sparkSession):
+        counted = both.where("part is not null").select("part", "counts").repartition("part").mapInArrow(add, "part long, codes binary")
+        for row in counted.collect():  # 2**TABLE_BITS bytes, whatever the input
+            table[row["part"]] = np.frombuffer(row["codes"], np.uint8)
     return both.where("part is null").select("doc_id", "n_shingles", "key"), table.reshape(-1)
 
 
@@ -125,8 +132,9 @@ def _prefix_length(n: np.ndarray, low: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
-    """(class, n, cells, common, prefix): each document's rarest shingles in order,
-    its histogram, and how frequent its shingles are on average."""
+    """(class, n, cells, common, prefix, parities): each document's rarest shingles in order,
+    its histogram, how frequent its shingles are on average, and in which of SKETCH
+    cells an odd number of them lies."""
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
@@ -140,19 +148,30 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
             cells = np.bincount(doc * CELLS + (shingle & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS * piece.num_rows).reshape(-1, CELLS)
             prefix = shingle[order][kept].astype(np.int64)
             common = np.bincount(doc, often, piece.num_rows) / np.maximum(size, 1)
-            cut = np.searchsorted(doc[kept], np.arange(piece.num_rows + 1))
+            bounds = np.searchsorted(doc[kept], np.arange(piece.num_rows + 1))
+            odd = np.bincount(doc * SKETCH + (shingle >> np.uint64(8) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH * piece.num_rows) & 1
+            parity = np.packbits(odd.astype(bool)).view(np.int64).reshape(-1, SKETCH // 64)
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"), pa.array(size), pa.array([x.astype(np.int32).tobytes() for x in cells], pa.binary()), pa.array(common),
-                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(prefix))], ["class", "n", "cells", "common", "prefix"])
-    return docs.mapInArrow(run, "class long, n long, cells binary, common double, prefix array<long>")
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix)), *map(pa.array, parity.T)],
+                ["class", "n", "cells", "common", "prefix", *_PARITY])
+    return docs.mapInArrow(run, "class long, n long, cells binary, common double, prefix array<long>, " + ", ".join(f"{k} long" for k in _PARITY))
+
+
+def _apart(a: str, b: str, low: int) -> tuple[Column, Column]:
+    """The most shingles in which two linked rows differ, and the least in which these do."""
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    differ = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _PARITY), F.lit(0))
+    return n - 2 * F.ceil(F.lit(low) * n / F.lit(100 + low)), differ
 
 
 def _near(a: str, b: str, low: int) -> Column:
-    """Length and positional filters on two rows that share the shingle at places ``place`` of their orders."""
+    """Length, positional and parity filters on two rows that share the shingle at places ``place`` of their orders."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     least = F.ceil(F.lit(low) * (na + nb) / F.lit(100 + low))
     most = F.least(F.col(f"{a}.place"), F.col(f"{b}.place")) + F.least(na - F.col(f"{a}.place"), nb - F.col(f"{b}.place"))
-    return (F.lit(100) * F.least(na, nb) >= F.lit(low) * F.greatest(na, nb)) & (most >= least)
+    apart, differ = _apart(a, b, low)
+    return (F.lit(100) * F.least(na, nb) >= F.lit(low) * F.greatest(na, nb)) & (most >= least) & (differ <= apart)
 
 
 def _between(placed: DataFrame, key: list[str]) -> DataFrame:
@@ -168,14 +187,14 @@ def _between(placed: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _families(placed: DataFrame) -> DataFrame:
-    """(hub, class, n, component): one hub for all rows of a list, the class of the
+    """(hub, class, n, component, parities): one hub for all rows of a list, the class of the
     most frequent shingles in it or, where that one has a better hub in another
     of its lists, the better one, so that a group has few hubs."""
     rank = F.struct(F.col("common"), F.col("class").alias("hub"))
     hubs = placed.groupBy("shingle").agg(F.max(rank).alias("best"))
     top = placed.join(hubs, "shingle").groupBy("class").agg(F.max("best").alias("top"))
     named = hubs.select("shingle", F.col("best.hub").alias("class")).join(top, "class").select("shingle", F.col("top.hub").alias("hub"))
-    return placed.join(named, "shingle").select("hub", "class", "n", "component").distinct()
+    return placed.join(named, "shingle").select("hub", "class", "n", "component", *_PARITY).distinct()
 
 
 def _by_differences(placed: DataFrame, docs: DataFrame, n: int, low: int) -> DataFrame:
@@ -191,9 +210,9 @@ def _by_differences(placed: DataFrame, docs: DataFrame, n: int, low: int) -> Dat
     sets = cut(whole_sets(docs, ids, n))
     both = family.join(sets, "class").join(sets.select(F.col("class").alias("hub"), F.col("shingles").alias("other")), "hub")
     most = F.floor(F.lit(100 - low) * F.col("n") / F.lit(low))
-    differ = cut(both.select("hub", "class", "n", "component", F.concat(
+    differ = cut(both.select("hub", "class", "n", "component", *_PARITY, F.concat(
         F.array_except("shingles", "other"), F.array_except("other", "shingles")).alias("d")))
-    rows = differ.select("hub", "class", "n", "component", F.size("d").alias("d"), F.explode("d").alias("shingle"))
+    rows = differ.select("hub", "class", "n", "component", *_PARITY, F.size("d").alias("d"), F.explode("d").alias("shingle"))
     times = rows.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(times.where("times > 1"), ["hub", "shingle"])
     own = Window.partitionBy("hub", "class")
@@ -202,9 +221,9 @@ def _by_differences(placed: DataFrame, docs: DataFrame, n: int, low: int) -> Dat
     # a list within one component has no candidates, but its place in the order counts
     rows = cut(rows.where((F.col("place") <= most) & (F.col("low") != F.col("high"))).drop("low", "high"))
     nx, ny, dx, dy, px, py = (F.col(f"{r}.{c}") for c in ("n", "d", "place") for r in "xy")
-    apart = nx + ny - 2 * F.ceil(F.lit(low) * (nx + ny) / F.lit(100 + low))
+    apart, differing = _apart("x", "y", low)
     shared = F.least(px, py) + F.least(dx - px, dy - py)
-    near = (F.lit(100) * F.least(nx, ny) >= F.lit(low) * F.greatest(nx, ny)) & (2 * shared >= dx + dy - apart)
+    near = (F.lit(100) * F.least(nx, ny) >= F.lit(low) * F.greatest(nx, ny)) & (2 * shared >= dx + dy - apart) & (differing <= apart)
     found = _between(rows, ["hub", "shingle"]).where(near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     to_hub = family.where("class <> hub").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
     return found.union(to_hub)
@@ -238,18 +257,19 @@ def _bit(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
-def _screened(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id may be among ``ids`` (class)."""
-    part_bits = 1 << 16
+def _bitmap(ids: DataFrame):
+    """Broadcast bitmap (2**BITMAP_BITS bits, whatever their number) of the one column of ``ids``; as
+    they grow it lets more others through, so what it leaves is joined exactly."""
+    part_bits, column = 1 << 16, ids.columns[0]
 
     def mark(batches):
-        parts: dict[int, np.ndarray] = {}
+        seen = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
         for batch in batches:
-            at = _bit(np.asarray(batch.column("class")))
-            for part in np.unique(at // part_bits).tolist():
-                parts.setdefault(part, np.zeros(part_bits, bool))[at[at // part_bits == part] % part_bits] = True
-        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
-            [zlib.compress(np.packbits(x).tobytes(), 1) for x in parts.values()], pa.binary())], ["part", "bits"])
+            at = _bit(np.asarray(batch.column(column)))
+            np.bitwise_or.at(seen, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        parts = seen.reshape(-1, part_bits // 8)
+        at = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([zlib.compress(parts[k].tobytes(), 1) for k in at], pa.binary())], ["part", "bits"])
 
     def either(batches):
         parts: dict[int, np.ndarray] = {}
@@ -260,18 +280,50 @@ def _screened(docs: DataFrame, ids: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["part", "bits"])
     form = "part long, bits binary"
     bits = np.zeros(((1 << BITMAP_BITS) // part_bits, part_bits // 8), np.uint8)
-    for row in ids.mapInArrow(mark, form).repartition("part").mapInArrow(either, form).collect():  # 8 MB at most
-        bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+    with tidy(ids.sparkSession):
+        for row in ids.mapInArrow(mark, form).repartition("part").mapInArrow(either, form).collect():  # 2**BITMAP_BITS bits at most
+            bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+
+def _marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids may be in the bitmap."""
+    at = _bit(ids)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _screened(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id may be among ``ids`` (class)."""
+    sent = _bitmap(ids)
 
     def screen(batches):
         for batch in batches:
-            at = _bit(np.asarray(batch.column("doc_id")))
-            keep = (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(keep.astype(bool)))
+            yield batch.filter(pa.array(_marked(sent.value, np.asarray(batch.column("doc_id")))))
     return docs.select("doc_id", "text").mapInArrow(screen, "doc_id long, text string")
 
 
+def shared_postings(facts: DataFrame) -> DataFrame:
+    """(class, n, common, parities, place, shingle) of the prefix shingles that several classes hold.
+    Only bare shingles are shuffled to be counted; a bitmap of the shared ones screens the
+    postings before the exact join."""
+    every = facts.select(F.explode("prefix").alias("shingle"))
+    shared = cut(every.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("shingle"))
+    sent = _bitmap(shared)
+    names = ["class", "n", "common", *_PARITY, "place", "shingle"]
+
+    def spread(batches):
+        for batch in batches:
+            prefix = batch.column("prefix")
+            owner = np.asarray(pc.list_parent_indices(prefix), dtype=np.int64)
+            shingle = np.asarray(pc.list_flatten(prefix), dtype=np.int64)
+            place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            kept = np.flatnonzero(_marked(sent.value, shingle))
+            rows = batch.select(names[:-2]).take(pa.array(owner[kept]))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(place[kept].astype(np.int32)), pa.array(shingle[kept])], names)
+    form = f"class long, n long, common double, {', '.join(f'{k} long' for k in _PARITY)}, place int, shingle long"
+    return facts.select(*names[:-2], "prefix").mapInArrow(spread, form).join(shared, "shingle")
+
+
 def whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(class, shingles) of the documents named by ``ids`` (class). A bitmap of the
     ids (2**BITMAP_BITS bits, whatever their number) screens the scan, so that
@@ -305,7 +357,36 @@ def _verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, n: int, low:
     whole = left.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return cut(whole.where(F.lit(100) * common >= F.lit(low) * (F.col("na") + F.col("nb") - common)).select("a", "b"))
+    return whole.where(F.lit(100) * common >= F.lit(low) * (F.col("na") + F.col("nb") - common)).select("a", "b")
+
+
+def _round(postings: DataFrame, component: DataFrame, facts: DataFrame, docs: DataFrame, n: int, low: int, order: int) -> DataFrame:
+    """(class, component) after joining each class with its lists' hubs, or, in the round
+    after HUBS, after all pairs between components that are still possible."""
+    spark = docs.sparkSession
+    with passing(spark):
+        placed = postings.join(component, "class")
+        mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                              F.count(F.lit(1)).alias("times")).where("low <> high")
+        placed = placed.join(mixed.select("shingle", "times"), "shingle")
+        if order < HUBS:  # the list's hub: the class of the most frequent shingles, then any other
+            first = F.xxhash64("class", F.lit(order)) if order else -F.col("common")
+            carried = ["class", "n", "place", "component", *_PARITY]
+            hubs = placed.groupBy("shingle").agg(F.min(F.struct(first.alias("rank"), *carried)).alias("hub"))
+            both = placed.alias("x").join(hubs.select("shingle", "hub.*").alias("y"), "shingle").where("x.component <> y.component")
+        else:
+            placed = cut(placed)
+            both = _between(placed.where(F.col("times") <= SHORT), ["shingle"])
+        found = both.where(_near("x", "y", low)).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+        if order == HUBS:
+            found = found.union(_by_differences(placed.where(F.col("times") > SHORT), docs, n, low))
+        pairs = cut(found.distinct(), keep=True)
+    with passing(spark):
+        links = cut(_verified(pairs, facts, docs, n, low), keep=True)
+    of = component.select(F.col("class").alias("a"), F.col("component").alias("ca"))
+    to = component.select(F.col("class").alias("b"), F.col("component").alias("cb"))
+    roots = connected(links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    return component.join(roots.withColumnRenamed("node", "component"), "component", "left").select("class", F.coalesce("root", "component").alias("component"))
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
@@ -321,40 +402,24 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
     """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
 
-    sized, table = first_pass(docs, n)
-    classes = sized.where("n_shingles > 0 and doc_id is not null").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("class"))
-    same = cut(sized.join(classes, ["key", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class")))
+    spark = docs.sparkSession
+    with passing(spark):
+        sized, table = first_pass(docs, n)
+        classes = sized.where("n_shingles > 0 and doc_id is not null").groupBy("key", "n_shingles").agg(F.min("doc_id").alias("class"))
+        same = cut(sized.join(classes, ["key", "n_shingles"], "left").select(
+            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class")), keep=True)
     docs = docs.where("doc_id is not null")
 
-    heads = same.where("n_shingles > 0 and doc_id = class").select("class")
-    facts = cut(prefixes(docs, table, n, low).where("n > 0").join(heads, "class", "left_semi").dropDuplicates(["class"]))
-    postings = facts.select("class", "n", "common", F.posexplode("prefix").alias("place", "shingle"))
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    postings = cut(postings.join(shared.select("shingle"), "shingle"))
-
-    component = postings.select("class").distinct().withColumn("component", F.col("class"))
-    for order in range(HUBS + 1):
-        placed = postings.join(component, "class")
-        mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                              F.count(F.lit(1)).alias("times")).where("low <> high")
-        placed = placed.join(mixed.select("shingle", "times"), "shingle")
-        if order < HUBS:  # the list's hub: the class of the most frequent shingles, then any other
-            first = F.xxhash64("class", F.lit(order)) if order else -F.col("common")
-            rank = (first, F.col("class"), F.col("n"), F.col("place"), F.col("component"))
-            hubs = placed.groupBy("shingle").agg(F.min(F.struct(*(x.alias(k) for x, k in zip(rank, ("rank", "class", "n", "place", "component"))))).alias("hub"))
-            both = placed.alias("x").join(hubs.select("shingle", "hub.*").alias("y"), "shingle").where("x.component <> y.component")
-        else:
-            placed = cut(placed)
-            both = _between(placed.where(F.col("times") <= SHORT), ["shingle"])
-        found = both.where(_near("x", "y", low)).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-        if order == HUBS:
-            found = found.union(_by_differences(placed.where(F.col("times") > SHORT), docs, n, low))
-        pairs = found.distinct()
-        links = _verified(pairs, facts, docs, n, low)
-        of = component.select(F.col("class").alias("a"), F.col("component").alias("ca"))
-        to = component.select(F.col("class").alias("b"), F.col("component").alias("cb"))
-        roots = connected(links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        component = cut(component.join(roots.withColumnRenamed("node", "component"), "component", "left").select("class", F.coalesce("root", "component").alias("component")))
+    with passing(spark):  # all that the rounds write; the last components stay
+        heads = same.where("n_shingles > 0 and doc_id = class").select("class")
+        with passing(spark):
+            every = cut(prefixes(docs, table, n, low).where("n > 0").join(heads, "class", "left_semi").dropDuplicates(["class"]))
+            facts = cut(every.select("class", "n", "cells"), keep=True)
+            postings = cut(shared_postings(every), keep=True)
+        component = postings.select("class").distinct().withColumn("component", F.col("class"))
+        for order in range(HUBS + 1):
+            with passing(spark):
+                component = cut(_round(postings, component, facts, docs, n, low, order), keep=True)
+        component = cut(component, keep=True)
     return same.join(component, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class").alias("component_id"), F.col("class").alias("class_id"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,23 +22,54 @@ PIECE_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 
 
-def cut(frame):
+_passing: ContextVar[tuple[list, ...]] = ContextVar("_passing", default=())
+
+
+@contextmanager
+def passing(spark):
+    """Tables that ``cut`` writes in this block are removed at its end; one cut with
+    ``keep=True`` belongs to the block around it, or stays if there is none. What the
+    block hands on must not read the removed ones."""
+    written: list[str] = []
+    token = _passing.set((*_passing.get(), written))
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in written:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def tidy(spark):
+    """Jobs planned in this block remove their shuffle files when they have ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def cut(frame, keep: bool = False):
     """``frame`` written to the shared checkpoint folder and read back: its lineage
     ends there, lost executors don't matter, and plans know its true size.
 
     The folder is ``spark.checkpoint.dir``; only where that is unset, one beside
-    the session's warehouse. The write's shuffle files go when it has ended.
+    the session's warehouse. The write's shuffle files go when it has ended, the
+    table at the end of the ``passing`` block it is written in.
     """
     spark = frame.sparkSession
-    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(tidy, "false")
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     path = f"{folder}/{uuid.uuid4()}"
-    spark.conf.set(tidy, "true")
-    try:
+    blocks = _passing.get()[:-1] if keep else _passing.get()
+    if blocks:
+        blocks[-1].append(path)
+    with tidy(spark):
         frame.write.parquet(path)
-    finally:
-        spark.conf.set(tidy, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
