@@ -207,14 +207,16 @@ def _by_differences(placed: DataFrame, docs: DataFrame, n: int, low: int) -> Dat
     """
     family = cut(_families(placed))
     ids = family.select("class").union(family.select("hub")).distinct()
-    sets = cut(whole_sets(docs, ids, n))
-    both = family.join(sets, "class").join(sets.select(F.col("class").alias("hub"), F.col("shingles").alias("other")), "hub")
+    with passing(docs.sparkSession):
+        sets = cut(whole_sets(docs, ids, n))
+        both = family.join(sets, "class").join(sets.select(F.col("class").alias("hub"), F.col("shingles").alias("other")), "hub")
+        differ = cut(both.select("hub", "class", "n", "component", *_PARITY, F.concat(
+            F.array_except("shingles", "other"), F.array_except("other", "shingles")).alias("d")), keep=True)
     most = F.floor(F.lit(100 - low) * F.col("n") / F.lit(low))
-    differ = cut(both.select("hub", "class", "n", "component", *_PARITY, F.concat(
-        F.array_except("shingles", "other"), F.array_except("other", "shingles")).alias("d")))
-    rows = differ.select("hub", "class", "n", "component", *_PARITY, F.size("d").alias("d"), F.explode("d").alias("shingle"))
+    rows = differ.select("hub", "class", "component", F.explode("d").alias("shingle"))  # the rest of a row follows once lists of one row are gone
     times = rows.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(times.where("times > 1"), ["hub", "shingle"])
+    rows = rows.join(times.where("times > 1"), ["hub", "shingle"]).join(
+        differ.select("hub", "class", "n", *_PARITY, F.size("d").alias("d")), ["hub", "class"])
     own = Window.partitionBy("hub", "class")
     ordered = own.orderBy("times", "shingle")
     rows = rows.withColumn("place", F.col("d") - F.count(F.lit(1)).over(own) + F.row_number().over(ordered) - 1)
