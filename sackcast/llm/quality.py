@@ -171,3 +171,18 @@ def rate_quality(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
                 [*piece.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, 0]), pa.array(tails[:, -1] >= KEEP)], [*names, *added])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, expected_grade double, p_good double, p_not_toxic double, keep boolean")
+
+
+def kept_quality(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
+    """The rows of ``docs`` that the model keeps, all columns as they are, whatever their
+    names. Null and empty texts are rated like texts without words; without a model
+    every row stays; an empty table gives none."""
+    if model is None:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for piece in pieces(batches):
+            tails = sent.value.tails(sent.value.score(*features(piece), piece.num_rows))
+            yield piece.filter(pa.array(tails[:, -1] >= KEEP))
+    return docs.mapInArrow(run, docs.schema)

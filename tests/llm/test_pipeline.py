@@ -51,3 +51,16 @@ def test_odd_rows(spark, odd_docs, tmp_path):
     rows = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
     assert sorted(str(r["doc_id"]) for r in rows) == ["1", "2", "3", "4", "5", "6", "None"]
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_quality_stage_leaves_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/sf0.001"
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = plain.withColumns({"keep": F.lit("mine"), "p_good": F.lit("mine"), "p_not_toxic": F.lit(None).cast("int"), "expected_grade": F.lit("mine")})
+    stage = dict(corpus_pipeline.STAGES)["quality"]
+    kept = stage(spark, docs, sf)
+    assert kept.schema == docs.schema
+    rows = kept.collect()
+    assert {(r["keep"], r["p_good"], r["p_not_toxic"], r["expected_grade"]) for r in rows} == {("mine", "mine", None, "mine")}
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in stage(spark, plain, sf).collect())
