@@ -17,9 +17,11 @@ WORDS, SIMILARITY = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier keeps (grade 2 likely enough)."""
+    """Documents that the ordinal classifier keeps (grade 2 likely enough), their columns unchanged
+    whatever they are called. A null or empty text is rated as one without words; repeated rows are
+    rated alike; where nothing is labelled all stay; an empty table gives none."""
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.rate_quality(docs, model).where("keep").select(*docs.columns)
+    return quality.kept_quality(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +33,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a copy of a benchmark item."""
+    """Documents without a copy of a benchmark item. Rows without a doc_id are not looked at and stay,
+    as do null and empty texts; rows that share a doc_id go together; an empty table gives none."""
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked."""
+    """All documents, their secrets masked; null texts stay null, repeated rows are masked alike, an
+    empty table gives none."""
     return secret_scan.redact_secrets(docs)
 
 
