@@ -5,8 +5,9 @@ by a frequency table of hashed shingles, counted over all documents; two sets
 that reach the threshold share a shingle within their prefixes. Documents are
 joined on prefix shingles; length, positional and suffix filters (a bound on
 the overlap from the positions, from the parities of the set in SKETCH cells, which
-differ at most where the sets do, and from a small histogram of each set) leave
-candidate pairs, and each is verified once, exactly, on the whole sets.
+differ at most where the sets do) leave candidate pairs. These are compared by
+parities in about as many cells as the sets have shingles, and what is left is
+verified once, exactly, on the whole sets.
 
 Equal sets are one class, so copies are never joined with each other. Within a
 shingle's list not all pairs are made: every class is first joined with the
@@ -30,10 +31,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import NOT_SPACE, cut, mix, passing, pieces, runs_of_words, tidy, words_of
 
-#: Cells of the frequency table (2**24, 16 MB, broadcast), of a part of it, and of a set's histogram.
-TABLE_BITS, PART_CELLS, CELLS = 24, 1 << 16, 32
-#: Bits of a set's parities, a multiple of 64.
+#: Cells of the frequency table (2**24, 16 MB, broadcast), and of a part of it.
+TABLE_BITS, PART_CELLS = 24, 1 << 16
+#: Bits of a set's parities inside the joins, a multiple of 64.
 SKETCH = 128
+#: Least and most bits of the parities by which a candidate pair is compared, powers of two.
+LEAST_FINE, MOST_FINE = 64, 1 << 15
 _PARITY = [f"s{k}" for k in range(SKETCH // 64)]
 #: Rounds of hub joins before the remaining pairs are made.
 HUBS = 2
@@ -131,9 +134,29 @@ def _prefix_length(n: np.ndarray, low: int) -> np.ndarray:
     return n - -(-low * n // 100) + 1
 
 
+def _fine_parities(doc: np.ndarray, shingle: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each document a bit a cell, set where an odd number of its shingles lies; the cells are the
+    power of two from the set's size on, so a bit or two a shingle, within LEAST_FINE and MOST_FINE."""
+    bits = np.int64(1) << np.ceil(np.log2(np.clip(size, LEAST_FINE, MOST_FINE))).astype(np.int64)
+    first = np.cumsum(bits) - bits
+    cell = (shingle >> np.uint64(8)).astype(np.int64) & (bits - 1)[doc]
+    odd = np.packbits((np.bincount(first[doc] + cell, minlength=int(bits.sum())) & 1).astype(bool)).tobytes()
+    return [odd[a:a + n] for a, n in zip((first >> 3).tolist(), (bits >> 3).tolist())]
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """In how many cells the parities differ; the longer ones are folded to the cells of the shorter."""
+    least = min(len(a), len(b))
+    out = 0
+    for part in (a, b):
+        for k in range(0, len(part), least):
+            out ^= int.from_bytes(part[k:k + least])
+    return out.bit_count()
+
+
 def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
-    """(class, n, cells, common, prefix, parities): each document's rarest shingles in order,
-    its histogram, how frequent its shingles are on average, and in which of SKETCH
+    """(class, n, fine, common, prefix, parities): each document's rarest shingles in order,
+    its fine parities, how frequent its shingles are on average, and in which of SKETCH
     cells an odd number of them lies."""
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -145,17 +168,17 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, low: int) -> DataFrame:
             order = np.lexsort((shingle, often, doc))
             place = np.arange(len(doc)) - bounds[doc]
             kept = place < _prefix_length(size, low)[doc]
-            cells = np.bincount(doc * CELLS + (shingle & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS * piece.num_rows).reshape(-1, CELLS)
+            fine = _fine_parities(doc, shingle, size)
             prefix = shingle[order][kept].astype(np.int64)
             common = np.bincount(doc, often, piece.num_rows) / np.maximum(size, 1)
             bounds = np.searchsorted(doc[kept], np.arange(piece.num_rows + 1))
             odd = np.bincount(doc * SKETCH + (shingle >> np.uint64(8) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH * piece.num_rows) & 1
             parity = np.packbits(odd.astype(bool)).view(np.int64).reshape(-1, SKETCH // 64)
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), pa.array(size), pa.array([x.astype(np.int32).tobytes() for x in cells], pa.binary()), pa.array(common),
+                piece.column("doc_id"), pa.array(size), pa.array(fine, pa.binary()), pa.array(common),
                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix)), *map(pa.array, parity.T)],
-                ["class", "n", "cells", "common", "prefix", *_PARITY])
-    return docs.mapInArrow(run, "class long, n long, cells binary, common double, prefix array<long>, " + ", ".join(f"{k} long" for k in _PARITY))
+                ["class", "n", "fine", "common", "prefix", *_PARITY])
+    return docs.mapInArrow(run, "class long, n long, fine binary, common double, prefix array<long>, " + ", ".join(f"{k} long" for k in _PARITY))
 
 
 def _apart(a: str, b: str, low: int) -> tuple[Column, Column]:
@@ -341,18 +364,18 @@ def whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, n: int, low: int) -> DataFrame:
-    """The (a, b) pairs whose sets reach the threshold: first the suffix filter on
-    histograms, then the whole sets of the documents that are left."""
-    use = facts.select("class", "n", "cells")
-    bounded = (pairs.join(use.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ha")), "a")
-               .join(use.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("hb")), "b"))
+    """The (a, b) pairs whose sets reach the threshold: first those whose fine parities differ
+    in no more cells than linked sets do, then by the whole sets of the documents that are left."""
+    use = facts.select("class", "n", "fine")
+    bounded = (pairs.join(use.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a")
+               .join(use.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b"))
 
     def suffix(batches):
         for batch in batches:
-            ha, hb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, CELLS) for c in ("ha", "hb"))
             both = np.asarray(batch.column("na")) + np.asarray(batch.column("nb"))
-            keep = (100 + low) * np.minimum(ha, hb).sum(axis=1) >= low * both
-            yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
+            apart = both - 2 * -(-low * both // (100 + low))
+            differing = np.array([_differing(a, b) for a, b in zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist())], np.int64)
+            yield batch.filter(pa.array(differing <= apart)).select(["a", "b", "na", "nb"])
     left = cut(bounded.mapInArrow(suffix, "a long, b long, na long, nb long"))
     ids = left.select(F.col("a").alias("class")).union(left.select("b")).distinct()
     sets = cut(whole_sets(docs, ids, n))
@@ -416,7 +439,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, low: int = 85) -> DataFrame:
         heads = same.where("n_shingles > 0 and doc_id = class").select("class")
         with passing(spark):
             every = cut(prefixes(docs, table, n, low).where("n > 0").join(heads, "class", "left_semi").dropDuplicates(["class"]))
-            facts = cut(every.select("class", "n", "cells"), keep=True)
+            facts = cut(every.select("class", "n", "fine"), keep=True)
             postings = cut(shared_postings(every), keep=True)
         component = postings.select("class").distinct().withColumn("component", F.col("class"))
         for order in range(HUBS + 1):

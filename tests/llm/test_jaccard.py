@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from sackcast.llm import jaccard_join
@@ -95,3 +96,40 @@ def test_words_built_to_share_a_polynomial_hash(spark):
     rows = [(1, order + tail.replace(" ", f" {order} ")), (2, other + tail.replace(" ", f" {other} ")), (3, order), (4, other), (5, order)]
     assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
     assert (4, 1, 4) in _brute(rows)
+
+
+def test_near_misses_are_not_compared_whole(spark, monkeypatch):
+    """Sets of every size that share too little are told apart without fetching whole sets; no link is lost."""
+    rows = []
+    for i, size in enumerate((60, 300, 400, 900, 3000)):
+        words = [f"v{i}_{k}" for k in range(size)]
+        rows.append((10 * i, " ".join(words)))
+        for j, share in enumerate((0.01, 0.08), 1):  # changed words at equal distances: a link, and a similarity of about 0.5
+            every = round(1 / share)
+            rows.append((10 * i + j, " ".join(f"y{i}_{k}" if k % every == every // 2 else w for k, w in enumerate(words))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fetched = []
+    whole_sets = jaccard_join.whole_sets
+
+    def counted(docs, ids, n):
+        fetched.extend(r[0] for r in ids.collect())
+        return whole_sets(docs, ids, n)
+    monkeypatch.setattr(jaccard_join, "whole_sets", counted)
+    _, table = jaccard_join.first_pass(docs, 4)
+    facts = jaccard_join.cut(jaccard_join.prefixes(docs, table, 4, 85))
+    pairs = spark.createDataFrame([(10 * i, 10 * i + j) for i in range(5) for j in (1, 2)], "a long, b long")
+    links = {tuple(r) for r in jaccard_join._verified(pairs, facts, docs, 4, 85).collect()}
+    roots = {i: root for i, _, root in _brute(rows)}
+    assert links == {(a, b) for a, b in ((r["a"], r["b"]) for r in pairs.collect()) if roots[a] == roots[b]} != set()
+    assert set(fetched) == {x for pair in links for x in pair}
+
+
+def test_fine_parities_differ_at_most_where_the_sets_do():
+    rng = np.random.default_rng(1)
+    for n, m, shared in ((0, 5, 0), (40, 40, 37), (63, 66, 60), (500, 580, 490), (40000, 70000, 39000)):
+        pool = np.unique(rng.integers(0, 1 << 64, n + m, dtype=np.uint64))
+        sets = [pool[:n], pool[n - shared:n - shared + m]]
+        size = np.array([len(x) for x in sets])
+        a, b = jaccard_join._fine_parities(np.repeat([0, 1], size), np.concatenate(sets), size)
+        assert jaccard_join._differing(a, b) <= len(np.setxor1d(*sets))
+        assert jaccard_join._differing(a, a) == 0
