@@ -24,6 +24,8 @@ ROUNDS, RATE, DECAY = 250, 0.05, 1e-4
 STEMS, LEAST_DOCS = (4, 5, 6, 7), 5
 #: Words added to a document's count, so that a few words say little.
 DAMPING = 15
+#: Features that a step of the fit takes at once, at least one document's.
+PART = 1 << 17
 
 _LETTER = np.zeros(256, bool)
 _LETTER[0x30:0x3A] = _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
@@ -77,13 +79,33 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
-def fit_ordinal(doc, feature, value, grade, grades: int = 3) -> OrdinalModel:
-    """Full-batch Adam on the negative log-likelihood; a documents' grade is weighed by the inverse root of its frequency."""
+def _parts(found: pa.Table) -> tuple[list[tuple], np.ndarray]:
+    """(first document, documents, document of each entry, slot, value) of about PART entries of the sample
+    at a time, documents by doc_id, and the feature of each slot: those of LEAST_DOCS documents. The
+    entries stay in Arrow's buffers until a part copies its own."""
+    order = np.argsort(np.asarray(found.column("doc_id")), kind="stable")
+    rows = [(x.as_buffer(), y.as_buffer()) for x, y in zip(found.column("feature"), found.column("value"))]
+    times = np.zeros(1 << BITS, np.int64)
+    for feature, _ in rows:
+        np.add.at(times, np.frombuffer(feature, np.int32), 1)
+    often = times >= max(1, min(LEAST_DOCS, len(rows)))
+    used, slots = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - 1
+    size = np.array([rows[k][0].size // 4 for k in order], np.int64)
+    part = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)[:-1]]) // PART
+    first = [*np.flatnonzero(np.diff(part, prepend=-1)), len(order)]
+    out = []
+    for a, b in zip(first[:-1], first[1:]):
+        doc = np.repeat(np.arange(b - a, dtype=np.int32), size[a:b])
+        feature, value = (np.concatenate([np.frombuffer(rows[k][c], kind) for k in order[a:b]]) for c, kind in ((0, np.int32), (1, np.float32)))
+        kept = often[feature]
+        out.append((int(a), int(b - a), doc[kept], slots[feature[kept]], value[kept]))
+    return out, used
+
+
+def fit_ordinal(parts: list[tuple], used: np.ndarray, grade: np.ndarray, grades: int = 3) -> OrdinalModel:
+    """Full-batch Adam on the negative log-likelihood; a documents' grade is weighed by the inverse root of its frequency.
+    Sums go on from part to part (see ``_parts``), so the model doesn't depend on where they are cut."""
     n = len(grade)
-    often = np.bincount(feature, minlength=1 << BITS)[feature] >= min(LEAST_DOCS, n)
-    doc, feature, value = doc[often], feature[often], value[often]
-    used, slot = np.unique(feature, return_inverse=True)
-    slot = slot.astype(np.int32)
     w = np.zeros(len(used))
     b, gaps = -1.0, np.zeros(grades - 2)  # thresholds: b, b + e^gap, ...
     share = np.bincount(grade, minlength=grades) / max(n, 1)
@@ -92,13 +114,16 @@ def fit_ordinal(doc, feature, value, grade, grades: int = 3) -> OrdinalModel:
     moments = [[np.zeros_like(w), np.zeros_like(w)], [np.zeros(grades - 1), np.zeros(grades - 1)]]
     for step in range(1, ROUNDS + 1):
         t = b + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        score = np.bincount(doc, w[slot] * value, minlength=n)
+        score = np.concatenate([np.bincount(doc, w[slot] * value, minlength=docs) for _, docs, doc, slot, value in parts])
         edge = np.concatenate([[-40.0], t, [40.0]])
         up, low = (1 / (1 + np.exp(-np.clip(e - score, -40, 40))) for e in (edge[grade + 1], edge[grade]))
         mass = np.maximum(up - low, 1e-12)
         d_up, d_low = up * (1 - up) / mass, low * (1 - low) / mass
         g_score = weight * (d_up - d_low)
-        g_w = np.bincount(slot, g_score[doc] * value, minlength=len(used)) + DECAY * w
+        g_w = np.zeros(len(used))
+        for first, docs, doc, slot, value in parts:
+            np.add.at(g_w, slot, g_score[first:first + docs][doc] * value)
+        g_w += DECAY * w
         g_t = np.zeros(grades + 1)
         np.add.at(g_t, grade + 1, -weight * d_up)
         np.add.at(g_t, grade, weight * d_low)
@@ -141,13 +166,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ord
                 piece.column("doc_id"), piece.column("grade"),
                 pa.array([x.astype(np.int32).tobytes() for x in np.split(feature[order], cuts)], pa.binary()),
                 pa.array([x.astype(np.float32).tobytes() for x in np.split(value[order], cuts)], pa.binary())], ["doc_id", "grade", "feature", "value"])
-    found = rows.mapInArrow(extract, "doc_id long, grade int, feature binary, value binary").toPandas()
-    if not len(found):
+    found = rows.mapInArrow(extract, "doc_id long, grade int, feature binary, value binary").toArrow()
+    if not found.num_rows:
         return None
-    found = found.sort_values("doc_id", kind="stable").reset_index(drop=True)
-    doc = np.repeat(np.arange(len(found), dtype=np.int32), [len(x) // 4 for x in found["feature"]])
-    feature, value = np.frombuffer(b"".join(found.pop("feature")), np.int32), np.frombuffer(b"".join(found.pop("value")), np.float32)
-    return fit_ordinal(doc, feature, value, found["grade"].to_numpy(np.int64))
+    grade = np.asarray(found.column("grade"), np.int64)[np.argsort(np.asarray(found.column("doc_id")), kind="stable")]
+    parts, used = _parts(found)
+    del found
+    pa.default_memory_pool().release_unused()
+    return fit_ordinal(parts, used, grade)
 
 
 def rate_quality(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:

@@ -29,3 +29,21 @@ def test_odd_rows(spark, odd_docs):
     assert quality.fit_quality(odd_docs, labels.limit(0)) is None
     assert quality.rate_quality(odd_docs, None).where("keep").count() == odd_docs.count()
     assert quality.rate_quality(odd_docs.limit(0), model).count() == 0
+
+
+def test_fit_holds_little_beside_its_sample(spark):
+    """The driver's arrays while it fits stay near the size of the sample's entries (8 bytes each)."""
+    import tracemalloc
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = docs.join(quality.graded(labels), "doc_id").select("text").toArrow()
+    entries = sum(len(quality.features(x)[0]) for x in quality.pieces(rows.to_batches()))
+    model = quality.fit_quality(docs, labels)
+    tracemalloc.start()
+    try:
+        again = quality.fit_quality(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (again.weights == model.weights).all() and (again.thresholds == model.thresholds).all()
+    assert peak < 2 * 8 * entries + 32 * (1 << quality.BITS)
