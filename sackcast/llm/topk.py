@@ -33,6 +33,9 @@ BLOCK, QUERIES, TILE, GROUP = 1024, 1024, 128, 1 << 18
 #: blocks are left to the next. A round has SPREAD tiles at least, if there are as many chunks of queries.
 STEPS, ROUNDS, LEAST, SPREAD = 512, (1, 16, 128), 16, 32
 
+#: Vectors of a packed row; some 300 KB, which a JVM moves without trouble.
+PIECE = 2048
+
 #: Components of a vector up to which a tile takes that many vectors; fewer of longer ones.
 DIM = 64
 
@@ -57,29 +60,12 @@ _TILED = "tile int, kind int, dim int, width int, ids binary, cells binary"
 _FOUND = "query_id long, vec_id long, score long"
 
 
-def _floors(scale: int):
-    """floor(scale * x) of each vector, without those that hold a null or a non-finite component."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.asarray(pc.list_value_length(batch.column("cells")), np.int64)
-            flat = batch.column("cells").flatten().to_numpy(zero_copy_only=False)  # nulls become NaN
-            odd = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
-            end = np.cumsum(size)
-            good = odd[end] == odd[end - size]
-            with np.errstate(over="ignore"):
-                down = np.floor(flat[np.repeat(good, size)] * scale)
-            cells = np.where(np.abs(down) < 2.0 ** 63, down, 0).astype(np.int64)
-            cells[down >= 2.0 ** 63], cells[down <= -2.0 ** 63] = np.iinfo(np.int64).max, _LOWEST
-            at = np.concatenate([[0], np.cumsum(size[good])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id").filter(pa.array(good)), pa.ListArray.from_arrays(pa.array(at), pa.array(cells))], ["vec_id", "cells"])
-    return run
-
-
 def scaled_vectors(rows: DataFrame, column: str = "embedding", scale: int = 1024) -> DataFrame:
     """(vec_id, cells): floor(scale * x); vectors null or with null or non-finite components are left out."""
-    there = rows.where(F.col(column).isNotNull() & F.col("vec_id").isNotNull())
-    wide = there.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("cells"))
-    return wide.mapInArrow(_floors(scale), "vec_id long, cells array<long>")
+    wide = F.transform(F.col(column), lambda x: x.cast("double"))
+    good = F.col(column).isNotNull() & F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return rows.where(good & F.col("vec_id").isNotNull()).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.transform(wide, lambda x: F.floor(x * scale)).alias("cells"))
 
 
 def _packed(kind: int, chunk: int, ids: np.ndarray, cells: np.ndarray, every: int) -> dict:
@@ -90,6 +76,12 @@ def _packed(kind: int, chunk: int, ids: np.ndarray, cells: np.ndarray, every: in
             "ids": ids.tobytes(), "cells": cells.astype(f"<i{width}").tobytes()}
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch of packed ones; ids and cells stay where they are."""
+    for i in range(batch.num_rows):
+        yield {x: batch.column(x)[i].as_buffer() if x in ("ids", "cells") else batch.column(x)[i].as_py() for x in batch.schema.names}
+
+
 def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["ids"], np.int64)
     return ids, np.frombuffer(row["cells"], f"<i{row['width']}").reshape(len(ids), row["dim"])
@@ -98,8 +90,8 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
 _PACKED_ARROW = pa.schema([(x, pa.int32()) for x in ("kind", "chunk", "dim", "width")] + [(x, pa.int64()) for x in ("n", "queries")] + [(x, pa.binary()) for x in ("ids", "cells")])
 
 
-def _gathered(every: int):
-    """Packs each batch of (vec_id, cells)."""
+def _gathered(every: int, rows: int):
+    """Packs each batch of (vec_id, cells), so many to a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column("vec_id"), np.int64)
@@ -108,8 +100,8 @@ def _gathered(every: int):
             first = np.cumsum(size) - size
             for dim in np.unique(size):
                 at = np.flatnonzero(size == dim)
-                cells = flat.reshape(-1, dim) if dim and len(at) == len(size) else flat[first[at][:, None] + np.arange(dim)]
-                yield pa.RecordBatch.from_pylist([_packed(CANDIDATE, 0, ids[at], cells.reshape(len(at), dim), every)], _PACKED_ARROW)
+                for some in np.split(at, range(rows, len(at), rows)):
+                    yield pa.RecordBatch.from_pylist([_packed(CANDIDATE, 0, ids[some], flat[first[some][:, None] + np.arange(dim)], every)], _PACKED_ARROW)
     return run
 
 
@@ -123,7 +115,7 @@ def _dealt(chunks: int, every: int):
     """Splits packed rows by chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 ids, cells = _unpacked(row)
                 chunk, _ = _chunk_of(ids, chunks)
                 order = np.argsort(chunk, kind="stable")
@@ -161,11 +153,13 @@ def _chunked(chunks: int, steps: int, rounds: list[int], every: int, k: int, row
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = defaultdict(list)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 held[row["chunk"], row["dim"]].append(_unpacked(row))
+        batch = row = None
         while held:
             (chunk, _), parts = held.popitem()
             ids, cells, place = _distinct(*map(np.concatenate, zip(*parts)))
+            del parts
             step = (_chunk_of(ids, chunks)[1] % np.uint64(steps)).astype(np.int64)
             kinds = np.where(place <= k, CANDIDATE + np.searchsorted(rounds, step, "right"), -1)
             for kind in (QUERY, *range(CANDIDATE, CANDIDATE + len(rounds))):
@@ -233,8 +227,8 @@ def _keep(key: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[
 def _ordered(cells: np.ndarray, block: int) -> tuple[np.ndarray, float]:
     """Candidates by length, those of some blocks by what rounding takes, so that a block's largest hold for most of it; the largest length."""
     _, _, most, length = _lanes(cells.shape[1])
-    parts = [_coarse(cells[i:i + block], length, most) for i in range(0, len(cells), block)]
-    own, off = (np.concatenate([x[k] for x in parts]) for k in (0, 2))
+    parts = [_coarse(cells[i:i + block], length, most)[::2] for i in range(0, len(cells), block)]
+    own, off = map(np.concatenate, zip(*parts))
     level = np.empty(len(own), np.int64)
     level[np.argsort(-own, kind="stable")] = np.arange(len(own)) // (LEVEL * block)
     return np.lexsort((off, level)), own.max()
@@ -384,7 +378,7 @@ def _scored(k: int, block: int, queries: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = defaultdict(lambda: defaultdict(lambda: ([], [])))  # by dimensions; cutoffs under None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 ids, cells = _unpacked(row)
                 held = tiles[row["tile"]]
                 if row["kind"] == CUTOFF:
@@ -426,7 +420,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     Sums hold in 64 bits.
     """
     with passing(vectors.sparkSession):
-        rows = cut(vectors.select("vec_id", "cells").where("vec_id is not null and cells is not null").mapInArrow(_gathered(every), _PACKED))
+        rows = cut(vectors.select("vec_id", "cells").where("vec_id is not null and cells is not null").mapInArrow(_gathered(every, PIECE), _PACKED))
         much = F.greatest(F.lit(1.0), F.col("dim") / DIM)
         counts = rows.agg(*(F.ceil(F.sum(F.col(x) * much)).alias(x) for x in ("n", "queries"))).first()
         n, q = counts["n"] or 0, counts["queries"] or 0
@@ -434,7 +428,7 @@ def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         chunks, groups = max(1, -(-n // tile)), max(1, -(-q // GROUP))
         rounds = [x for x in ROUNDS if n * x >= LEAST * BLOCK * STEPS] + [STEPS]
         packed = cut(rows.mapInArrow(_dealt(chunks, every), _PACKED).repartitionById(chunks, "chunk")
-                     .mapInArrow(_chunked(chunks, STEPS, rounds, every, k, 8 * BLOCK), _PACKED), keep=True)
+                     .mapInArrow(_chunked(chunks, STEPS, rounds, every, k, PIECE), _PACKED), keep=True)
         best = None
         for at, (before, after) in enumerate(zip([0, *rounds], rounds)):
             columns = max(1, -(-n * (after - before) // (tile * STEPS)))
